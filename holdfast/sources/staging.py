@@ -27,14 +27,19 @@ def _root(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` once and return it as a scan of that copy."""
-    spark = df.sparkSession
+def staging_path(spark: SparkSession, label: str) -> str:
+    """A new path in shared storage, deleted by :func:`release_staged`."""
     app = spark.sparkContext.applicationId
     path = f"{_root(spark).rstrip('/')}/holdfast-{app}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
     _staged.setdefault(app, []).append(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return path
+
+
+def stage(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` once and return it as a scan of that copy."""
+    path = staging_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def release_staged(spark: SparkSession) -> int:

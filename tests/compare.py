@@ -1,0 +1,45 @@
+"""Compare a registered query with its SQL oracle: columns, types, rows and values."""
+
+from __future__ import annotations
+
+import glob
+import os
+
+import duckdb
+import pandas as pd
+
+
+def connect(folder: str) -> duckdb.DuckDBPyConnection:
+    con = duckdb.connect()
+    for path in glob.glob(f"{folder}/*.parquet"):
+        name = os.path.basename(path).split(".")[0]
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{path}')")
+    return con
+
+
+def normalised(frame: pd.DataFrame) -> pd.DataFrame:
+    frame = frame[sorted(frame.columns)]
+    return frame.sort_values(list(frame.columns)).reset_index(drop=True)
+
+
+def kind(dtype) -> str:
+    return "float" if dtype.kind == "f" else "int" if dtype.kind in "iu" else dtype.kind
+
+
+def differences(spark_frame: pd.DataFrame, oracle_frame: pd.DataFrame) -> list[str]:
+    if sorted(spark_frame.columns) != sorted(oracle_frame.columns):
+        return [f"columns {sorted(set(spark_frame.columns) ^ set(oracle_frame.columns))}"]
+    if len(spark_frame) != len(oracle_frame):
+        return [f"rows {len(spark_frame)} != {len(oracle_frame)}"]
+    if spark_frame.empty:
+        return []
+    found = []
+    a, b = normalised(spark_frame), normalised(oracle_frame)
+    for name in a.columns:
+        if kind(a[name].dtype) != kind(b[name].dtype) and a[name].notna().any():
+            found.append(f"{name}: type {a[name].dtype} != {b[name].dtype}")
+        same = (a[name] == b[name]) | (a[name].isna() & b[name].isna())
+        if not same.all():
+            i = same.idxmin()
+            found.append(f"{name}: {(~same).sum()} differ, {a[name][i]!r} != {b[name][i]!r}")
+    return found
