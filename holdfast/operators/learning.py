@@ -31,6 +31,7 @@ from holdfast.schema import (
     TARGET,
     require_columns,
 )
+from holdfast.sources.staging import stage
 
 MODEL_V2_VERSION = "treatment_aware_ml_model_v2"
 LEARNING_SPLIT = "treatment_learning_split"
@@ -174,12 +175,19 @@ def score_model_v1(model: PipelineModel, features: DataFrame) -> DataFrame:
     return score_rows(model, features, [*KEYS, SPLIT, TARGET, *CARRIED_INDEXES], MODEL_V1_SCORE)
 
 
+def evaluate_model_v1(scored: DataFrame, **options) -> DataFrame:
+    return evaluate_scores(scored, MODEL_V1_SCORE, MODEL_V1_VERSION, **options)
+
+
 def run_model_v1(features: DataFrame, spec: BoostingSpec = V1_BOOSTING) -> ModelResult:
     """Train, score with deciles, evaluate. ``features`` is read several times: pass a table."""
     model = train_model_v1(features, spec)
-    scored = assign_deciles(score_model_v1(model, features), MODEL_V1_SCORE, MODEL_V1_DECILE)
-    metrics = evaluate_scores(scored, MODEL_V1_SCORE, MODEL_V1_VERSION)
-    return ModelResult(model, scored, metrics, MODEL_V1_SCORE, MODEL_V1_VERSION)
+    # Staged, so that the passes behind the deciles do not evaluate the trees again.
+    scores = stage(score_model_v1(model, features), "v1-scores")
+    scored = assign_deciles(scores, MODEL_V1_SCORE, MODEL_V1_DECILE)
+    return ModelResult(
+        model, scored, evaluate_model_v1(scored), MODEL_V1_SCORE, MODEL_V1_VERSION
+    )
 
 
 def missing_features(table: DataFrame) -> Column:
@@ -272,7 +280,7 @@ def train_model_v2(learning: DataFrame, spec: BoostingSpec = V2_BOOSTING) -> Pip
 
 
 def score_model_v2(model: PipelineModel, learning: DataFrame) -> DataFrame:
-    scored = score_rows(model, learning, V2_SCORED_COLUMNS, MODEL_V2_SCORE)
+    scored = stage(score_rows(model, learning, V2_SCORED_COLUMNS, MODEL_V2_SCORE), "v2-scores")
     return assign_deciles(scored, MODEL_V2_SCORE, MODEL_V2_DECILE)
 
 

@@ -35,8 +35,20 @@ DERIVED_DDL = """
     relationship_health_score DOUBLE, value_at_risk_index DOUBLE
 """
 
-PANEL_SCHEMA = T.StructType.fromDDL(PANEL_DDL)
-DERIVED_SCHEMA = T.StructType.fromDDL(DERIVED_DDL)
+_DDL_TYPES = {
+    "BIGINT": T.LongType(), "INT": T.IntegerType(), "DOUBLE": T.DoubleType(),
+    "STRING": T.StringType(),
+}
+
+
+def struct(ddl: str) -> T.StructType:
+    """Schema from ``name TYPE`` pairs; unlike Spark's parser it needs no session."""
+    pairs = [pair.split() for pair in ddl.split(",")]
+    return T.StructType([T.StructField(name, _DDL_TYPES[kind]) for name, kind in pairs])
+
+
+PANEL_SCHEMA = struct(PANEL_DDL)
+DERIVED_SCHEMA = struct(DERIVED_DDL)
 PANEL_COLUMNS = PANEL_SCHEMA.fieldNames()
 DERIVED_COLUMNS = DERIVED_SCHEMA.fieldNames()
 

@@ -1,0 +1,75 @@
+from __future__ import annotations
+
+import math
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from holdfast.functions.numeric import (
+    cents, clip, flag, index, keyed_digest, keyed_uniform, ratio, round_even, sigmoid, total,
+)
+
+
+def one(spark, column):
+    return spark.range(1).select(column.alias("x")).first()["x"]
+
+
+@pytest.mark.parametrize("value", [2.675, 0.125, 0.135, 1.005, 2.5, -2.675, 0.0, 99.995])
+def test_rounding_is_numpys(spark, value):
+    assert one(spark, round_even(F.lit(value), 2)) == np.round(value, 2)
+
+
+@pytest.mark.parametrize(
+    "value, expected", [(-1.0, 0.0), (0.0, 0.0), (50.5, 50.5), (100.0, 100.0), (101.0, 100.0), (None, None)]
+)
+def test_clip_keeps_null(spark, value, expected):
+    assert one(spark, clip(F.lit(value).cast("double"), 0.0, 100.0)) == expected
+
+
+def test_index_of_null_is_null(spark):
+    assert one(spark, index(F.lit(None).cast("double"))) is None
+
+
+@pytest.mark.parametrize("value, expected", [(44, 0), (45, 1), (46, 1), (None, 0)])
+def test_flag_takes_null_as_not_met(spark, value, expected):
+    assert one(spark, flag(F.lit(value).cast("int") >= 45)) == expected
+
+
+def test_cents_are_exact(spark):
+    assert one(spark, cents(F.lit(1234.29))) == 123429
+
+
+def test_ratio_by_zero_is_null(spark):
+    assert one(spark, ratio(F.lit(1.0), F.lit(0.0))) is None
+    assert one(spark, ratio(F.lit(1.0), F.lit(4.0))) == 0.25
+
+
+def test_total_adds_left_to_right(spark):
+    terms = [0.1, 0.2, 0.3, 0.4, 0.5]
+    assert one(spark, total([F.lit(t) for t in terms])) == sum(terms)
+
+
+def test_sigmoid(spark):
+    assert one(spark, sigmoid(F.lit(0.0))) == 0.5
+    assert one(spark, sigmoid(F.lit(2.0))) == pytest.approx(1 / (1 + math.exp(-2)))
+
+
+def test_keyed_uniform_known_value(spark):
+    assert one(spark, keyed_uniform(42, F.lit(7), "treat")) == 0.0012149093639606257
+
+
+def test_keyed_values_do_not_depend_on_partitioning(spark):
+    keys = spark.range(500)
+    column = keyed_digest(1, F.col("id"), "p").alias("d")
+    a = {tuple(r) for r in keys.repartition(1).select("id", column).collect()}
+    b = {tuple(r) for r in keys.repartition(7).select("id", column).collect()}
+    assert a == b
+
+
+def test_keyed_uniform_is_spread_evenly(spark):
+    row = spark.range(20000).select(keyed_uniform(3, F.col("id"), "u").alias("u")).agg(
+        F.min("u"), F.max("u"), F.avg("u"), F.avg((F.col("u") < 0.12).cast("int"))
+    ).first()
+    assert 0 <= row[0] < 0.001 and 0.999 < row[1] < 1
+    assert abs(row[2] - 0.5) < 0.01 and abs(row[3] - 0.12) < 0.01
