@@ -12,7 +12,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from holdfast.functions.numeric import cents, clip, flag, index, round_even, sigmoid, total
@@ -201,22 +201,26 @@ def spread_attributes(dense: DataFrame) -> DataFrame:
 
 def trailing_frames(dense: DataFrame, spec: PanelSpec) -> DataFrame:
     """Trailing 3/6/12-month sums, running first and last activity, forward orders."""
-    by_month = Window.partitionBy(CUSTOMER).orderBy("m")
-    so_far = by_month.rowsBetween(Window.unboundedPreceding, 0)
-
-    def last(months: int, name: str) -> Column:
-        return F.sum(name).over(by_month.rowsBetween(-(months - 1), 0)).alias(f"{name}_k{months}")
-
-    return dense.select(
+    def frame(aggregate: str, first: str, last: str = "CURRENT ROW") -> str:
+        window = f"PARTITION BY {CUSTOMER} ORDER BY m ROWS BETWEEN {first} AND {last}"
+        return f"{aggregate} OVER ({window})"
+
+    def trailing(months: int, *names: str) -> list[str]:
+        first = f"{months - 1} PRECEDING"
+        return [f"{frame(f'sum({n})', first)} AS {n}_k{months}" for n in names]
+
+    before = frame("sum(lines)", "5 PRECEDING", "3 PRECEDING")
+    ahead = frame("sum(orders)", "1 FOLLOWING", f"{spec.horizon} FOLLOWING")
+    first_active = "min(CASE WHEN orders > 0 THEN m END)"
+    return dense.selectExpr(
         "*",
-        last(3, "orders"), last(3, "lines"), last(3, "urgent"), last(3, "urgent_closed"),
-        last(6, "lines"), last(6, "returned"), last(6, "quantity_cents"),
-        last(12, "lines"), last(12, "value_cents"), last(12, "partial"), last(12, "urgent"),
-        F.coalesce(F.sum("lines").over(by_month.rowsBetween(-5, -3)), F.lit(0)).alias("lines_before"),
-        F.min(F.when(F.col("orders") > 0, F.col("m"))).over(so_far).alias("first_m"),
-        F.max("last_day").over(so_far).alias("last_seen"),
-        F.coalesce(F.sum("orders").over(by_month.rowsBetween(1, spec.horizon)), F.lit(0))
-        .alias("orders_ahead"),
+        *trailing(3, "orders", "lines", "urgent", "urgent_closed"),
+        *trailing(6, "lines", "returned", "quantity_cents"),
+        *trailing(12, "lines", "value_cents", "partial", "urgent"),
+        f"coalesce({before}, 0) AS lines_before",
+        f"coalesce({ahead}, 0) AS orders_ahead",
+        f"{frame(first_active, 'UNBOUNDED PRECEDING')} AS first_m",
+        f"{frame('max(last_day)', 'UNBOUNDED PRECEDING')} AS last_seen",
     )
 
 

@@ -1,0 +1,128 @@
+from __future__ import annotations
+
+from dataclasses import replace
+
+import numpy as np
+import pandas as pd
+import pytest
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import functions as F
+
+from holdfast.operators import learning
+from holdfast.operators.ledger import POST_TARGET
+from holdfast.schema import (
+    CATEGORICAL_FEATURES, FEATURE_TABLE_COLUMNS, FEATURE_TABLE_SCHEMA, FEATURES, NUMERIC_FEATURES,
+    SPLIT, TARGET,
+)
+
+QUICK = replace(learning.V1_BOOSTING, rounds=3)
+
+
+@pytest.fixture(scope="module")
+def features(spark):
+    rng = np.random.default_rng(4)
+    n = 600
+    pdf = pd.DataFrame({c: rng.integers(0, 50, n) for c in NUMERIC_FEATURES})
+    pdf["customer_id"] = np.arange(n)
+    pdf["snapshot_month"] = "2024-06"
+    for c in CATEGORICAL_FEATURES:
+        pdf[c] = rng.choice(["a", "b"], n)
+    pdf[SPLIT] = np.where(pdf.index % 10 < 6, "train", np.where(pdf.index % 10 < 8, "validation", "test"))
+    pdf.loc[pdf.index % 100 == 9, "age_band"] = "unseen"
+    pdf[TARGET] = (pdf.tenure_months + rng.integers(0, 20, n) > 40).astype(int)
+    for field in FEATURE_TABLE_SCHEMA:
+        if field.dataType.typeName() == "double":
+            pdf[field.name] = pdf[field.name].astype(float)
+    return spark.createDataFrame(pdf[FEATURE_TABLE_COLUMNS], FEATURE_TABLE_SCHEMA).cache()
+
+
+@pytest.fixture(scope="module")
+def ledger(spark):
+    n = 60
+    pdf = pd.DataFrame({
+        "treatment_log_id": [f"TLOG-{i:06d}" for i in range(n)], "policy_rank": range(1, n + 1),
+        "customer_id": range(n), "snapshot_month": "2024-06",
+        "assigned_group": ["control" if i % 5 == 0 else "treatment" for i in range(n)],
+        "recommended_action": ["x" if i % 2 else "y" for i in range(n)], "contact_channel": "c",
+        "reason_code_1": "r", "reason_code_2": "q", learning.MODEL_V1_SCORE: 0.5,
+        "contact_attempted": 1, "contact_success": 0, "treatment_completed": 0,
+        "intervention_cost_index": 1.5, POST_TARGET: [int(i % 3 == 0) for i in range(n)],
+    })
+    return spark.createDataFrame(pdf).cache()
+
+
+def test_quotas_use_largest_remainders():
+    assert learning.stratum_quotas({0: 7, 1: 13}, 0.2) == {0: 1, 1: 3}
+    assert learning.stratum_quotas({0: 5, 1: 5}, 0.25) == {0: 2, 1: 1}
+    assert sum(learning.stratum_quotas({0: 83, 1: 167}, 0.2).values()) == 50
+    assert learning.stratum_quotas({}, 0.2) == {}
+
+
+@pytest.mark.parametrize("positives", [40, 83, 125])
+def test_split_of_250_is_150_50_50(spark, positives):
+    frame = spark.range(250).select(
+        F.col("id").alias("customer_id"), (F.col("id") < positives).cast("int").alias(POST_TARGET))
+    split = learning.stratified_split(frame)
+    counts = {r[0]: (r[1], r[2]) for r in split.groupBy(learning.LEARNING_SPLIT)
+              .agg(F.count("*"), F.avg(POST_TARGET)).collect()}
+    assert {k: v[0] for k, v in counts.items()} == {"train": 150, "validation": 50, "test": 50}
+    for _, rate in counts.values():
+        assert abs(rate - positives / 250) < 0.02
+
+
+def test_split_is_the_same_on_any_strategy(spark):
+    frame = spark.range(97).select(
+        F.col("id").alias("customer_id"), (F.col("id") % 3 == 0).cast("int").alias(POST_TARGET))
+    a = learning.stratified_split(frame)
+    b = learning.stratified_split(frame.repartition(9), single_task_rows=0)
+    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+
+
+def test_learning_table(features, ledger):
+    table = learning.build_learning_table(features, ledger)
+    rows = table.collect()
+    assert len(rows) == 60 and len({r["treatment_log_id"] for r in rows}) == 60
+    assert set(FEATURES) <= set(table.columns)
+    assert all(r["assigned_treatment_flag"] == (r["assigned_group"] == "treatment") for r in rows)
+    assert {r[learning.LEARNING_SPLIT] for r in rows} == {"train", "validation", "test"}
+
+
+def test_ledger_row_without_features_fails(features, ledger):
+    with pytest.raises(ValueError, match="35 empty feature cells"):
+        learning.build_learning_table(features.where("customer_id <> 7"), ledger)
+
+
+def test_training_needs_every_split(features):
+    with pytest.raises(ValueError, match=r"\['test'\]"):
+        learning.train_model_v1(features.where(F.col(SPLIT) != "test"), QUICK)
+
+
+def test_unseen_category_encodes_as_zeros(features):
+    design = learning.model_v1_design(features)
+    assert design.count() == features.count()
+    widths = design.select(F.size(vector_to_array("design")).alias("w")).distinct().collect()
+    assert [r["w"] for r in widths] == [31 + 4 * 2]
+    coded = design.join(features.select("customer_id", "age_band"), "customer_id").select(
+        "age_band", F.slice(vector_to_array("design"), 32, 2).alias("x"))
+    assert {tuple(r["x"]) for r in coded.where("age_band = 'unseen'").collect()} == {(0.0, 0.0)}
+    assert {tuple(r["x"]) for r in coded.where("age_band = 'a'").collect()} == {(1.0, 0.0)}
+
+
+def test_model_v1_finds_a_planted_signal(features):
+    result = learning.run_model_v1(features, QUICK)
+    scored = result.scored_table
+    assert scored.count() == features.count()
+    low, high = scored.agg(F.min(result.score_column), F.max(result.score_column)).first()
+    assert 0 <= low < high <= 1
+    assert {r[0] for r in scored.select(learning.MODEL_V1_DECILE).distinct().collect()} == set(range(1, 11))
+    for row in result.metrics.collect():
+        assert row["roc_auc"] > 0.8
+
+
+def test_model_v2_runs_end_to_end(features, ledger):
+    result = learning.run_model_v2(features, ledger, replace(learning.V2_BOOSTING, rounds=2))
+    assert result.scored_table.count() == 60
+    assert result.scored_table.columns[-2:] == [learning.MODEL_V2_SCORE, learning.MODEL_V2_DECILE]
+    rows = result.metrics.collect()
+    assert {r["split"] for r in rows} == {"validation", "test"}
+    assert "precision_at_50" in result.metrics.columns

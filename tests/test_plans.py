@@ -1,0 +1,83 @@
+"""What the physical plans must and must not contain."""
+
+from __future__ import annotations
+
+import re
+
+import pytest
+from conftest import plan_of
+
+from holdfast.operators import metrics, policy, ranking, rules
+from holdfast.plans import catalog
+from holdfast.schema import KEYS
+from pyspark.sql import functions as F
+
+
+@pytest.fixture(scope="module")
+def rule_inputs(spark, data):
+    return catalog.staged_rule_inputs(spark, data)
+
+
+def test_no_python_in_any_panel_or_feature_plan(spark, data):
+    for df in (catalog.panel_of(spark, data), catalog.features_of(spark, data)):
+        plan = plan_of(df)
+        assert "Python" not in plan and "Pandas" not in plan
+
+
+def test_features_shuffle_once_per_aggregation_level(spark, data):
+    plan = plan_of(catalog.features_of(spark, data))
+    shuffles = re.findall(r"(?<!Broadcast)Exchange (hashpartitioning\([^)]*\)|SinglePartition)", plan)
+    keys = [re.sub(r"#\d+L?|, \d+\)$|hashpartitioning\(", "", s) for s in shuffles]
+    assert keys == ["customer_id", "customer_id, m", "l_orderkey"]
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_fact_scans_read_only_what_is_used(spark, data):
+    plan = plan_of(catalog.panel_of(spark, data))
+    assert "ReadSchema: struct<l_orderkey:bigint,l_quantity:double,l_returnflag:string>" in plan
+    counts_only = plan_of(catalog.QUERIES["panel_label"](spark, data))
+    assert "l_orderkey" not in counts_only or "l_quantity" not in counts_only
+
+
+def test_deciles_only_add_an_expression(rule_inputs):
+    plan = plan_of(rules.score_with_rules(rule_inputs))
+    assert "Exchange" not in plan and "Window" not in plan
+
+
+def test_scale_range_reads_only_rule_inputs(rule_inputs):
+    plan = plan_of(rule_inputs.agg(F.min(rules.raw_rules_score())))
+    assert "relationship_value_index" not in plan
+
+
+def test_metrics_limit_rows_before_the_ranking_shuffle(rule_inputs):
+    plan = plan_of(rules.evaluate_rules(rules.score_rules(rule_inputs)))
+    assert plan.count("WindowGroupLimit") == 2
+    assert "SinglePartition" not in plan
+
+
+def test_list_keeps_the_best_rows_per_task(rule_inputs):
+    scored = rule_inputs.withColumn(policy.MODEL_V1_SCORE, F.lit(0.5))
+    assert "TakeOrderedAndProject" in plan_of(policy.select_top(scored, 100))
+
+
+def test_large_list_is_a_filter(rule_inputs):
+    top = ranking.top_rows(
+        rule_inputs, 500, -F.col("value_at_risk_index"), [F.col(k) for k in KEYS], single_task_rows=0)
+    assert "Exchange" not in plan_of(top) and top.count() == 500
+
+
+def test_month_and_columns_reach_the_scan(rule_inputs):
+    scores, traits = policy.policy_candidates(
+        rule_inputs.withColumns({policy.MODEL_V1_SCORE: F.lit(0.5), policy.MODEL_V1_DECILE: F.lit(1)}),
+        rule_inputs, "2001-04")
+    plan = plan_of(traits)
+    assert "EqualTo(snapshot_month,2001-04)" in plan
+    assert "process_friction_score" not in plan
+
+
+def test_histogram_is_combined_before_its_shuffle(rule_inputs):
+    scored = rules.score_rules(rule_inputs)
+    plan = plan_of(metrics._split_summary(
+        scored.selectExpr("data_split AS split", "rules_risk_score AS score",
+                          "voluntary_attrition_next_90d AS target"), 10))
+    assert plan.count("partial_count") == 1
