@@ -284,8 +284,8 @@ def decile_profile(spark, folder):
     )
 
 
-@query("rules_pipeline")
-def rules_pipeline(spark, folder):
+@query("rules_end_to_end")
+def rules_end_to_end(spark, folder):
     result = rules.run_rules(staged_rule_inputs(spark, folder))
     measured = result.metrics.select(
         F.col("split").alias(SPLIT), F.col("roc_auc").alias("split_roc_auc")

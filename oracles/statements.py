@@ -265,7 +265,7 @@ FROM customer CROSS JOIN (SELECT unnest(generate_series(1, 80)) AS m)""",
     "decile_profile": statement("scored", f"""SELECT rules_risk_decile, count(*) AS rows,
   {rnd(f'avg({TARGET})', 6)} AS target_rate, min(rules_risk_score) AS min_score,
   max(rules_risk_score) AS max_score FROM ranked GROUP BY rules_risk_decile"""),
-    "rules_pipeline": statement("scored", f"""SELECT {KEYS}, data_split, {TARGET}, {CARRIED},
+    "rules_end_to_end": statement("scored", f"""SELECT {KEYS}, data_split, {TARGET}, {CARRIED},
   rules_risk_score, rules_risk_decile, roc_auc AS split_roc_auc
 FROM ranked LEFT JOIN ({RULES_METRICS}) q ON q.split = data_split"""),
     "metrics_base": rules_metrics("split, rows, target_rate"),
