@@ -264,7 +264,8 @@ def stratified_split(
 
 def build_learning_table(features: DataFrame, ledger: DataFrame, seed: int = SEED) -> DataFrame:
     """Ledger with features and learning split; fails where a ledger row has no features."""
-    joined = join_ledger(features, ledger)
+    # Staged, for the checks and class sizes below read it before the result is used.
+    joined = stage(join_ledger(features, ledger), "joined")
     missing = null_audit(joined).first()["missing_feature_cells"]
     if missing:
         raise ValueError(f"the feature join left {missing} empty feature cells")

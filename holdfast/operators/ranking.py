@@ -1,23 +1,22 @@
 """Exact ranks over whole tables without moving a table into one task.
 
-A position in a total order is found in two steps. Counting rows per value of a
-coarse leading key (a score at six decimals, a digest prefix) combines before the
-shuffle and leaves a small histogram, which tells the value the position falls in.
-Only when the position falls inside a group of equal values are that group's rows
-ordered further, by a range sort whose partitions split ties on the full key.
-The result is a handful of row keys, and every row is then compared with those.
+A position in a total order is found by narrowing. Rows are counted per thousandth of
+the score, then, inside the few thousandths that hold a wanted position, per millionth;
+both counts combine before their shuffle and have a size fixed by the score's range.
+Only where a position falls inside a group of equal millionths are that group's rows
+ordered further, by a range sort whose partitions split ties on the full key. The
+result is a handful of row keys, and every row is then compared with those.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
-from typing import Any
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from holdfast.functions.numeric import flag, total
+from holdfast.functions.numeric import clip, flag, total
 from holdfast.schema import KEYS, require_columns
 from holdfast.sources.staging import stage
 
@@ -26,23 +25,27 @@ DECILES = 10
 SINGLE_TASK_ROWS = 100_000
 
 
+def millionths(score: Column) -> Column:
+    """Score in whole millionths; values outside -1 to 1 join the outermost group."""
+    return F.rint(clip(score, -1.0, 1.0) * 1e6).cast("long")
+
+
 @dataclass(frozen=True)
 class Cut:
-    """The row at ``rank``: its leading value and, if ties had to be split, its tail keys."""
+    """The row at ``rank``: its score group and, if the group had to be split, its key."""
 
     rank: int
-    lead: Any
-    tail: tuple | None
+    group: int
+    key: tuple | None
 
     def passed(self, lead: Column, tail: Sequence[Column]) -> Column:
         """Condition: a row comes after the cut."""
-        after = lead > F.lit(self.lead)
-        if self.tail is None:
-            return after
-        level = F.lit(False)
-        for key, value in reversed(list(zip(tail, self.tail))):
-            level = (key > F.lit(value)) | ((key == F.lit(value)) & level)
-        return after | ((lead == F.lit(self.lead)) & level)
+        if self.key is None:
+            return millionths(lead) > F.lit(self.group)
+        after = F.lit(False)
+        for column, value in reversed(list(zip([lead, *tail], self.key))):
+            after = (column > F.lit(value)) | ((column == F.lit(value)) & after)
+        return after
 
 
 def number_rows(
@@ -72,72 +75,75 @@ def number_rows(
     )
 
 
+def _counts(df: DataFrame, key: Column) -> list[tuple[int, int]]:
+    rows = df.groupBy(key.alias("k")).agg(F.count(F.lit(1)).alias("n")).collect()
+    return sorted((r["k"], r["n"]) for r in rows)
+
+
+def _holders(
+    counts: list[tuple[int, int]], ranks: list[int]
+) -> dict[int, tuple[int, int, int]]:
+    """Per rank the key that holds it, the rows before that key and up to its end."""
+    found, before, pending = {}, 0, sorted(set(ranks))
+    for key, n in counts:
+        while pending and pending[0] <= before + n:
+            found[pending.pop(0)] = (key, before, before + n)
+        before += n
+    return found
+
+
 def find_cuts(
     df: DataFrame,
     lead: Column,
     tail: Sequence[Column],
-    ranks: Callable[[Column], list[Column]],
+    ranks: Callable[[int], list[int]],
     single_task_rows: int = SINGLE_TASK_ROWS,
 ) -> list[Cut]:
     """Rows at the given ranks of ``df`` ordered ascending by ``lead``, then ``tail``.
 
-    ``ranks`` maps the row count to the wanted ranks. ``lead`` must have a bounded
-    number of values (a score at six decimals has 1,000,001); ``tail`` must make the
-    order total. A rank asked for twice is returned twice; one beyond the last row, never.
+    ``lead`` is a score between -1 and 1, ``tail`` makes the order total, and ``ranks``
+    maps the row count to the wanted ranks. At most 2,001 counts of the first pass and
+    1,000 per wanted rank of the second reach the driver.
     """
-    everything = Window.orderBy("lead").rowsBetween(
-        Window.unboundedPreceding, Window.unboundedFollowing
-    )
-    so_far = Window.orderBy("lead").rowsBetween(Window.unboundedPreceding, 0)
-    histogram = df.groupBy(lead.alias("lead")).agg(F.count(F.lit(1)).alias("n"))
-    located = (
-        histogram.withColumns(
-            {"upto": F.sum("n").over(so_far), "all": F.sum("n").over(everything)}
-        )
-        .withColumn(
-            "hits",
-            F.filter(
-                F.array(*[r.cast("long") for r in ranks(F.col("all"))]),
-                lambda r: (r > F.col("upto") - F.col("n")) & (r <= F.col("upto")),
-            ),
-        )
-        .where(F.size("hits") > 0)
-        .orderBy("lead")
-        .collect()
-    )
-    cuts: dict[int, Cut] = {}
-    split = []
-    for row in located:
-        for rank in row["hits"]:
-            if rank == row["upto"]:
-                cuts[rank] = Cut(rank, row["lead"], None)
-            elif row not in split:
-                split.append(row)
-    if split:
-        shifts, seen = {}, 0
-        for row in split:
-            shifts[row["lead"]] = row["upto"] - row["n"] - seen
-            seen += row["n"]
-        names = [f"k{i}" for i in range(len(tail))]
-        ties = df.where(lead.isin([row["lead"] for row in split])).select(
-            lead.alias("lead"), *[key.alias(name) for key, name in zip(tail, names)]
-        )
-        numbered = number_rows(
-            ties, [F.col(c) for c in ("lead", *names)], "at", seen, single_task_rows
+    group = millionths(lead)
+    bucket = F.floor(group / F.lit(1000.0))
+    coarse = _counts(df, bucket)
+    rows = sum(n for _, n in coarse)
+    wanted = sorted(r for r in ranks(rows) if 1 <= r <= rows)
+    if not wanted:
+        return []
+    buckets = _holders(coarse, wanted)
+    chosen = {key: before for key, before, _ in buckets.values()}
+    fine = _counts(df.where(bucket.isin(list(chosen))), group)
+    holders = {}
+    for key, before in chosen.items():
+        inside = [(g, n) for g, n in fine if g // 1000 == key]
+        ours = [r - before for r in wanted if buckets[r][0] == key]
+        for rank, (g, low, high) in _holders(inside, ours).items():
+            holders[rank + before] = (g, low + before, high + before)
+
+    cuts = {r: Cut(r, g, None) for r, (g, _, high) in holders.items() if r == high}
+    tied = sorted({h for r, h in holders.items() if r not in cuts})
+    if tied:
+        shift, seen = {}, 0
+        for g, low, high in tied:
+            shift[g] = low - seen
+            seen += high - low
+        names = [f"k{i}" for i in range(len(tail) + 1)]
+        ties = df.where(group.isin(list(shift))).select(
+            *[key.alias(name) for key, name in zip([lead, *tail], names)]
         )
-        wanted = {
-            rank - shifts[row["lead"]]: rank
-            for row in split for rank in row["hits"] if rank not in cuts
-        }
-        for hit in numbered.where(F.col("at").isin(list(wanted))).collect():
-            rank = wanted[hit["at"]]
-            cuts[rank] = Cut(rank, hit["lead"], tuple(hit[name] for name in names))
-    return [cuts[rank] for row in located for rank in sorted(row["hits"])]
+        numbered = number_rows(ties, [F.col(c) for c in names], "at", seen, single_task_rows)
+        places = {r - shift[holders[r][0]]: r for r in holders if r not in cuts}
+        for hit in numbered.where(F.col("at").isin(list(places))).collect():
+            rank = places[hit["at"]]
+            cuts[rank] = Cut(rank, holders[rank][0], tuple(hit[name] for name in names))
+    return [cuts[rank] for rank in wanted]
 
 
-def decile_ranks(rows: Column) -> list[Column]:
+def decile_ranks(rows: int) -> list[int]:
     """Last rank of deciles 1-9: linearly interpolated, right-closed cut points."""
-    return [F.floor((rows - 1) * j / DECILES) + 1 for j in range(1, DECILES)]
+    return [(rows - 1) * j // DECILES + 1 for j in range(1, DECILES)]
 
 
 def assign_deciles(
@@ -150,8 +156,7 @@ def assign_deciles(
 ) -> DataFrame:
     """Add the risk decile, 10 the riskiest; equal scores are ordered by ``keys``.
 
-    ``score`` must be rounded to six decimals. The cut rows are found first, so the
-    table itself only gains an expression. ``fit_on`` restricts the rows they come from.
+    The cut rows are found first, so the table itself only gains an expression. ``fit_on`` restricts the rows they come from.
     """
     require_columns(df, [score, *keys], "scored table")
     lead, tail = F.col(score), [F.col(k) for k in keys]
@@ -174,7 +179,7 @@ def top_rows(
     """
     if k <= single_task_rows:
         return df.orderBy(lead, *tail).limit(k)
-    cuts = find_cuts(df, lead, tail, lambda n: [F.least(n, F.lit(k))], single_task_rows)
+    cuts = find_cuts(df, lead, tail, lambda n: [min(n, k)], single_task_rows)
     return df.where(~cuts[0].passed(lead, tail)) if cuts else df
 
 

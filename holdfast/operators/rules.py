@@ -11,6 +11,7 @@ from holdfast.functions.numeric import clip, round_even, total
 from holdfast.operators.metrics import evaluate_scores
 from holdfast.operators.ranking import assign_deciles
 from holdfast.schema import CARRIED_INDEXES, KEYS, SPLIT, TARGET, require_columns
+from holdfast.sources.staging import stage
 
 RULES_VERSION = "rules_baseline_v1"
 RULES_SCORE = "rules_risk_score"
@@ -80,8 +81,13 @@ def score_rules(features: DataFrame, fit_on: Column | None = None) -> DataFrame:
 
 def score_with_rules(features: DataFrame, fit_on: Column | None = None) -> DataFrame:
     """Rules score and decile. The scale and the decile cuts come from all rows, or from
-    the rows matching ``fit_on`` when later months must not influence them."""
-    return assign_deciles(score_rules(features, fit_on), RULES_SCORE, RULES_DECILE, fit_on=fit_on)
+    the rows matching ``fit_on`` when later months must not influence them.
+
+    The scores are staged, so that the passes behind the deciles read one narrow column
+    instead of computing the score again from all its inputs.
+    """
+    scores = stage(score_rules(features, fit_on), "rules-scores")
+    return assign_deciles(scores, RULES_SCORE, RULES_DECILE, fit_on=fit_on)
 
 
 def evaluate_rules(scored: DataFrame, **options) -> DataFrame:

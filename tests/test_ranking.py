@@ -87,13 +87,22 @@ def test_number_rows(spark, rows_limit):
 
 def test_cut_at_the_end_of_a_tie_needs_no_second_pass(spark):
     _, df = frame(spark, np.array([0.1] * 5 + [0.2] * 5))
-    cuts = ranking.find_cuts(df, F.col("s"), [F.col("customer_id")], lambda n: [F.lit(5)])
-    assert [(c.rank, c.lead, c.tail) for c in cuts] == [(5, 0.1, None)]
+    cuts = ranking.find_cuts(df, F.col("s"), [F.col("customer_id")], lambda n: [5])
+    assert [(c.rank, c.group, c.key) for c in cuts] == [(5, 100_000, None)]
 
 
 def test_rank_beyond_the_table_gives_no_cut(spark):
     _, df = frame(spark, np.array([0.1, 0.2]))
-    assert ranking.find_cuts(df, F.col("s"), [F.col("customer_id")], lambda n: [F.lit(9)]) == []
+    assert ranking.find_cuts(df, F.col("s"), [F.col("customer_id")], lambda n: [9]) == []
+
+
+@pytest.mark.parametrize("rows_limit", STRATEGIES)
+def test_scores_beyond_six_decimals_and_the_unit_interval(spark, rows_limit):
+    rng = np.random.default_rng(11)
+    scores = np.concatenate([0.3 + rng.random(200) * 1e-9, rng.normal(0, 3, 200)])
+    pdf, df = frame(spark, scores)
+    got = ranking.assign_deciles(df, "s", "d", single_task_rows=rows_limit)
+    assert {r["customer_id"]: r["d"] for r in got.collect()} == expected_deciles(pdf)
 
 
 def test_decile_profile(spark):
