@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from holdfast.functions.numeric import flag, keyed_digest
-from holdfast.operators.ranking import number_rows, top_rows
+from holdfast.operators.ranking import TAKE_ROWS, number_rows, top_rows
 from holdfast.schema import (
     CARRIED_INDEXES,
     CUSTOMER,
@@ -19,6 +19,7 @@ from holdfast.schema import (
     TARGET,
     require_columns,
 )
+from holdfast.sources.staging import stage
 
 MODEL_V1_VERSION = "ml_model_v1"
 MODEL_V1_SCORE = "model_v1_risk_score"
@@ -89,11 +90,15 @@ def join_candidates(scores: DataFrame, features: DataFrame) -> DataFrame:
     return scores.join(features.drop(*clashing), list(KEYS), "left")
 
 
-def select_top(frame: DataFrame, capacity: int) -> DataFrame:
-    """The riskiest ``capacity`` rows: score, then value at risk, then customer."""
-    return top_rows(
-        frame, capacity, -F.col(MODEL_V1_SCORE), [-F.col("value_at_risk_index"), F.col(CUSTOMER)]
-    )
+def select_top(frame: DataFrame, capacity: int, take_rows: int = TAKE_ROWS) -> DataFrame:
+    """The riskiest ``capacity`` rows: score, then value at risk, then customer.
+
+    A list too long to be taken directly needs several passes, hence the staged copy.
+    """
+    if capacity > take_rows:
+        frame = stage(frame, "candidates")
+    order = [-F.col("value_at_risk_index"), F.col(CUSTOMER)]
+    return top_rows(frame, capacity, -F.col(MODEL_V1_SCORE), order, take_rows)
 
 
 def add_policy_rank(selected: DataFrame, capacity: int) -> DataFrame:

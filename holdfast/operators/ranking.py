@@ -23,6 +23,8 @@ from holdfast.sources.staging import stage
 DECILES = 10
 # Row counts up to this are numbered by one task; larger ones by a range sort.
 SINGLE_TASK_ROWS = 100_000
+# Longest list every task may contribute in full; longer ones are located by a cut.
+TAKE_ROWS = 10_000
 
 
 def millionths(score: Column) -> Column:
@@ -170,16 +172,16 @@ def top_rows(
     k: int,
     lead: Column,
     tail: Sequence[Column],
-    single_task_rows: int = SINGLE_TASK_ROWS,
+    take_rows: int = TAKE_ROWS,
 ) -> DataFrame:
     """The first ``k`` rows by ``lead``, then ``tail``, ascending.
 
-    Up to ``single_task_rows`` every task keeps its best ``k``; beyond that the ``k``-th
-    row is located and the table filtered against it.
+    Up to ``take_rows`` every task sends its best ``k`` to one; beyond that the ``k``-th
+    row is located and the table filtered against it, so pass a table then.
     """
-    if k <= single_task_rows:
+    if k <= take_rows:
         return df.orderBy(lead, *tail).limit(k)
-    cuts = find_cuts(df, lead, tail, lambda n: [min(n, k)], single_task_rows)
+    cuts = find_cuts(df, lead, tail, lambda n: [min(n, k)])
     return df.where(~cuts[0].passed(lead, tail)) if cuts else df
 
 

@@ -62,7 +62,7 @@ def test_list_keeps_the_best_rows_per_task(rule_inputs):
 
 def test_large_list_is_a_filter(rule_inputs):
     top = ranking.top_rows(
-        rule_inputs, 500, -F.col("value_at_risk_index"), [F.col(k) for k in KEYS], single_task_rows=0)
+        rule_inputs, 500, -F.col("value_at_risk_index"), [F.col(k) for k in KEYS], take_rows=0)
     assert "Exchange" not in plan_of(top) and top.count() == 500
 
 

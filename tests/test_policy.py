@@ -108,6 +108,15 @@ def test_features_are_joined_once_with_scores_kept(spark):
     assert joined.where(F.col("digital_inactivity_flag").isNull()).count() == 60
 
 
+@pytest.mark.parametrize("capacity", [1, 40, 120, 500])
+def test_long_lists_select_the_same_rows(spark, capacity):
+    _, table = inputs(spark)
+    latest = table.where("snapshot_month = '2024-06'")
+    short = policy.select_top(latest, capacity).select("customer_id").collect()
+    long = policy.select_top(latest, capacity, take_rows=0).select("customer_id").collect()
+    assert sorted(short) == sorted(long) and len(long) == min(capacity, 120)
+
+
 def test_summary(spark):
     _, table = inputs(spark)
     listed = policy.create_intervention_list(table, table, 50).intervention_list
