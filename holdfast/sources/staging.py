@@ -2,13 +2,12 @@
 
 Operators that read an input several times, or number rows by file position, need
 one fixed copy of it. The copy is a parquet table below ``spark.checkpoint.dir``,
-the shared folder the cluster names, so it outlives lost executors, later passes
+the shared folder the cluster names (else below the warehouse), so it outlives lost executors, later passes
 read only the columns they use, and the lineage behind it is cut.
 """
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,14 +16,9 @@ _staged: dict[str, list[str]] = {}
 
 
 def _root(spark: SparkSession) -> str:
+    """``spark.checkpoint.dir``, or a folder below the warehouse where that is unset."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    root = configured or spark.sparkContext.getCheckpointDir()
-    if root:
-        return root
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("spark.checkpoint.dir must name a folder all executors share")
-    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="holdfast-"))
-    return spark.sparkContext.getCheckpointDir()
+    return configured or f"{spark.conf.get('spark.sql.warehouse.dir')}/staged"
 
 
 def staging_path(spark: SparkSession, label: str) -> str:

@@ -47,7 +47,7 @@ def test_unknown_format_raises(spark, tmp_path):
 def test_staged_copy_is_a_scan_below_the_checkpoint_folder(spark):
     copy = stage(spark.createDataFrame(ROWS, DDL).selectExpr("*", "score * 2 AS twice"), "copy")
     assert sorted(r["twice"] for r in copy.collect()) == sorted(2 * s for _, _, s in ROWS)
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     assert staging_path(spark, "x").startswith(root.rstrip("/"))
     plan = copy.select("twice")._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<twice:double>" in plan
