@@ -3,3 +3,75 @@
 from __future__ import annotations
 
 ORACLES: dict[str, str] = {}
+
+ORACLES["op4_url_verdicts"] = r"""
+WITH parts AS (
+  SELECT page_id,
+    coalesce(translate(regexp_extract(url, '^(.*?)://([^/?#]*)([^?#]*)', 2, 's'),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+    coalesce(regexp_extract(url, '^(.*?)://([^/?#]*)([^?#]*)', 3, 's'), '') AS path
+  FROM pages
+),
+rules(name, site, start, action) AS (
+  VALUES ('org/', 'org', '/', 'allow'), ('example.org/es/', 'example.org', '/es/', 'block'),
+    ('example.org/en/1', 'example.org', '/en/1', 'allow'), ('com/fr/', 'com', '/fr/', 'allow'),
+    ('com/de/', 'com', '/de/', 'block')
+),
+best AS (
+  SELECT host, path, arg_max(name, length(name)) AS rule, arg_max(action, length(name)) AS action
+  FROM (SELECT DISTINCT host, path FROM parts), rules
+  WHERE (host = site OR ends_with(host, '.' || site)) AND starts_with(path, start)
+  GROUP BY host, path
+)
+SELECT page_id, p.host, p.path, rule,
+  coalesce(action, CASE WHEN regexp_matches(p.host || p.path,
+    '(^|[^0-9A-Za-z])(casino-win|free-bets|cheap-pills|spam-farm)([^0-9A-Za-z]|$)') THEN 'block' ELSE 'allow' END)
+    AS verdict
+FROM parts p LEFT JOIN best b ON p.host = b.host AND p.path = b.path
+"""
+
+# Words split at the same six characters; windows of eight words are compared as joined text.
+ORACLES["op6_quality_rules"] = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS row, doc_id, coalesce(text, '') AS text,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+  FROM documents
+),
+windows AS (
+  SELECT row, i, array_to_string(words[i : i + 7], ' ') AS own
+  FROM docs, unnest(range(1, len(words) - 6)) AS t(i)
+),
+twice AS (
+  SELECT row, i FROM windows
+  QUALIFY count(*) OVER (PARTITION BY row, own) > 1
+),
+covered AS (
+  SELECT row, count(DISTINCT i + k) AS n FROM twice, range(0, 8) AS s(k) GROUP BY row
+),
+lines AS (
+  SELECT row, line, count(*) - 1 AS more
+  FROM (SELECT row, unnest(string_split(text, chr(10))) AS line FROM docs)
+  WHERE regexp_matches(line, '[^\x20\x09-\x0D]')
+  GROUP BY row, line
+),
+dup AS (SELECT row, sum(more) AS n FROM lines GROUP BY row),
+counts AS (
+  SELECT d.row, doc_id, text, len(words) AS n_words, len(array_to_string(words, '')) AS word_chars,
+    len(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
+    coalesce(dup.n, 0)::BIGINT AS n_dup_lines, coalesce(covered.n, 0) AS n_repeat_words
+  FROM docs d LEFT JOIN dup ON d.row = dup.row LEFT JOIN covered ON d.row = covered.row
+),
+judged AS (
+  SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+    len(regexp_replace(text, '[^A-Z]', '', 'g')) AS upper_letters,
+    len(regexp_replace(text, '[^A-Za-z]', '', 'g')) AS letters,
+    len(regexp_replace(text, '[^!]', '', 'g')) AS marks,
+    len(string_split(text, chr(10))) AS n_lines
+  FROM counts
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT (base_failed OR word_chars < 2 * n_words OR word_chars > 12 * n_words
+    OR 10 * n_symbols > 3 * n_words OR 2 * upper_letters > letters
+    OR 3 * n_dup_lines > n_lines OR 10 * marks > 3 * n_words) AS kept
+FROM judged
+"""

@@ -16,6 +16,9 @@ PIECE_BYTES = 1 << 20
 _U = np.uint64
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
+# All ASCII characters but letters and digits.
+PUNCTUATION = np.zeros(256, bool)
+PUNCTUATION[:128] = [not chr(b).isalnum() for b in range(128)]
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
@@ -67,12 +70,26 @@ def text_pieces(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]
         row = end
 
 
+def span_digests(data: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two independent 64-bit hashes of each span of bytes."""
+    up, down = _power_tables(len(data) + 1)
+    digests = []
+    for table in (_BYTE, constants(256, 13)):
+        rolled = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum(table[data] * up[: len(data)], out=rolled[1:])
+        own = (rolled[stops] - rolled[starts]) * down[starts]
+        digests.append(mix(own + (stops - starts).astype(np.uint64)))
+    return digests[0], digests[1]
+
+
 class Words:
     """The words of a piece: ``starts``, ``ends`` (byte positions), ``hashes``; ``first[d]`` to
     ``first[d + 1]`` are the words of its document d."""
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray, lower: bool = False):
-        word = ~_SPACE[data]
+    def __init__(
+        self, data: np.ndarray, offsets: np.ndarray, lower: bool = False, separators: np.ndarray = _SPACE
+    ):
+        word = ~separators[data]
         n = len(data)
         begins = word.copy()
         begins[1:] &= ~word[:-1]
@@ -84,13 +101,19 @@ class Words:
         finishes[last] = word[last]
         self.starts = np.flatnonzero(begins)
         self.ends = np.flatnonzero(finishes) + 1
-        up, down = _power_tables(n + 1)
-        rolled = np.zeros(n + 1, np.uint64)
-        np.cumsum(_BYTE[_LOWER[data] if lower else data] * up[:n], out=rolled[1:])
-        own = (rolled[self.ends] - rolled[self.starts]) * down[self.starts]
+        up, self._down = _power_tables(n + 1)
+        self._rolled = np.zeros(n + 1, np.uint64)
+        np.cumsum(_BYTE[_LOWER[data] if lower else data] * up[:n], out=self._rolled[1:])
+        own = (self._rolled[self.ends] - self._rolled[self.starts]) * self._down[self.starts]
         self.hashes = mix(own + (self.ends - self.starts).astype(np.uint64))
         self.first = np.searchsorted(self.starts, offsets)
 
+    def prefix_hashes(self, at: np.ndarray, size: int) -> np.ndarray:
+        """Hashes of the first ``size`` bytes of the words at positions ``at``."""
+        starts = self.starts[at]
+        own = (self._rolled[starts + size] - self._rolled[starts]) * self._down[starts]
+        return mix(own + _U(size))
+
     def windows(self, size: int) -> tuple[np.ndarray, np.ndarray]:
         """(hash, first) of all windows of ``size`` words inside a document."""
         counts = np.maximum(np.diff(self.first) - size + 1, 0)
