@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from holdfast.llm import chunks, compression, factorization, minhash, quality, tokens, urlrules
+from holdfast.llm import chunks, compression, decontamination, factorization, minhash, pieces
+from holdfast.llm import quality, sharding, tokens, urlrules
 from holdfast.llm.shipping import ship_package
 from holdfast.sources.staging import staging_path
 
@@ -109,3 +110,42 @@ def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
         "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"),
     )
+
+
+@query
+def op8_shards(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents in 24 shards in random order, with row counts at most one apart."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return sharding.shard_documents(docs, 24).select(
+        "doc_id",
+        "size",
+        F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"),
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+@query
+def op9_benchmark_leaks(spark: SparkSession, folder: str) -> DataFrame:
+    """Passages of documents that hold a benchmark item within 5 % of its length in edits."""
+    return decontamination.find_leaks(
+        table(spark, folder, "documents"), table(spark, folder, "benchmark")
+    )
+
+
+@query
+def op10_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document encoded and decoded again: number and hash of its ids, and whether the
+    decoded text is the document's."""
+    path = tokenizer_path("piece_bpe_32k.model")
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    decoded = pieces.decode_pieces(pieces.encode_pieces(docs, path), path)
+    return decoded.select(
+        "doc_id",
+        F.size("ids").alias("n_tokens"),
+        F.xxhash64("ids").alias("ids_hash"),
+        F.crc32(F.col("decoded").cast("binary")).alias("decoded_crc32"),
+        F.col("decoded").eqNullSafe(F.col("text")).alias("round_trip"),
+    )
