@@ -1,9 +1,9 @@
 """Repeated passages: content-defined chunks of texts, deduplicated by digest.
 
-A gear rolling hash over the last 32 bytes of a text places the cuts, so an insertion moves
-only the cuts beside it. Chunks are ``least`` to ``most`` bytes long. A chunk found in a
-document with a smaller doc_id is a repeat; a run of neighbouring repeats is removed when it
-has ``run_words`` words or more, so short shared phrases stay.
+A gear rolling hash over the last 32 bytes of a text places the cuts at its local minima, so
+an insertion moves only the cuts beside it. A chunk found in a document with a smaller
+doc_id is a repeat; a run of neighbouring repeats is removed when it has ``run_words`` words
+or more, so short shared phrases stay.
 """
 
 from __future__ import annotations
@@ -21,13 +21,14 @@ from holdfast.llm import words
 
 @dataclass(frozen=True)
 class ChunkSpec:
-    """A cut falls on one byte in 2^``bits`` on average. A passage of more than 50 words
-    holds whole chunks except for one at each end, so ``run_words`` is well below 50."""
+    """A cut falls where the rolling hash is the smallest within ``reach`` bytes on both sides,
+    so on one byte in 2 ``reach`` + 1 on average, and wherever a chunk would pass ``most``
+    bytes. Cuts depend on nothing further away than ``reach`` + 32 bytes: a passage of more
+    than 50 words holds a run of equal chunks well above ``run_words`` words."""
 
-    bits: int = 5
-    least: int = 16
-    most: int = 96
-    run_words: int = 16
+    reach: int = 24
+    most: int = 128
+    run_words: int = 14
 
 
 GEAR = words.constants(256, 31).astype(np.uint32)
@@ -43,22 +44,34 @@ def rolled(data: np.ndarray) -> np.ndarray:
     return total
 
 
+def _smallest_ahead(values: np.ndarray, size: int) -> np.ndarray:
+    """Minimum of ``size`` values from each position on; beyond the end nothing counts."""
+    least = np.append(values, np.full(size, np.iinfo(values.dtype).max, values.dtype))
+    step = 1
+    while 2 * step <= size:
+        least = np.minimum(least[: len(least) - step], least[step:])
+        step *= 2
+    n = len(values)
+    return np.minimum(least[:n], least[size - step : size - step + n])
+
+
 def chunk_ends(data: np.ndarray, spec: ChunkSpec) -> np.ndarray:
     """Ends of the chunks of one text, the last one at its end."""
     n = len(data)
     if not n:
         return np.zeros(0, np.int64)
-    # The highest bits depend on all of the last 32 bytes.
-    cuts = (np.flatnonzero(rolled(data) >> np.uint32(32 - spec.bits) == 0) + 1).tolist()
-    ends, start, at = [], 0, 0
-    while start < n:
-        low, high = start + spec.least, start + spec.most
-        while at < len(cuts) and cuts[at] < low:
-            at += 1
-        end = min(cuts[at] if at < len(cuts) else n, high, n)
-        ends.append(end)
-        start = end
-    return np.array(ends, np.int64)
+    own = rolled(data)
+    # Of equal values the leftmost is the smallest, so that a plateau makes one cut.
+    after = np.append(_smallest_ahead(own, spec.reach)[1:], np.iinfo(own.dtype).max).astype(own.dtype)
+    before = np.append(_smallest_ahead(own[::-1], spec.reach)[1:], np.iinfo(own.dtype).max)[::-1]
+    ends = np.flatnonzero((own < before) & (own <= after)) + 1
+    ends = np.union1d(ends, [n])
+    starts = np.concatenate([[0], ends[:-1]])
+    long = np.flatnonzero(ends - starts > spec.most)
+    if len(long):
+        more = [np.arange(a + spec.most, b, spec.most) for a, b in zip(starts[long], ends[long])]
+        ends = np.sort(np.concatenate([ends, *more]))
+    return ends.astype(np.int64)
 
 
 def _chunker(spec: ChunkSpec):

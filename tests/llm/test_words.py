@@ -1,0 +1,50 @@
+from __future__ import annotations
+
+import re
+
+import numpy as np
+import pyarrow as pa
+
+from holdfast.llm import words
+
+TEXTS = ["", "one", "a b c a b c", " \t lead\nand tail \n", None, "é\xa0x ü", "A a A a", "x" * 5000 + " y"]
+
+
+def pieces(texts):
+    return list(words.text_pieces(pa.array(texts, pa.string())))
+
+
+def test_words_are_runs_without_the_six_spaces():
+    for row, data, offsets in pieces(TEXTS):
+        found = words.Words(data, offsets)
+        got = [data[a:b].tobytes().decode() for a, b in zip(found.starts, found.ends)]
+        want = [re.findall("[^\x20\x09-\x0d]+", t or "") for t in TEXTS]
+        assert got == sum(want, [])
+        assert np.diff(found.first).tolist() == [len(w) for w in want]
+
+
+def test_equal_words_have_equal_hashes_wherever_they_stand():
+    (_, data, offsets) = pieces(TEXTS)[0]
+    found = words.Words(data, offsets, lower=True)
+    by_word: dict = {}
+    for a, b, h in zip(found.starts, found.ends, found.hashes):
+        by_word.setdefault(data[a:b].tobytes().lower(), set()).add(int(h))
+    assert all(len(h) == 1 for h in by_word.values())
+    assert len({min(h) for h in by_word.values()}) == len(by_word)
+
+
+def test_shingle_sets_match_tuples():
+    (_, data, offsets) = pieces(TEXTS)[0]
+    sizes = [len(s) for s in words.Words(data, offsets, lower=True).shingle_sets(3)]
+    want = []
+    for t in TEXTS:
+        w = (t or "").encode().lower().split()
+        want.append(len({tuple(w[i : i + 3]) for i in range(max(len(w) - 2, bool(w)))}))
+    assert sizes == want
+
+
+def test_pieces_do_not_change_hashes(monkeypatch):
+    whole = [s.tolist() for _, d, o in pieces(TEXTS) for s in words.Words(d, o).shingle_sets(2)]
+    monkeypatch.setattr(words, "PIECE_BYTES", 8)
+    cut = [s.tolist() for _, d, o in pieces(TEXTS) for s in words.Words(d, o).shingle_sets(2)]
+    assert cut == whole
