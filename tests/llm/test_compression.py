@@ -1,0 +1,71 @@
+from __future__ import annotations
+
+import random
+import zlib
+
+import numpy as np
+import pytest
+
+from holdfast.llm import compression
+
+
+def words(draw, pool, n):
+    return " ".join(draw.choice(pool) for _ in range(n))
+
+
+def labelled(n=240):
+    draw = random.Random(2)
+    good = ["".join(draw.choice("abcdefgh") for _ in range(5)) for _ in range(150)]
+    bad = ["".join(draw.choice("stuvwxyz") for _ in range(5)) for _ in range(150)]
+    return [(k, words(draw, bad if k % 3 == 0 else good, 120), 0 if k % 3 == 0 else 1) for k in range(n)]
+
+
+@pytest.fixture
+def tables(spark, docs):
+    rows = labelled()
+    labels = spark.createDataFrame([(k, q, 1 - q) for k, _, q in rows] + [(10**6, 1, 0), (None, 1, 0), (1, None, 0)], "doc_id long, quality int, toxic int")
+    return docs([(k, t) for k, t, _ in rows] + [(5000, None), (5001, ""), (5002, "a" * 300_000), (None, "a"), (7, "x")]), labels
+
+
+def test_scores_separate_the_held_out_classes(tables):
+    frame, labels = tables
+    model = compression.fit_compression(frame, labels, "quality")
+    scored = compression.score_quality(frame, model)
+    assert scored.columns.count("score") == 1 and set(scored.columns) == set(frame.columns)
+    rows = scored.collect()
+    assert len(rows) == 245 and all(0 <= r.score <= 1 for r in rows)
+    truth = {k: q for k, _, q in labelled()}
+    held = [r for r in rows if r.doc_id in truth and zlib.crc32(str(r.doc_id).encode()) % 5 == 0 and len(r.text) > 1]
+    right = [(r.score >= 0.5) == bool(truth[r.doc_id]) for r in held]
+    assert len(held) > 20 and np.mean(right) > 0.95
+    null, empty = (next(r.score for r in rows if r.doc_id == k) for k in (5000, 5001))
+    assert null == empty
+
+
+def test_held_out_labels_change_nothing(spark, tables):
+    frame, labels = tables
+    model = compression.fit_compression(frame, labels, "quality")
+    flipped = labels.selectExpr("doc_id", "CASE WHEN crc32(CAST(CAST(doc_id AS STRING) AS BINARY)) % 5 = 0 THEN 1 - quality ELSE quality END AS quality")
+    assert compression.fit_compression(frame, flipped, "quality") == model
+
+
+@pytest.mark.parametrize("keep, share", [("quality = 1", 0.9), ("false", 0.5)])
+def test_without_both_classes_every_score_is_the_share(tables, keep, share):
+    frame, labels = tables
+    model = compression.fit_compression(frame, labels.where(keep), "quality")
+    scores = {r.score for r in compression.score_quality(frame, model).collect()}
+    assert len(scores) == 1 and (min(scores) == share if share == 0.5 else min(scores) > share)
+
+
+def test_empty_tables(tables):
+    frame, labels = tables
+    model = compression.fit_compression(frame.limit(0), labels, "quality")
+    assert compression.score_quality(frame.limit(0), model).count() == 0
+
+
+def test_curve_is_the_weighted_logistic_fit():
+    x = np.array([-2.0, -1, 0, 0, 1, 2])
+    y = np.array([0.0, 0, 0, 1, 1, 1])
+    slope, intercept = compression.fit_curve(np.repeat(x, [1, 1, 1, 3, 1, 1]), np.repeat(y, [1, 1, 1, 3, 1, 1]), np.ones(8))
+    again = compression.fit_curve(x, y, np.array([1.0, 1, 1, 3, 1, 1]))
+    assert slope > 0 and np.allclose(again, (slope, intercept), rtol=0.05)
