@@ -1,0 +1,138 @@
+from __future__ import annotations
+
+import random
+
+import numpy as np
+import pytest
+
+import corpus_pipeline
+from holdfast.llm import chunks, compression
+from holdfast.llm.queries import QUERIES, tokenizer_path
+from holdfast.llm.statements import ORACLES
+
+COLUMNS = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def vocabulary(draw, letters, n=300):
+    return ["".join(draw.choice(letters) for _ in range(draw.randrange(3, 8))) for _ in range(n)]
+
+
+def tables():
+    draw = random.Random(12)
+    good, bad = vocabulary(draw, "abcdefgh"), vocabulary(draw, "stuvwx#$%")
+    say = lambda pool, n: " ".join(draw.choice(pool) for _ in range(n))
+    items = [(k, say(good, 25)) for k in range(4)]
+    passage = say(good, 60)
+    texts, quality = [], []
+    for k in range(260):
+        poor = k % 5 == 0
+        own = say(bad if poor else good, draw.randrange(60, 200))
+        if not poor and k % 7 == 0:
+            own = own[:200] + " " + passage + " " + own[200:]
+        if not poor and k % 11 == 0:
+            own = own + " " + items[k % 4][1]
+        texts.append(own)
+        quality.append(0 if poor else 1)
+    for k in range(1, 40, 3):
+        near = texts[k].split()
+        near[len(near) // 2] = "changed"
+        texts.append(" ".join(near))
+        quality.append(quality[k])
+    texts += [texts[2], texts[2], texts[3]]
+    rows = [(k, t, "en", "s", len(t)) for k, t in enumerate(texts)]
+    rows += [rows[4], (900, None, None, None, None), (901, "", "en", "s", 0), (None, say(good, 90), "en", "s", 1)]
+    return rows, [(k, q, 0) for k, q in enumerate(quality) if k % 4], items
+
+
+@pytest.fixture(scope="module")
+def folder(spark, tmp_path_factory):
+    path = str(tmp_path_factory.mktemp("corpus"))
+    rows, labels, items = tables()
+    spark.createDataFrame(rows, COLUMNS).write.parquet(f"{path}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{path}/labels.parquet")
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{path}/benchmark.parquet")
+    return path
+
+
+def near_kept(rows):
+    """The rows that stay: all pairs of 5-word shingle sets at 80 % or more are linked."""
+    sets = {}
+    for i, t in rows:
+        w = (t or "").encode().lower().split()
+        sets[i] = {tuple(w[k : k + 5]) for k in range(max(len(w) - 4, bool(w)))}
+    group = {i: i for i in sets}
+    ids = sorted(i for i in sets if i is not None)
+    for x, a in enumerate(ids):
+        for b in ids[x + 1 :]:
+            both = len(sets[a] & sets[b])
+            if both and 100 * both >= 80 * len(sets[a] | sets[b]) and group[a] != group[b]:
+                least, other = sorted((group[a], group[b]))
+                group = {i: least if g == other else g for i, g in group.items()}
+    return {i: t for i, t in rows if i is None or group[i] == i}
+
+
+def passages_cut(rows):
+    """Texts without runs of chunks that a document with a smaller id has."""
+    spec, seen, kept = chunks.ChunkSpec(), {}, {}
+    for i, t in sorted((r for r in rows.items() if r[0] is not None)):
+        data = (t or "").encode()
+        ends = chunks.chunk_ends(np.frombuffer(data, np.uint8), spec).tolist()
+        runs: list = []
+        for a, b in zip([0, *ends], ends):
+            if seen.setdefault(data[a:b], i) < i:
+                if runs and runs[-1][1] == a:
+                    runs[-1][1] = b
+                else:
+                    runs.append([a, b])
+        for a, b in reversed([r for r in runs if len(data[r[0] : r[1]].split()) >= spec.run_words]):
+            data = data[:a] + data[b:]
+        if data.strip() or not t:
+            kept[i] = None if t is None else data.decode()
+    return kept | {i: t for i, t in rows.items() if i is None}
+
+
+def test_pipeline_equals_brute_force(spark, folder):
+    import sentencepiece
+
+    rows, labels, items = tables()
+    frame = spark.createDataFrame(rows, COLUMNS)
+    model = compression.fit_compression(frame, spark.createDataFrame(labels, "doc_id long, quality int, toxic int"), "quality")
+    scores = compression.differences([(r[1] or "").encode() for r in rows], model)
+    good = 1 / (1 + np.exp(-(model.slope * scores + model.intercept))) >= 0.3
+    held = [(r[0], r[1]) for r, g in zip(rows, good) if g]
+    assert 150 < len(held) < 250
+    held = near_kept(held)
+    held = passages_cut(held)
+    held = {i: t for i, t in held.items() if not any(item in (t or "") for _, item in items)}
+    library = sentencepiece.SentencePieceProcessor(model_file=tokenizer_path("piece_bpe_32k.model"))
+    want = {i: None if t is None else library.encode(t) for i, t in held.items()}
+    found = corpus_pipeline.run(spark, folder).collect()
+    assert len(found) == len(want) < len(rows) - 60
+    assert {r.doc_id: r.ids for r in found} == want
+    assert all(r.round_trip for r in found)
+
+
+def test_stages_keep_the_columns_and_clean_documents(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    for _, step in corpus_pipeline.STAGES[:-1]:
+        assert step(spark, docs, folder).schema.simpleString() == docs.schema.simpleString()
+    assert [name for name, _ in corpus_pipeline.STAGES][0] == "quality_classifier"
+
+
+def test_stages_take_empty_tables(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet").limit(0)
+    for _, step in corpus_pipeline.STAGES:
+        assert step(spark, docs, folder).count() == 0
+
+
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_queries_equal_their_statements(spark, data, name):
+    from compare import connect, differences
+
+    assert differences(QUERIES[name](spark, data).toPandas(), connect(data).sql(ORACLES[name]).df()) == []
+
+
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))
+def test_queries_without_a_statement_run(spark, data, name):
+    found = QUERIES[name](spark, data)
+    assert "doc_id" in found.columns and found.count() > 0
