@@ -66,21 +66,24 @@ VALIDATION_SHARE = 0.25
 class BoostingSpec:
     """Boosting parameters; depth d grows about 2**d leaves.
 
-    A keyed share of the training rows is held out, and boosting stops when it no
-    longer gains by ``tolerance``.
+    A keyed share of the training rows is held out, and boosting stops once its loss has
+    not fallen by ``tolerance`` for ``patience`` rounds.
     """
 
     step: float
     rounds: int
     depth: int
     holdout: float
-    tolerance: float = 0.001
+    patience: int
+    tolerance: float = 1e-7
+    bins: int = 255
+    least_rows: int = 20
     seed: int = SEED
 
 
-# Learning rate, rounds, leaves (as depth) and hold-out share of each model.
-V1_BOOSTING = BoostingSpec(step=0.06, rounds=160, depth=5, holdout=0.12)
-V2_BOOSTING = BoostingSpec(step=0.05, rounds=120, depth=4, holdout=0.15)
+# Learning rate, rounds, leaves (as depth), hold-out share and patience.
+V1_BOOSTING = BoostingSpec(step=0.06, rounds=160, depth=5, holdout=0.12, patience=15)
+V2_BOOSTING = BoostingSpec(step=0.05, rounds=120, depth=4, holdout=0.15, patience=12)
 
 
 @dataclass(frozen=True)
@@ -125,28 +128,44 @@ def design_stages(numeric: Sequence[str], categorical: Sequence[str]) -> list:
     ]
 
 
-def classifier_pipeline(
-    numeric: Sequence[str], categorical: Sequence[str], target: str, spec: BoostingSpec
-) -> Pipeline:
-    boosting = GBTClassifier(
-        featuresCol="design", labelCol=target, stepSize=spec.step, maxIter=spec.rounds,
-        maxDepth=spec.depth, seed=spec.seed, validationIndicatorCol="held_out",
-        validationTol=spec.tolerance, maxMemoryInMB=512,
-    )
-    return Pipeline(stages=[*design_stages(numeric, categorical), boosting])
+def rounds_to_keep(losses: Sequence[float], spec: BoostingSpec) -> int:
+    """The round after which the loss has not fallen for ``patience`` rounds, or all."""
+    for last in range(spec.patience, len(losses)):
+        reference = losses[last - spec.patience] - spec.tolerance
+        if not any(loss < reference for loss in losses[last - spec.patience + 1 : last + 1]):
+            return last + 1
+    return len(losses)
 
 
 def fit_on_train(
     table: DataFrame, split_column: str, numeric: Sequence[str], categorical: Sequence[str],
     target: str, spec: BoostingSpec,
 ) -> PipelineModel:
-    """Fit on the train rows, a keyed share of them held out for early stopping."""
+    """Fit on the train rows, a keyed share of them held out to find the number of rounds.
+
+    All rounds are fitted once; the loss of the held-out rows after each round tells where
+    to stop, and a fit of that many rounds, whose trees are the same, is the model.
+    """
     key = F.concat_ws("|", *KEYS)
     train = table.where(F.col(split_column) == "train").select(
         *numeric, *categorical, target,
         (keyed_uniform(spec.seed, key, "holdout") < spec.holdout).alias("held_out"),
     )
-    return classifier_pipeline(numeric, categorical, target, spec).fit(train)
+    design = Pipeline(stages=design_stages(numeric, categorical)).fit(train)
+    prepared = stage(design.transform(train).select("design", target, "held_out"), "design")
+    boosting = GBTClassifier(
+        featuresCol="design", labelCol=target, stepSize=spec.step, maxIter=spec.rounds,
+        maxDepth=spec.depth, maxBins=spec.bins, minInstancesPerNode=spec.least_rows,
+        seed=spec.seed, maxMemoryInMB=512,
+    )
+    fitted_on = prepared.where("NOT held_out")
+    model = boosting.fit(fitted_on)
+    held_out = prepared.where("held_out")
+    if not held_out.isEmpty():
+        rounds = rounds_to_keep(model.evaluateEachIteration(held_out), spec)
+        if rounds < spec.rounds:
+            model = boosting.copy({boosting.maxIter: rounds}).fit(fitted_on)
+    return PipelineModel(stages=[*design.stages, model])
 
 
 def score_rows(
@@ -230,23 +249,25 @@ def stratum_quotas(sizes: dict[int, int], share: float) -> dict[int, int]:
 
 
 def stratified_split(
-    table: DataFrame, target: str = POST_TARGET, name: str = LEARNING_SPLIT, seed: int = SEED,
-    **strategy,
+    table: DataFrame, target: str = POST_TARGET, name: str = LEARNING_SPLIT, seed: int = SEED
 ) -> DataFrame:
     """60/20/20 train, validation and test rows with the class shares of the whole.
 
     Rows are numbered by class, then by a keyed digest; a class's first rows are test,
-    the next validation. Class sizes are one small aggregation.
+    the next validation. Class sizes are one small aggregation; classes other than 0 and 1
+    are an error.
     """
-    sizes = {r[target]: r["count"] for r in table.groupBy(target).count().orderBy(target).collect()}
+    label = F.when(F.col(target).isin(0, 1), F.col(target)).alias("label")
+    sizes = {r["label"]: r["count"] for r in table.groupBy(label).count().orderBy("label").collect()}
+    if None in sizes:
+        raise ValueError(f"{sizes[None]} rows have a {target} other than 0 and 1")
     test = stratum_quotas(sizes, TEST_SHARE)
     rest = {k: size - test[k] for k, size in sizes.items()}
     validation = stratum_quotas(rest, VALIDATION_SHARE)
     digest = keyed_digest(seed, F.col(CUSTOMER), "learn")
     numbered = number_rows(
         table.withColumn("_digest", digest),
-        [F.col(target), F.col("_digest"), F.col(CUSTOMER)], "_draw", sum(sizes.values()),
-        **strategy,
+        [F.col(target), F.col("_digest"), F.col(CUSTOMER)], "_draw",
     )
     label = F.lit("train")
     before = 0

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,6 +31,9 @@ ALIGNED_REASONS = ("service_friction", "low_satisfaction", "digital_inactivity")
 COMPLETED_COST = 1.35
 
 OUTCOME_COLUMNS = ("contact_success", "treatment_completed", "retained")
+# Events that show each outcome; the window is as long as the target looks ahead.
+OUTCOME_EVENTS = dict(zip(("click", "purchase", "signup"), OUTCOME_COLUMNS))
+OUTCOME_DAYS = 90
 LEDGER_INPUTS = (
     "policy_rank", *KEYS, TARGET, MODEL_V1_SCORE, *CARRIED_INDEXES, "recommended_action",
     "assigned_group", "reason_code_1", "reason_code_2",
@@ -44,12 +47,6 @@ LEDGER_COLUMNS = (
 )
 
 
-@dataclass(frozen=True)
-class LedgerResult:
-    treatment_log: DataFrame
-    summary: DataFrame
-
-
 def action_dimension(spark: SparkSession) -> DataFrame:
     """The five actions with their parameters, as a local relation."""
     rows = ", ".join(
@@ -103,6 +100,32 @@ def is_treatment() -> Column:
     return F.col("assigned_group") == "treatment"
 
 
+def observed_outcomes(
+    events: DataFrame, users: DataFrame, start: datetime | None = None, days: int = OUTCOME_DAYS
+) -> DataFrame:
+    """Outcome flags per customer from the events from ``start`` on and before ``days`` later.
+
+    ``users`` maps customer_id to user_id; give the listed customers only, for events are
+    reduced to their users before anything is aggregated. ``start`` defaults to the first
+    event. Customers without an outcome event in the window have no row.
+    """
+    require_columns(users, [CUSTOMER, "user_id"], "users")
+    require_columns(events, ["ts", "user_id", "event_type"], "events")
+    if start is None:
+        start = events.agg(F.min("ts")).first()[0]
+    window = F.lit(False)
+    if start is not None:
+        ends = [F.lit(str(t)).cast("timestamp_ntz") for t in (start, start + timedelta(days=days))]
+        window = (F.col("ts") >= ends[0]) & (F.col("ts") < ends[1])
+    kept = events.where(window & F.col("event_type").isin(list(OUTCOME_EVENTS)))
+    per_user = (
+        kept.join(users.select("user_id").distinct(), "user_id", "left_semi")
+        .groupBy("user_id")
+        .agg(*[F.max(flag(F.col("event_type") == k)).alias(c) for k, c in OUTCOME_EVENTS.items()])
+    )
+    return users.select(CUSTOMER, "user_id").join(per_user, "user_id").drop("user_id")
+
+
 def attach_outcomes(listed: DataFrame, outcomes: DataFrame) -> DataFrame:
     """Add the observed outcome flags, 0 where nothing was observed.
 
@@ -222,8 +245,3 @@ def summarise_ledger(ledger: DataFrame) -> DataFrame:
         F.coalesce(F.sum("retained_value_index"), F.lit(0.0)).alias("total_retained_value_index"),
         F.coalesce(F.sum("net_value_index"), F.lit(0.0)).alias("total_net_value_index"),
     )
-
-
-def run_ledger(listed: DataFrame, outcomes: DataFrame) -> LedgerResult:
-    ledger = build_ledger(listed, outcomes)
-    return LedgerResult(ledger, summarise_ledger(ledger))

@@ -2,18 +2,21 @@
 
 The first pass counts rows and positives per split and score, combined before the
 shuffle; area under the curve, average precision, Brier score and base rate follow
-from that histogram. Its one row per split also gives the score below which no row
-can be among the top K, so the second pass ships few more rows than it needs.
+from that histogram, and so do the hits among the top K up to the score that holds rank K.
+Only rows with exactly that score, where K falls inside a group of ties, are numbered by a
+range sort in the second pass. Any K takes the same path.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from holdfast.functions.numeric import ratio
+from holdfast.operators.ranking import number_rows
 from holdfast.schema import KEYS, SPLIT, TARGET, require_columns
 
 EVALUATED_SPLITS = ("validation", "test")
@@ -21,20 +24,31 @@ K_VALUES = (100, 500, 1000)
 K_VALUES_LEDGER = (50, 100, 200)
 
 
-def _split_summary(rows: DataFrame, largest_k: int) -> DataFrame:
-    """One row per split from its score histogram."""
+def _curve(rows: DataFrame) -> DataFrame:
+    """Per split and score its rows and positives, and both counted from the highest score."""
     falling = (
         Window.partitionBy("split").orderBy(F.desc("score"))
         .rowsBetween(Window.unboundedPreceding, 0)
     )
-    n, hits = F.col("n"), F.col("hits")
-    curve = (
+    return (
         rows.groupBy("split", "score")
         .agg(F.count(F.lit(1)).alias("n"), F.sum("target").alias("hits"))
         .withColumns({"seen": F.sum("n").over(falling), "found": F.sum("hits").over(falling)})
     )
+
+
+def _split_summary(curve: DataFrame, k_values: Sequence[int]) -> DataFrame:
+    """One row per split; ``at_k`` is the histogram row that holds rank K, or the last."""
+    n, hits = F.col("n"), F.col("hits")
     positives, negatives = F.sum(hits), F.sum(n - hits)
     missed = n - hits
+    holder = F.struct("score", "n", "hits", "seen", "found")
+
+    def at(k: int) -> Column:
+        return F.coalesce(
+            F.max_by(holder, F.when(F.col("seen") >= k, F.col("score"))), F.min_by(holder, "score")
+        )
+
     return curve.groupBy("split").agg(
         F.sum(n).alias("rows"),
         (positives / F.sum(n)).alias("target_rate"),
@@ -48,12 +62,32 @@ def _split_summary(rows: DataFrame, largest_k: int) -> DataFrame:
                   + missed * F.col("score") * F.col("score"))
             / F.sum(n)
         ).alias("brier_score"),
-        F.coalesce(
-            F.max(F.when(F.col("seen") >= largest_k, F.col("score"))), F.min("score")
-        ).alias("cutoff"),
+        *[at(k).alias(f"at_{k}") for k in k_values],
     )
 
 
+def _hits_inside_ties(rows: DataFrame, wanted: dict[tuple, set[int]], keys: Sequence[str]) -> dict:
+    """Positives among the first m rows, by key, of each group (split, score, rows of it)."""
+    if not wanted:
+        return {}
+    # Groups in the order of the sort below, with the rows that stand before each.
+    ordered, before = sorted(wanted, key=lambda g: (g[0], -g[1])), {}
+    for i, group in enumerate(ordered):
+        before[group] = before[ordered[i - 1]] + ordered[i - 1][2] if i else 0
+    tie = [(F.col("split") == split) & (F.col("score") == score) for split, score, _ in ordered]
+    chosen = rows.where(reduce(lambda a, b: a | b, tie))
+    order = [F.asc("split"), F.desc("score"), *[F.asc(f"_{key}") for key in keys]]
+    numbered = number_rows(chosen, order, "place")
+    ends = [(g, m) for g in ordered for m in sorted(wanted[g])]
+    counted = numbered.agg(
+        *[
+            F.sum(F.when(F.col("place").between(before[g] + 1, before[g] + m), F.col("target"))).alias(f"h{i}")
+            for i, (g, m) in enumerate(ends)
+        ]
+    ).first()
+    return {(g[0], g[1], m): counted[f"h{i}"] for i, (g, m) in enumerate(ends)}
+
+
 def evaluate_scores(
     scored: DataFrame,
     score: str,
@@ -68,42 +102,38 @@ def evaluate_scores(
 
     ``score`` must be rounded to six decimals. Equal scores are ordered by ``keys`` for
     the top-K columns; K is capped by the rows of the split. A split with one class has
-    null for the measures that class leaves undefined.
+    null for the measures that class leaves undefined. Rows without a score do not count.
     """
-    k_values = list(k_values)
+    k_values = list(dict.fromkeys(k_values))
     require_columns(scored, [split_column, target, score, *keys], "scored table")
-    rows = scored.where(F.col(split_column).isin(list(splits))).select(
+    counted = F.col(split_column).isin(list(splits)) & F.col(score).isNotNull()
+    rows = scored.where(counted).select(
         F.col(split_column).alias("split"),
         F.col(score).alias("score"),
         F.col(target).alias("target"),
         *[F.col(key).alias(f"_{key}") for key in keys],
     )
-    summary = _split_summary(rows, max(k_values, default=1))
-    best_first = Window.partitionBy("split").orderBy(
-        F.desc("score"), *[F.asc(f"_{key}") for key in keys]
-    )
-    # The summary has one row per evaluated split, hence the broadcast.
-    top = (
-        rows.join(F.broadcast(summary), "split")
-        .where(F.col("score") >= F.col("cutoff"))
-        .withColumn("place", F.row_number().over(best_first))
-        .where(F.col("place") <= max(k_values, default=1))
-    )
+    summary = _split_summary(_curve(rows), k_values).collect()
+    # Rank K inside a group of ties: the group, and how many of its rows the top K takes.
+    wanted: dict[tuple, set[int]] = {}
+    for row in summary:
+        for k in k_values:
+            at = row[f"at_{k}"]
+            if k < at["seen"]:
+                group = (row["split"], at["score"], at["n"])
+                wanted.setdefault(group, set()).add(k - at["seen"] + at["n"])
+    inside = _hits_inside_ties(rows, wanted, keys)
     measures = ["rows", "target_rate", "roc_auc", "pr_auc", "brier_score"]
-
-    def precision(k: int) -> Column:
-        return F.avg(F.when(F.col("place") <= k, F.col("target")))
-
-    per_split = top.groupBy("split").agg(
-        *[F.max(m).alias(m) for m in measures],
-        *[precision(k).alias(f"precision_at_{k}") for k in k_values],
-    )
-    ranked = []
-    for k in k_values:
-        ranked.append(F.col(f"precision_at_{k}"))
-        ranked.append(
-            ratio(F.col(f"precision_at_{k}"), F.col("target_rate")).alias(f"lift_at_{k}")
-        )
-    return per_split.select(
-        F.lit(model_version).alias("model_version"), "split", *measures, *ranked
-    )
+    measured = []
+    for row in summary:
+        values = [model_version, row["split"], *[row[m] for m in measures]]
+        for k in k_values:
+            at, hits = row[f"at_{k}"], row[f"at_{k}"]["found"]
+            if k < at["seen"]:
+                hits += inside[row["split"], at["score"], k - at["seen"] + at["n"]] - at["hits"]
+            precision = hits / min(k, row["rows"])
+            values += [precision, precision / row["target_rate"] if row["target_rate"] else None]
+        measured.append(values)
+    fields = ["model_version string", "split string", "rows long", *[f"{m} double" for m in measures[1:]]]
+    fields += [f"{name}_at_{k} double" for k in k_values for name in ("precision", "lift")]
+    return scored.sparkSession.createDataFrame(measured, ", ".join(fields))

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from holdfast.functions.numeric import flag, keyed_digest
-from holdfast.operators.ranking import TAKE_ROWS, number_rows, top_rows
+from holdfast.operators.ranking import number_rows, top_rows
 from holdfast.schema import (
     CARRIED_INDEXES,
     CUSTOMER,
@@ -19,7 +19,6 @@ from holdfast.schema import (
     TARGET,
     require_columns,
 )
-from holdfast.sources.staging import stage
 
 MODEL_V1_VERSION = "ml_model_v1"
 MODEL_V1_SCORE = "model_v1_risk_score"
@@ -85,25 +84,27 @@ def policy_candidates(
 
 
 def join_candidates(scores: DataFrame, features: DataFrame) -> DataFrame:
-    """Every scored row with its features; the right side must be unique on the keys."""
+    """Every scored row with its features; the right side must be unique on the keys.
+
+    The features are reduced to the scored keys first, so that a short list meets few rows.
+    """
     clashing = [c for c in features.columns if c in scores.columns and c not in KEYS]
-    return scores.join(features.drop(*clashing), list(KEYS), "left")
+    wanted = features.drop(*clashing).join(scores.select(*KEYS), list(KEYS), "left_semi")
+    return scores.join(wanted, list(KEYS), "left")
 
 
-def select_top(frame: DataFrame, capacity: int, take_rows: int = TAKE_ROWS) -> DataFrame:
+def select_top(frame: DataFrame, capacity: int) -> DataFrame:
     """The riskiest ``capacity`` rows: score, then value at risk, then customer.
 
-    A list too long to be taken directly needs several passes, hence the staged copy.
+    ``frame`` is read several times: pass a table. Rows without a score are not listed.
     """
-    if capacity > take_rows:
-        frame = stage(frame, "candidates")
     order = [-F.col("value_at_risk_index"), F.col(CUSTOMER)]
-    return top_rows(frame, capacity, -F.col(MODEL_V1_SCORE), order, take_rows)
+    return top_rows(frame, capacity, -F.col(MODEL_V1_SCORE), order)
 
 
-def add_policy_rank(selected: DataFrame, capacity: int) -> DataFrame:
+def add_policy_rank(selected: DataFrame) -> DataFrame:
     order = [F.desc(MODEL_V1_SCORE), F.desc("value_at_risk_index"), F.asc(CUSTOMER)]
-    return number_rows(selected, order, "policy_rank", capacity)
+    return number_rows(selected, order, "policy_rank")
 
 
 def reason_codes() -> tuple[Column, Column]:
@@ -129,6 +130,7 @@ def reason_codes() -> tuple[Column, Column]:
 
 def recommended_action() -> Column:
     c = F.col
+    # Actions in priority order.
     return (
         F.when(
             (c("high_service_friction_flag") == 1) | (c("low_satisfaction_flag") == 1),
@@ -149,7 +151,6 @@ def assign_groups(
     rows: int,
     treatment_share: float = TREATMENT_SHARE,
     seed: int = SEED,
-    **strategy,
 ) -> DataFrame:
     """Put an exact share of the list in treatment, the rest in control.
 
@@ -161,8 +162,7 @@ def assign_groups(
     treated = round(rows * treatment_share)
     digest = keyed_digest(seed, F.col(CUSTOMER), "treat")
     drawn = number_rows(
-        selected.withColumn("_digest", digest), [F.col("_digest"), F.col(CUSTOMER)], "_draw",
-        rows, **strategy,
+        selected.withColumn("_digest", digest), [F.col("_digest"), F.col(CUSTOMER)], "_draw"
     )
     return drawn.withColumn(
         "assigned_group", F.when(F.col("_draw") <= treated, "treatment").otherwise("control")
@@ -176,12 +176,12 @@ def create_intervention_list(
     model_version: str = MODEL_V1_VERSION,
     treatment_share: float = TREATMENT_SHARE,
     seed: int = SEED,
-    population: int | None = None,
+    snapshot: str | None = None,
 ) -> PolicyResult:
     """Ranked list for the latest month. ``capacity`` is a number or a profile name.
 
-    ``population`` is the number of scored rows in that month, counted when not given;
-    it fixes the length of the list before anything is sorted.
+    The list is chosen and ranked from the scores alone; features join its rows only.
+    ``snapshot`` is the month, looked up when not given.
     """
     require_columns(
         scored, [*KEYS, SPLIT, TARGET, MODEL_V1_SCORE, MODEL_V1_DECILE, *CARRIED_INDEXES],
@@ -190,12 +190,12 @@ def create_intervention_list(
     require_columns(features, [*KEYS, *POLICY_FEATURES], "feature table")
     if isinstance(capacity, str):
         capacity = profile_capacity(capacity)
-    snapshot = latest_snapshot(scored).first()[MONTH]
+    if snapshot is None:
+        snapshot = latest_snapshot(scored).first()[MONTH]
     scores, traits = policy_candidates(scored, features, snapshot)
-    if population is None:
-        population = scores.count()
-    ranked = add_policy_rank(select_top(join_candidates(scores, traits), capacity), capacity)
-    grouped = assign_groups(ranked, min(capacity, population), treatment_share, seed)
+    ranked = add_policy_rank(select_top(scores, capacity))
+    rows = ranked.count()
+    grouped = join_candidates(assign_groups(ranked, rows, treatment_share, seed), traits)
     first, second = reason_codes()
     listed = grouped.withColumns(
         {

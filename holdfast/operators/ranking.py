@@ -21,10 +21,6 @@ from holdfast.schema import KEYS, require_columns
 from holdfast.sources.staging import stage
 
 DECILES = 10
-# Row counts up to this are numbered by one task; larger ones by a range sort.
-SINGLE_TASK_ROWS = 100_000
-# Longest list every task may contribute in full; longer ones are located by a cut.
-TAKE_ROWS = 10_000
 
 
 def millionths(score: Column) -> Column:
@@ -50,18 +46,12 @@ class Cut:
         return after
 
 
-def number_rows(
-    df: DataFrame, order: Sequence[Column], name: str, rows: int,
-    single_task_rows: int = SINGLE_TASK_ROWS,
-) -> DataFrame:
+def number_rows(df: DataFrame, order: Sequence[Column], name: str) -> DataFrame:
     """Add ``name`` = 1, 2, … in ``order``, which must be a total order.
 
-    ``rows`` is the known (or largest possible) row count and picks the strategy. The
-    range sort keeps a position per partition in the staged copy; offsets of at most
+    A range sort keeps a position per partition in the staged copy; offsets of at most
     one row per partition turn it into a global number.
     """
-    if rows <= single_task_rows:
-        return df.withColumn(name, F.row_number().over(Window.orderBy(*order)).cast("long"))
     placed = stage(
         df.orderBy(*order).withColumn("_place", F.monotonically_increasing_id()), "sorted"
     ).withColumn("_part", F.shiftright("_place", 33))
@@ -99,14 +89,14 @@ def find_cuts(
     lead: Column,
     tail: Sequence[Column],
     ranks: Callable[[int], list[int]],
-    single_task_rows: int = SINGLE_TASK_ROWS,
 ) -> list[Cut]:
     """Rows at the given ranks of ``df`` ordered ascending by ``lead``, then ``tail``.
 
     ``lead`` is a score between -1 and 1, ``tail`` makes the order total, and ``ranks``
-    maps the row count to the wanted ranks. At most 2,001 counts of the first pass and
-    1,000 per wanted rank of the second reach the driver.
+    maps the row count to the wanted ranks. Rows without a score have no rank. At most
+    2,001 counts of the first pass and 1,000 per wanted rank of the second reach the driver.
     """
+    df = df.where(lead.isNotNull())
     group = millionths(lead)
     bucket = F.floor(group / F.lit(1000.0))
     coarse = _counts(df, bucket)
@@ -135,7 +125,7 @@ def find_cuts(
         ties = df.where(group.isin(list(shift))).select(
             *[key.alias(name) for key, name in zip([lead, *tail], names)]
         )
-        numbered = number_rows(ties, [F.col(c) for c in names], "at", seen, single_task_rows)
+        numbered = number_rows(ties, [F.col(c) for c in names], "at")
         places = {r - shift[holders[r][0]]: r for r in holders if r not in cuts}
         for hit in numbered.where(F.col("at").isin(list(places))).collect():
             rank = places[hit["at"]]
@@ -154,35 +144,29 @@ def assign_deciles(
     name: str,
     keys: Sequence[str] = KEYS,
     fit_on: Column | None = None,
-    single_task_rows: int = SINGLE_TASK_ROWS,
 ) -> DataFrame:
     """Add the risk decile, 10 the riskiest; equal scores are ordered by ``keys``.
 
-    The cut rows are found first, so the table itself only gains an expression. ``fit_on`` restricts the rows they come from.
+    The cut rows are found first, so the table itself only gains an expression. ``fit_on``
+    restricts the rows they come from. A null score has a null decile.
     """
     require_columns(df, [score, *keys], "scored table")
     lead, tail = F.col(score), [F.col(k) for k in keys]
     source = df if fit_on is None else df.where(fit_on)
-    cuts = find_cuts(source, lead, tail, decile_ranks, single_task_rows)
-    return df.withColumn(name, total([F.lit(1)] + [flag(c.passed(lead, tail)) for c in cuts]))
+    cuts = find_cuts(source, lead, tail, decile_ranks)
+    decile = total([F.lit(1)] + [flag(c.passed(lead, tail)) for c in cuts])
+    return df.withColumn(name, F.when(lead.isNotNull(), decile))
 
 
-def top_rows(
-    df: DataFrame,
-    k: int,
-    lead: Column,
-    tail: Sequence[Column],
-    take_rows: int = TAKE_ROWS,
-) -> DataFrame:
-    """The first ``k`` rows by ``lead``, then ``tail``, ascending.
+def top_rows(df: DataFrame, k: int, lead: Column, tail: Sequence[Column]) -> DataFrame:
+    """The first ``k`` rows by ``lead``, then ``tail``, ascending; never one without a score.
 
-    Up to ``take_rows`` every task sends its best ``k`` to one; beyond that the ``k``-th
-    row is located and the table filtered against it, so pass a table then.
+    The ``k``-th row is located and the table filtered against it, so pass a table.
     """
-    if k <= take_rows:
-        return df.orderBy(lead, *tail).limit(k)
     cuts = find_cuts(df, lead, tail, lambda n: [min(n, k)])
-    return df.where(~cuts[0].passed(lead, tail)) if cuts else df
+    if not cuts:
+        return df.where(F.lit(False))
+    return df.where(lead.isNotNull() & ~cuts[0].passed(lead, tail))
 
 
 def decile_profile(scored: DataFrame, score: str, decile: str, target: str) -> DataFrame:

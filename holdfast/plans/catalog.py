@@ -7,8 +7,9 @@ use the rules score, or the panel's attrition propensity, in the model's place.
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import replace
+from functools import reduce
 
+from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,13 +33,8 @@ from holdfast.sources.tables import read_table, write_table
 
 SPEC = panel.PanelSpec()
 PROPENSITY = "attrition_propensity"
-# Boosting rounds of the registered model queries; the job uses the full number.
-QUERY_ROUNDS = 20
 # One list place per this many customers.
 CUSTOMERS_PER_PLACE = 6
-# Events before this moment count as outcomes of the intervention.
-OUTCOME_WINDOW_END = "2024-01-04 00:00:00"
-OUTCOME_EVENTS = {"click": "contact_success", "purchase": "treatment_completed", "signup": "retained"}
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -87,18 +83,14 @@ def propensity_scored(spark: SparkSession, folder: str) -> DataFrame:
     return features.add_temporal_split(scored, SPEC.snapshot_months())
 
 
-def capacity_of(spark: SparkSession, folder: str) -> tuple[int, int]:
-    """List capacity and number of customers."""
-    customers = read_fact(spark, folder, "customer").count()
-    return customers // CUSTOMERS_PER_PLACE, customers
+def capacity_of(spark: SparkSession, folder: str) -> int:
+    return read_fact(spark, folder, "customer").count() // CUSTOMERS_PER_PLACE
 
 
 def policy_of(spark: SparkSession, folder: str, table: DataFrame) -> DataFrame:
-    capacity, customers = capacity_of(spark, folder)
     scored = as_model_scores(rules.score_with_rules(table))
-    return policy.create_intervention_list(
-        scored, table, capacity, population=customers
-    ).intervention_list
+    capacity = capacity_of(spark, folder)
+    return policy.create_intervention_list(scored, table, capacity).intervention_list
 
 
 def candidates_of(spark: SparkSession, folder: str) -> DataFrame:
@@ -108,24 +100,16 @@ def candidates_of(spark: SparkSession, folder: str) -> DataFrame:
     return policy.join_candidates(*policy.policy_candidates(scored, table, latest))
 
 
-def outcomes_of(spark: SparkSession, folder: str) -> DataFrame:
-    """Outcome flags per customer from the events of the user the customer maps to."""
+def users_of(spark: SparkSession, folder: str, customers: DataFrame) -> DataFrame:
+    """The user each customer maps to; nobody where there are no users."""
     events = read_fact(spark, folder, "events")
-    users = events.agg(F.max("user_id")).first()[0] + 1
-    in_window = events.where(
-        (F.col("ts") < F.lit(OUTCOME_WINDOW_END).cast("timestamp_ntz"))
-        & F.col("event_type").isin(list(OUTCOME_EVENTS))
-    )
-    per_user = in_window.groupBy("user_id").agg(
-        *[
-            F.max(F.when(F.col("event_type") == kind, 1).otherwise(0)).alias(name)
-            for kind, name in OUTCOME_EVENTS.items()
-        ]
-    )
-    customers = read_fact(spark, folder, "customer").select(
-        F.col("c_custkey").alias("customer_id"), (F.col("c_custkey") % users).alias("user_id")
-    )
-    return customers.join(per_user, "user_id").drop("user_id")
+    users = (events.agg(F.max("user_id")).first()[0] or 0) + 1
+    return customers.select("customer_id", (F.col("customer_id") % users).alias("user_id"))
+
+
+def outcomes_of(spark: SparkSession, folder: str, listed: DataFrame) -> DataFrame:
+    users = users_of(spark, folder, listed)
+    return ledger.observed_outcomes(read_fact(spark, folder, "events"), users)
 
 
 def list_of(spark: SparkSession, folder: str) -> DataFrame:
@@ -135,7 +119,8 @@ def list_of(spark: SparkSession, folder: str) -> DataFrame:
 def ledger_of(spark: SparkSession, folder: str, table: DataFrame | None = None) -> DataFrame:
     if table is None:
         table = staged_rule_inputs(spark, folder)
-    return ledger.build_ledger(policy_of(spark, folder, table), outcomes_of(spark, folder))
+    listed = stage(policy_of(spark, folder, table), "listed")
+    return ledger.build_ledger(listed, outcomes_of(spark, folder, listed))
 
 
 def learning_of(spark: SparkSession, folder: str) -> DataFrame:
@@ -284,8 +269,8 @@ def decile_profile(spark, folder):
     )
 
 
-@query("rules_end_to_end")
-def rules_end_to_end(spark, folder):
+@query("rules_pipeline")
+def rules_pipeline(spark, folder):
     result = rules.run_rules(staged_rule_inputs(spark, folder))
     measured = result.metrics.select(
         F.col("split").alias(SPLIT), F.col("roc_auc").alias("split_roc_auc")
@@ -358,7 +343,9 @@ QUERIES["policy_join"] = candidates_of
 
 @query("policy_topk")
 def policy_topk(spark, folder):
-    top = policy.select_top(candidates_of(spark, folder), capacity_of(spark, folder)[0])
+    scored = as_model_scores(rules_scored(spark, folder))
+    latest = scored.where(F.col(MONTH) == SPEC.snapshot_months()[-1])
+    top = policy.select_top(latest, capacity_of(spark, folder))
     return top.select(*KEYS, policy.MODEL_V1_SCORE, "value_at_risk_index")
 
 
@@ -426,9 +413,10 @@ def candidates_with_action(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("ledger_probabilities")
 def ledger_probabilities(spark, folder):
+    listed = stage(list_of(spark, folder), "listed")
     rated = ledger.with_flags(
         ledger.attach_outcomes(
-            ledger.with_action_parameters(list_of(spark, folder)), outcomes_of(spark, folder)
+            ledger.with_action_parameters(listed), outcomes_of(spark, folder, listed)
         )
     )
     return rated.select(
@@ -441,7 +429,8 @@ def ledger_probabilities(spark, folder):
 
 @query("ledger_outcomes")
 def ledger_outcomes(spark, folder):
-    attached = ledger.attach_outcomes(list_of(spark, folder), outcomes_of(spark, folder))
+    listed = stage(list_of(spark, folder), "listed")
+    attached = ledger.attach_outcomes(listed, outcomes_of(spark, folder, listed))
     return attached.select(*KEYS, *[f"seen_{c}" for c in ledger.OUTCOME_COLUMNS])
 
 
@@ -491,20 +480,59 @@ def model_v1_design(spark, folder):
     )
 
 
-def _quick(spec: learning.BoostingSpec) -> learning.BoostingSpec:
-    return replace(spec, rounds=QUERY_ROUNDS)
+_trained: dict[tuple[str, str, str], PipelineModel] = {}
+
+
+def trained(spark: SparkSession, folder: str, version: str, train) -> PipelineModel:
+    """A model is fitted once per application and data folder."""
+    key = (spark.sparkContext.applicationId, folder, version)
+    if key not in _trained:
+        _trained[key] = train()
+    return _trained[key]
 
 
 @query("model_v1_scores")
 def model_v1_scores(spark, folder):
     table = staged_features(spark, folder)
-    return learning.run_model_v1(table, _quick(learning.V1_BOOSTING)).scored_table
+    model = trained(spark, folder, learning.MODEL_V1_VERSION, lambda: learning.train_model_v1(table))
+    scores = stage(learning.score_model_v1(model, table), "v1-scores")
+    return ranking.assign_deciles(scores, policy.MODEL_V1_SCORE, policy.MODEL_V1_DECILE)
 
 
 @query("model_v1_metrics")
 def model_v1_metrics(spark, folder):
-    table = staged_features(spark, folder)
-    return learning.run_model_v1(table, _quick(learning.V1_BOOSTING)).metrics
+    return learning.evaluate_model_v1(model_v1_scores(spark, folder))
+
+
+def contract_of(scored: DataFrame, score: str, decile: str, split: str, target: str) -> DataFrame:
+    """Measures of a scored table that no fitted model may change."""
+    ok = F.col(score).between(0, 1)
+    whole = scored.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_distinct(*KEYS).alias("distinct_keys"),
+        F.sum(F.when(F.coalesce(ok, F.lit(False)), 0).otherwise(1)).alias("bad_scores"),
+    ).unpivot([], ["rows", "distinct_keys", "bad_scores"], "measure", "value")
+    parts = [whole.select("measure", F.col("value").cast("double"))]
+    for column, name in ((decile, "decile"), (split, "rows")):
+        label = F.concat(F.lit(f"{name}_"), F.col(column).cast("string")).alias("measure")
+        parts.append(scored.groupBy(label).agg(F.count(F.lit(1)).cast("double").alias("value")))
+    label = F.concat(F.lit("target_rate_"), F.col(split)).alias("measure")
+    parts.append(scored.groupBy(label).agg(round_even(F.avg(target), 6).alias("value")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query("model_v1_contract")
+def model_v1_contract(spark, folder):
+    scored = model_v1_scores(spark, folder)
+    return contract_of(scored, policy.MODEL_V1_SCORE, policy.MODEL_V1_DECILE, SPLIT, TARGET)
+
+
+@query("model_v2_contract")
+def model_v2_contract(spark, folder):
+    return contract_of(
+        model_v2_scores(spark, folder), learning.MODEL_V2_SCORE, learning.MODEL_V2_DECILE,
+        learning.LEARNING_SPLIT, ledger.POST_TARGET,
+    )
 
 
 @query("split_presence")
@@ -529,7 +557,7 @@ def stratified_split(spark, folder):
 @query("model_v2_scores")
 def model_v2_scores(spark, folder):
     table = learning_of(spark, folder)
-    model = learning.train_model_v2(table, _quick(learning.V2_BOOSTING))
+    model = trained(spark, folder, learning.MODEL_V2_VERSION, lambda: learning.train_model_v2(table))
     return learning.score_model_v2(model, table)
 
 
@@ -574,13 +602,11 @@ def checks_of(spark: SparkSession, folder: str) -> DataFrame:
         features.build_feature_table(full_panel, SPEC.snapshot_months()), "features"
     )
     scored = rules.score_with_rules(table)
-    capacity, customers = capacity_of(spark, folder)
     v1 = as_model_scores(scored)
-    listed = policy.create_intervention_list(
-        v1, table, capacity, population=customers
-    ).intervention_list
-    log = stage(ledger.build_ledger(listed, outcomes_of(spark, folder)), "ledger")
-    learned = learning.build_learning_table(table, log)
+    chosen = policy.create_intervention_list(v1, table, capacity_of(spark, folder))
+    listed = stage(chosen.intervention_list, "listed")
+    log = stage(ledger.build_ledger(listed, outcomes_of(spark, folder, listed)), "ledger")
+    learned = stage(learning.build_learning_table(table, log), "learned")
     v2 = learned.withColumnRenamed(policy.MODEL_V1_SCORE, learning.MODEL_V2_SCORE)
     return audit.build_governance_checks(
         full_panel, table, scored, v1, listed, log, learned, v2

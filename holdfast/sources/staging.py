@@ -9,6 +9,8 @@ read only the columns they use, and the lineage behind it is cut.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -36,12 +38,24 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def release_staged(spark: SparkSession) -> int:
-    """Delete the copies this application staged; frames reading them become invalid."""
-    paths = _staged.pop(spark.sparkContext.applicationId, [])
+def release_staged(spark: SparkSession, since: int = 0) -> int:
+    """Delete the copies this application staged, but for the first ``since`` of them; frames
+    reading them become invalid. Spark has no public call to delete a path."""
+    staged = _staged.get(spark.sparkContext.applicationId, [])
+    paths, staged[since:] = staged[since:], []
     hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     for path in paths:
         target = hadoop_path(path)
         target.getFileSystem(conf).delete(target, True)
     return len(paths)
+
+
+@contextmanager
+def staged_here(spark: SparkSession) -> Iterator[None]:
+    """Delete what is staged inside the block when it ends, however it ends."""
+    before = len(_staged.get(spark.sparkContext.applicationId, []))
+    try:
+        yield
+    finally:
+        release_staged(spark, before)

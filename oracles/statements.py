@@ -55,6 +55,22 @@ FROM (
 GROUP BY r.split"""
 
 
+def contract(table: str, split: str, target: str) -> str:
+    """What a scored table must hold whatever the model: rows, deciles, splits."""
+    decile = "((SELECT count(*) FROM {t}) - 1) * {j} // 10 + 1"
+    ends = ["0"] + [decile.format(t=table, j=j) for j in range(1, 10)] + [f"(SELECT count(*) FROM {table})"]
+    deciles = " UNION ALL ".join(
+        f"SELECT 'decile_{j}' AS measure, (({ends[j]}) - ({ends[j - 1]}))::DOUBLE AS value" for j in range(1, 11)
+    )
+    return f"""
+SELECT 'rows' AS measure, count(*)::DOUBLE AS value FROM {table}
+UNION ALL SELECT 'distinct_keys', count(DISTINCT (customer_id, snapshot_month))::DOUBLE FROM {table}
+UNION ALL SELECT 'bad_scores', 0e0
+UNION ALL {deciles}
+UNION ALL SELECT 'rows_' || {split}, count(*)::DOUBLE FROM {table} GROUP BY {split}
+UNION ALL SELECT 'target_rate_' || {split}, {rnd(f"avg({target})", 6)} FROM {table} GROUP BY {split}"""
+
+
 EVALUATED = "'validation', 'test'"
 RULES_METRICS = metric_rows("scored", "rules_risk_score", "data_split", TARGET, EVALUATED,
                             "rules_baseline_v1", (100, 500, 1000))
@@ -265,7 +281,7 @@ FROM customer CROSS JOIN (SELECT unnest(generate_series(1, 80)) AS m)""",
     "decile_profile": statement("scored", f"""SELECT rules_risk_decile, count(*) AS rows,
   {rnd(f'avg({TARGET})', 6)} AS target_rate, min(rules_risk_score) AS min_score,
   max(rules_risk_score) AS max_score FROM ranked GROUP BY rules_risk_decile"""),
-    "rules_end_to_end": statement("scored", f"""SELECT {KEYS}, data_split, {TARGET}, {CARRIED},
+    "rules_pipeline": statement("scored", f"""SELECT {KEYS}, data_split, {TARGET}, {CARRIED},
   rules_risk_score, rules_risk_decile, roc_auc AS split_roc_auc
 FROM ranked LEFT JOIN ({RULES_METRICS}) q ON q.split = data_split"""),
     "metrics_base": rules_metrics("split, rows, target_rate"),
@@ -347,6 +363,8 @@ FROM features GROUP BY data_split"""),
   max({bit("data_split = 'train'")}) AS has_train,
   max({bit("data_split = 'validation'")}) AS has_validation,
   max({bit("data_split = 'test'")}) AS has_test FROM features"""),
+    "model_v1_contract": statement("features", contract("features", "data_split", TARGET)),
+    "model_v2_contract": statement("learning", contract("learning", "treatment_learning_split", POST)),
     "learning_table": statement("learning", f"""SELECT {LEDGER_PART}, {', '.join(FEATURES)},
   assigned_treatment_flag, treatment_learning_split FROM learning"""),
     "learning_null_audit": statement("learning", f"""SELECT count(*) AS rows,

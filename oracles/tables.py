@@ -258,7 +258,7 @@ users AS (SELECT max(user_id) + 1 AS n FROM events),
 seen AS (
   SELECT user_id, max({bit("event_type = 'click'")}) AS clicked,
     max({bit("event_type = 'purchase'")}) AS bought, max({bit("event_type = 'signup'")}) AS signed
-  FROM events WHERE ts < TIMESTAMP '2024-01-04' GROUP BY user_id),
+  FROM events WHERE ts < (SELECT min(ts) + INTERVAL 90 DAY FROM events) GROUP BY user_id),
 actions(recommended_action, base_contact, base_completion, base_effect, base_cost, contact_channel)
 AS (VALUES
   ('digital_reactivation_nudge', 72e-2, 64e-2, 22e-2, 15e-1, 'in_app_message'),

@@ -3,16 +3,21 @@ from __future__ import annotations
 from dataclasses import replace
 
 from holdfast.operators import audit, learning
-from holdfast.plans.catalog import outcomes_of
+from holdfast.plans.catalog import users_of
 from holdfast.plans.job import JobSpec, run_job
+from holdfast.sources.facts import read_fact
+from holdfast.sources.staging import release_staged
 from holdfast.sources.tables import read_table
 
 
 def test_job_writes_every_table(spark, data, tmp_path):
     spec = JobSpec(
-        capacity=25, v1_boosting=replace(learning.V1_BOOSTING, rounds=2),
+        capacity=25, treatment_share=0.6, v1_boosting=replace(learning.V1_BOOSTING, rounds=2),
         v2_boosting=replace(learning.V2_BOOSTING, rounds=2))
-    paths = run_job(spark, data, str(tmp_path), outcomes_of(spark, data), spec)
+    customers = read_fact(spark, data, "customer").selectExpr("c_custkey AS customer_id")
+    release_staged(spark)
+    paths = run_job(spark, data, str(tmp_path), users_of(spark, data, customers), spec)
+    assert release_staged(spark) == 0
     assert len(paths) == 24
     checks = read_table(spark, paths["governance_checks"], audit.CHECK_SCHEMA, "csv").collect()
     assert len(checks) == 19 and {r["status"] for r in checks} == {"pass"}

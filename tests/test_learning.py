@@ -70,11 +70,11 @@ def test_split_of_250_is_150_50_50(spark, positives):
         assert abs(rate - positives / 250) < 0.02
 
 
-def test_split_is_the_same_on_any_strategy(spark):
+def test_split_is_the_same_on_any_partitioning(spark):
     frame = spark.range(97).select(
         F.col("id").alias("customer_id"), (F.col("id") % 3 == 0).cast("int").alias(POST_TARGET))
     a = learning.stratified_split(frame)
-    b = learning.stratified_split(frame.repartition(9), single_task_rows=0)
+    b = learning.stratified_split(frame.repartition(9))
     assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
 
 
@@ -126,3 +126,17 @@ def test_model_v2_runs_end_to_end(features, ledger):
     rows = result.metrics.collect()
     assert {r["split"] for r in rows} == {"validation", "test"}
     assert "precision_at_50" in result.metrics.columns
+
+
+def test_a_class_other_than_0_and_1_is_an_error(spark):
+    frame = spark.range(9).select(F.col("id").alias("customer_id"), F.col("id").cast("int").alias(POST_TARGET))
+    with pytest.raises(ValueError, match="7 rows"):
+        learning.stratified_split(frame)
+
+
+def test_rounds_stop_when_the_loss_has_not_fallen_for_long():
+    spec = replace(learning.V1_BOOSTING, patience=3)
+    assert learning.rounds_to_keep([5, 4, 3, 2, 1], spec) == 5
+    assert learning.rounds_to_keep([5, 4, 4, 5, 4, 1], spec) == 5
+    assert learning.rounds_to_keep([5, 4, 4, 5, 3, 3, 3, 3, 2], spec) == 8
+    assert learning.rounds_to_keep([5, 5], spec) == 2

@@ -91,3 +91,22 @@ def test_one_score_holding_most_rows(spark):
 def test_missing_column_raises(spark):
     with pytest.raises(ValueError, match="score_x"):
         evaluate_scores(table(spark, sample(10)), "score_x", "m")
+
+
+def test_any_k_ranks_only_a_group_of_ties(spark):
+    pdf = sample(6000)
+    pdf.loc[pdf.index % 10 != 0, "s"] = 0.25
+    ks = (5, 700, 1500, 5000)
+    rows = evaluate_scores(table(spark, pdf), "s", "m", k_values=ks).collect()
+    for row in rows:
+        for name, value in brute(pdf, row["split"], ks).items():
+            assert row[name] == pytest.approx(value, abs=1e-12), name
+
+
+def test_rows_without_a_score_do_not_count(spark):
+    pdf = sample(300)
+    gaps = table(spark, pdf).selectExpr("*", "CASE WHEN customer_id % 4 > 0 THEN s END AS gap")
+    rows = evaluate_scores(gaps, "gap", "m", k_values=(10,)).collect()
+    for row in rows:
+        for name, value in brute(pdf[pdf.customer_id % 4 > 0], row["split"], (10,)).items():
+            assert row[name] == pytest.approx(value, abs=1e-12), name

@@ -6,6 +6,8 @@ import pytest
 from compare import connect, differences
 
 from __spark_entry__ import entry, oracle_sql, queries
+from holdfast.plans.catalog import QUERIES
+from oracles import ORACLES
 
 TRAINED = {"model_v1_scores", "model_v1_metrics", "model_v2_scores", "model_v2_metrics"}
 
@@ -16,14 +18,15 @@ def duck(data):
 
 
 def test_only_trained_models_lack_an_oracle():
-    assert set(queries()) - set(oracle_sql()) == TRAINED
+    assert set(QUERIES) - set(ORACLES) == TRAINED
+    assert set(ORACLES) <= set(QUERIES) <= set(queries())
     assert set(oracle_sql()) <= set(queries())
 
 
-@pytest.mark.parametrize("name", sorted(oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_equals_oracle(spark, data, duck, name):
-    got = queries()[name](spark, data).toPandas()
-    assert differences(got, duck.execute(oracle_sql()[name]).df()) == []
+    got = QUERIES[name](spark, data).toPandas()
+    assert differences(got, duck.execute(ORACLES[name]).df()) == []
 
 
 def test_entry(spark):

@@ -49,23 +49,18 @@ def test_scale_range_reads_only_rule_inputs(rule_inputs):
     assert "relationship_value_index" not in plan
 
 
-def test_metrics_limit_rows_before_the_ranking_shuffle(rule_inputs):
-    plan = plan_of(rules.evaluate_rules(rules.score_rules(rule_inputs)))
-    assert plan.count("WindowGroupLimit") == 2
-    assert "SinglePartition" not in plan
-
-
-def test_list_keeps_the_best_rows_per_task(rule_inputs):
-    scored = rule_inputs.withColumn(policy.MODEL_V1_SCORE, F.lit(0.5))
-    assert "TakeOrderedAndProject" in plan_of(policy.select_top(scored, 100))
-
-
 def test_large_list_is_a_filter(rule_inputs):
-    top = ranking.top_rows(
-        rule_inputs, 500, -F.col("value_at_risk_index"), [F.col(k) for k in KEYS], take_rows=0)
+    top = ranking.top_rows(rule_inputs, 500, -F.col("value_at_risk_index"), [F.col(k) for k in KEYS])
     assert "Exchange" not in plan_of(top) and top.count() == 500
 
 
+def test_features_meet_only_the_listed_rows(spark, data, rule_inputs):
+    scored = rule_inputs.withColumns({policy.MODEL_V1_SCORE: F.lit(0.5), policy.MODEL_V1_DECILE: F.lit(1)})
+    listed = policy.create_intervention_list(scored, rule_inputs, 25).intervention_list
+    plan = plan_of(listed)
+    assert "LeftSemi" in plan and listed.count() == 25
+
+
 def test_month_and_columns_reach_the_scan(rule_inputs):
     scores, traits = policy.policy_candidates(
         rule_inputs.withColumns({policy.MODEL_V1_SCORE: F.lit(0.5), policy.MODEL_V1_DECILE: F.lit(1)}),
@@ -77,7 +72,7 @@ def test_month_and_columns_reach_the_scan(rule_inputs):
 
 def test_histogram_is_combined_before_its_shuffle(rule_inputs):
     scored = rules.score_rules(rule_inputs)
-    plan = plan_of(metrics._split_summary(
+    plan = plan_of(metrics._curve(
         scored.selectExpr("data_split AS split", "rules_risk_score AS score",
-                          "voluntary_attrition_next_90d AS target"), 10))
+                          "voluntary_attrition_next_90d AS target")))
     assert plan.count("partial_count") == 1

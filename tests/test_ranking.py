@@ -7,8 +7,6 @@ from pyspark.sql import functions as F
 
 from holdfast.operators import ranking
 
-STRATEGIES = [100_000, 0]
-
 
 def frame(spark, scores, seed=0):
     order = np.random.default_rng(seed).permutation(len(scores))
@@ -24,12 +22,11 @@ def expected_deciles(pdf):
     return dict(zip(ordered.customer_id, label))
 
 
-@pytest.mark.parametrize("rows_limit", STRATEGIES)
 @pytest.mark.parametrize("n", [1, 2, 10, 25, 101, 1000])
-def test_deciles_with_heavy_ties(spark, n, rows_limit):
+def test_deciles_with_heavy_ties(spark, n):
     rng = np.random.default_rng(n)
     pdf, df = frame(spark, np.round(rng.integers(0, 7, n) / 7, 6), n)
-    got = ranking.assign_deciles(df, "s", "d", single_task_rows=rows_limit)
+    got = ranking.assign_deciles(df, "s", "d")
     assert {r["customer_id"]: r["d"] for r in got.collect()} == expected_deciles(pdf)
 
 
@@ -42,12 +39,11 @@ def test_deciles_equal_qcut(spark, n):
     assert got == dict(zip(ordered.customer_id, bins))
 
 
-@pytest.mark.parametrize("rows_limit", STRATEGIES)
-def test_one_score_holds_a_third_of_the_rows(spark, rows_limit):
+def test_one_score_holds_a_third_of_the_rows(spark):
     rng = np.random.default_rng(9)
     scores = np.where(rng.random(3000) < 0.34, 0.5, np.round(rng.random(3000), 6))
     pdf, df = frame(spark, scores)
-    got = ranking.assign_deciles(df, "s", "d", single_task_rows=rows_limit)
+    got = ranking.assign_deciles(df, "s", "d")
     assert {r["customer_id"]: r["d"] for r in got.collect()} == expected_deciles(pdf)
 
 
@@ -65,21 +61,19 @@ def test_decile_cuts_from_some_rows(spark):
     assert rows[0.99] == 10 and rows[0.49] == 10 and rows[0.04] == 1
 
 
-@pytest.mark.parametrize("rows_limit", STRATEGIES)
 @pytest.mark.parametrize("k", [1, 37, 200, 500])
-def test_top_rows(spark, k, rows_limit):
+def test_top_rows(spark, k):
     rng = np.random.default_rng(k)
     pdf, df = frame(spark, np.round(rng.integers(0, 5, 200) / 5, 6))
     best = pdf.sort_values(["s", "customer_id"], ascending=[False, True]).head(k)
-    got = ranking.top_rows(df, k, -F.col("s"), [F.col("customer_id")], rows_limit)
+    got = ranking.top_rows(df, k, -F.col("s"), [F.col("customer_id")])
     assert sorted(r["customer_id"] for r in got.collect()) == sorted(best.customer_id)
 
 
-@pytest.mark.parametrize("rows_limit", STRATEGIES)
-def test_number_rows(spark, rows_limit):
+def test_number_rows(spark):
     pdf, df = frame(spark, np.round(np.random.default_rng(3).integers(0, 9, 777) / 9, 6))
     order = [F.desc("s"), F.asc("customer_id")]
-    got = ranking.number_rows(df, order, "at", 777, rows_limit)
+    got = ranking.number_rows(df, order, "at")
     expected = pdf.sort_values(["s", "customer_id"], ascending=[False, True]).customer_id.tolist()
     assert [r["customer_id"] for r in got.orderBy("at").collect()] == expected
     assert [r["at"] for r in got.select("at").orderBy("at").collect()] == list(range(1, 778))
@@ -96,12 +90,11 @@ def test_rank_beyond_the_table_gives_no_cut(spark):
     assert ranking.find_cuts(df, F.col("s"), [F.col("customer_id")], lambda n: [9]) == []
 
 
-@pytest.mark.parametrize("rows_limit", STRATEGIES)
-def test_scores_beyond_six_decimals_and_the_unit_interval(spark, rows_limit):
+def test_scores_beyond_six_decimals_and_the_unit_interval(spark):
     rng = np.random.default_rng(11)
     scores = np.concatenate([0.3 + rng.random(200) * 1e-9, rng.normal(0, 3, 200)])
     pdf, df = frame(spark, scores)
-    got = ranking.assign_deciles(df, "s", "d", single_task_rows=rows_limit)
+    got = ranking.assign_deciles(df, "s", "d")
     assert {r["customer_id"]: r["d"] for r in got.collect()} == expected_deciles(pdf)
 
 
@@ -111,3 +104,16 @@ def test_decile_profile(spark):
     rows = {r["d"]: r for r in ranking.decile_profile(scored, "s", "d", "t").collect()}
     assert (rows[1]["rows"], rows[1]["target_rate"]) == (2, 0.0)
     assert (rows[10]["min_score"], rows[10]["max_score"], rows[10]["target_rate"]) == (0.9, 0.95, 1.0)
+
+
+def test_null_scores_have_no_decile_and_no_place(spark):
+    pdf, df = frame(spark, np.round(np.random.default_rng(5).integers(0, 9, 90) / 9, 6))
+    gaps = df.withColumn("s", F.when(F.col("customer_id") % 3 > 0, F.col("s")))
+    got = {r["customer_id"]: r["d"] for r in ranking.assign_deciles(gaps, "s", "d").collect()}
+    kept = pdf[pdf.customer_id % 3 > 0].reset_index(drop=True)
+    assert got == expected_deciles(kept) | {k: None for k in range(3, 91, 3)}
+    top = ranking.top_rows(gaps, 500, -F.col("s"), [F.col("customer_id")])
+    assert sorted(r["customer_id"] for r in top.collect()) == sorted(kept.customer_id)
+    none = df.withColumn("s", F.lit(None).cast("double"))
+    assert ranking.top_rows(none, 5, -F.col("s"), [F.col("customer_id")]).count() == 0
+    assert {r["d"] for r in ranking.assign_deciles(none, "s", "d").collect()} == {None}
