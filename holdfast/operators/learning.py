@@ -294,6 +294,11 @@ def build_learning_table(features: DataFrame, ledger: DataFrame, seed: int = SEE
     return stratified_split(joined, seed=seed).select(*columns)
 
 
+def in_policy_order(learning: DataFrame) -> DataFrame:
+    """The learning table as it is presented; a global sort, so for reading only."""
+    return learning.orderBy("policy_rank")
+
+
 def train_model_v2(learning: DataFrame, spec: BoostingSpec = V2_BOOSTING) -> PipelineModel:
     return fit_on_train(
         learning, LEARNING_SPLIT, [*NUMERIC_FEATURES, *LEDGER_NUMERIC],

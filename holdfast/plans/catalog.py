@@ -658,6 +658,34 @@ def audit_failures(spark, folder):
     return audit.failed_checks(checks_of(spark, folder))
 
 
+# Writers --------------------------------------------------------------------------------
+
+
+def _written(name: str, source: Query, fmt: str = "parquet", single_file: bool = False) -> Query:
+    """The table of another query, written and read back."""
+
+    def run(spark, folder):
+        df = source(spark, folder)
+        path = write_table(df, staging_path(spark, name), fmt, single_file=single_file)
+        return read_table(spark, path, df.schema, fmt)
+
+    return run
+
+
+QUERIES["scored_roundtrip"] = _written("scored", rules_decile)
+QUERIES["metrics_roundtrip"] = _written("metrics", rules_metrics_of, "csv", single_file=True)
+QUERIES["list_roundtrip"] = _written("list", list_of)
+QUERIES["ledger_roundtrip"] = _written("ledger", ledger_of)
+QUERIES["learning_roundtrip"] = _written("learning-table", learning_of)
+QUERIES["comparison_roundtrip"] = _written("comparison", comparison_of, "csv", single_file=True)
+QUERIES["checks_roundtrip"] = _written("checks", checks_of, "csv", single_file=True)
+
+
+@query("learning_presented")
+def learning_presented(spark, folder):
+    return learning.in_policy_order(learning_of(spark, folder))
+
+
 # Reports --------------------------------------------------------------------------------
 
 
