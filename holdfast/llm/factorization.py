@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from holdfast.llm import words
 from holdfast.llm.compression import usable_labels
+from holdfast.sources.staging import stage
 
 PREFIXES = (4, 5, 6)
 
@@ -33,9 +34,10 @@ PREFIXES = (4, 5, 6)
 @dataclass(frozen=True)
 class MachineSpec:
     """At most ``rows`` texts of each class, of at most ``longest`` characters, are learned
-    from; ``terms`` is the number of terms kept, by their chi-square with the label."""
+    from; ``terms`` is the number of terms kept, by their chi-square with the label. The
+    driver holds no more than the kept terms of the sample's texts."""
 
-    rows: int = 6000
+    rows: int = 4000
     longest: int = 200_000
     terms: int = 1024
     least_texts: int = 4
@@ -82,13 +84,23 @@ def _term_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             hashes, owner = _distinct(*piece_terms(data, offsets))
             docs = len(offsets) - 1
             bounds = np.searchsorted(owner, np.arange(docs + 1))
-            held = [hashes[a:b].tobytes() for a, b in zip(bounds, bounds[1:])]
+            held = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(hashes.view(np.int64)))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0)[row : row + docs], batch.column(1)[row : row + docs], pa.array(held, pa.binary())],
+                [batch.column(0)[row : row + docs], batch.column(1)[row : row + docs], held],
                 ["id", "label", "held"],
             )
 
 
+def _known_lists(terms: np.ndarray):
+    def known(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            held = [positions(terms, np.array(h, np.int64).view(np.uint64))[0] for h in batch.column(2).to_pylist()]
+            lists = pa.array(held, pa.list_(pa.int32()))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], lists], ["id", "label", "known"])
+
+    return known
+
+
 @dataclass(frozen=True)
 class Machine:
     """Sorted ``terms`` with a weight and a factor vector each, and the bias."""
@@ -108,23 +120,23 @@ class Machine:
         return self.bias + linear + 0.5 * pairs
 
 
-def _chosen_terms(held: list[np.ndarray], y: np.ndarray, spec: MachineSpec) -> np.ndarray:
-    terms, inverse = np.unique(np.concatenate(held), return_inverse=True)
-    labels = np.repeat(y, [len(h) for h in held])
-    texts = np.bincount(inverse, minlength=len(terms)).astype(float)
-    ones = np.bincount(inverse, labels, minlength=len(terms))
-    share = y.mean()
-    gap = ones - texts * share
-    score = gap * gap / np.maximum(texts * share * (1 - share) * (1 - texts / (len(y) + 1)), 1e-9)
-    score[texts < spec.least_texts] = -1
-    best = np.argsort(-score, kind="stable")[: spec.terms]
-    return np.sort(terms[best[score[best] > 0]])
+def _chosen_terms(lists: DataFrame, texts: int, ones: int, spec: MachineSpec) -> np.ndarray:
+    """The sorted terms with the highest chi-square of presence and label in the sample."""
+    share = ones / texts
+    terms = lists.select("label", F.explode("held").alias("term")).groupBy("term")
+    counts = terms.agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("ones"))
+    gap = F.col("ones") - F.col("n") * share
+    spread = F.col("n") * share * (1 - share) * (1 - F.col("n") / (texts + 1))
+    best = counts.where(F.col("n") >= spec.least_texts).orderBy(F.desc(gap * gap / spread), "term")
+    rows = best.limit(spec.terms).select("term").collect()
+    return np.sort(np.array([r.term for r in rows], np.int64).view(np.uint64))
 
 
-def train_machine(held: list[np.ndarray], y: np.ndarray, weight: np.ndarray, spec: MachineSpec) -> Machine:
-    """Mini-batch Adam on the weighted logistic loss; the order of rows is a fixed shuffle."""
-    terms = _chosen_terms(held, y, spec)
-    known = [positions(terms, h)[0] for h in held]
+def train_machine(
+    terms: np.ndarray, known: list[np.ndarray], y: np.ndarray, weight: np.ndarray, spec: MachineSpec
+) -> Machine:
+    """Mini-batch Adam on the weighted logistic loss of texts given as positions of their
+    terms; the order of rows is a fixed shuffle."""
     draw = np.random.default_rng(17)
     size, k = len(terms), spec.factors
     share = float((weight * y).sum() / weight.sum())
@@ -169,19 +181,22 @@ def fit_machine(docs: DataFrame, labels: DataFrame, label: str, spec: MachineSpe
     texts = docs.select("doc_id", "text").where(F.length("text") <= spec.longest)
     found = texts.join(F.broadcast(parts[0].union(parts[1])), F.col("doc_id") == F.col("id"))
     found = found.select(F.col("id").cast("long"), F.col("label").cast("int"), "text")
-    lists = found.mapInArrow(_term_lists, "id long, label int, held binary")
-    lists = lists.groupBy("id", "label").agg(F.min("held").alias("held"))
-    rows = sorted(lists.collect(), key=lambda r: r.id)
-    y = np.array([r.label for r in rows], float)
-    if not 0 < y.sum() < len(y):
-        share = (y.sum() + 0.5) / (len(y) + 1)
+    lists = found.mapInArrow(_term_lists, "id long, label int, held array<long>")
+    lists = stage(lists.groupBy("id", "label").agg(F.min("held").alias("held")), "terms")
+    texts, ones = lists.agg(F.count(F.lit(1)), F.coalesce(F.sum("label"), F.lit(0))).first()
+    if not 0 < ones < texts:
+        share = (ones + 0.5) / (texts + 1)
         empty = np.zeros(0)
         return Machine(empty.astype(np.uint64), empty, np.zeros((0, spec.factors)), math.log(share / (1 - share)))
-    held = [np.frombuffer(r.held, np.uint64) for r in rows]
+    terms = _chosen_terms(lists, texts, ones, spec)
+    known = lists.mapInArrow(_known_lists(terms), "id long, label int, known array<int>")
+    rows = sorted(known.collect(), key=lambda r: r.id)
+    y = np.array([r.label for r in rows], float)
     # A class capped at ``rows`` weighs what it does among the labels.
     ratio = {v: total[v] / (y == v).sum() for v in (0, 1)}
     weight = np.where(y == 1, ratio[1], ratio[0])
-    return train_machine(held, y, weight / weight.mean(), spec)
+    lists = [np.array(r.known, np.int64) for r in rows]
+    return train_machine(terms, lists, y, weight / weight.mean(), spec)
 
 
 def _scorer(machine: Machine):
