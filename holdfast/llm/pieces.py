@@ -17,7 +17,9 @@ meet before each run of space signs. Such units are encoded once and remembered.
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -62,6 +64,13 @@ class PieceModel:
     def _finish(self, ids: dict[str, int]) -> None:
         self.ids = ids
         self.longest = max(map(len, ids))
+        # Place of each piece among the merges; single characters are there from the start.
+        falling = sorted({self.scores[k] for k in ids.values()}, reverse=True)
+        place = {score: n for n, score in enumerate(falling)}
+        self.rank = [place.get(score, 0) for score in self.scores] + [len(falling) - 1]
+        for piece, k in ids.items():
+            if len(piece) == 1:
+                self.rank[k] = -1
         # Every ending of a piece, with the piece it is, or -2: a search backwards from a
         # position stops at the first text that ends no piece.
         self.ends = {p[k:]: -2 for p in ids for k in range(1, len(p))}
@@ -71,19 +80,21 @@ class PieceModel:
 
 
 class StreamingEncoder(dict):
-    """Ids of texts; as a dict, the remembered units, up to ``most`` of them."""
+    """Ids of texts; as a dict, the remembered units: the first ``most`` of them, among which
+    are all frequent ones."""
 
-    def __init__(self, model: PieceModel, most: int = 500_000):
+    def __init__(self, model: PieceModel, most: int = 250_000):
         self.model = model
         self.most = most
         self.pairs: dict[int, bool] = {}
+        self.halves: dict[int, tuple[int, int] | None] = {}
         self.byte_ids = [model.bytes.get(f"<0x{b:02X}>") for b in range(256)]
 
-    def _merged(self, text: str) -> list[str]:
-        """Pieces of a short text by plain merging: best score first, then leftmost."""
+    def merged(self, text: str, parts_left: int = 1) -> list[str]:
+        """Parts of a short text by plain merging: best score first, then leftmost."""
         ids, scores = self.model.ids, self.model.scores
         parts = list(text)
-        while len(parts) > 1:
+        while len(parts) > parts_left:
             best, at = None, -1
             for k in range(len(parts) - 1):
                 own = ids.get(parts[k] + parts[k + 1])
@@ -94,18 +105,54 @@ class StreamingEncoder(dict):
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
         return parts
 
+    def _halves(self, piece: int) -> tuple[int, int] | None:
+        """The two pieces whose merge is the piece; None if merging its text gives others."""
+        known = self.halves.get(piece, False)
+        if known is False:
+            text = self.model.pieces[piece]
+            parts = self.merged(text, 2)
+            known = None
+            if len(parts) == 2 and self.merged(text) == [text] and all(p in self.model.ids for p in parts):
+                known = self.model.ids[parts[0]], self.model.ids[parts[1]]
+            self.halves[piece] = known
+        return known
+
     def _compatible(self, left: int, right: int) -> bool:
-        """Whether two neighbours stay as they are; an unknown character never merges."""
+        """Whether two neighbours stay as they are; an unknown character never merges.
+
+        The merges that made the two are undone from the last one on. They stay apart unless
+        some parts that touch would have merged before the merge that is being undone.
+        """
         key = left * len(self.model.pieces) + right
-        known = self.pairs.get(key)
-        if known is None:
-            a, b = self.model.pieces[left] if left >= 0 else "", self.model.pieces[right]
-            known = self._merged(a + b) == ([a, b] if a else [b])
-            if len(self.pairs) > 2_000_000:
-                self.pairs.clear()
-            self.pairs[key] = known
+        if len(self.pairs) > 500_000:
+            self.pairs.clear()
+        known = len(self.model.pieces[right]) == 1 or self._halves(right) is not None
+        self.pairs[key] = known = known and (left == UNKNOWN or self._stay_apart(left, right))
         return known
 
+    def _stay_apart(self, a: int, b: int) -> bool:
+        ids, pieces, rank = self.model.ids, self.model.pieces, self.model.rank
+        if rank[a] == rank[-1] or rank[b] == rank[-1]:
+            # Pieces that share the lowest score merge by place only.
+            return self.merged(pieces[a] + pieces[b]) == [pieces[a], pieces[b]]
+        limit = len(pieces)
+        while True:
+            joined = ids.get(pieces[a] + pieces[b])
+            if joined is not None and rank[joined] < limit:
+                return False
+            undo_left = rank[a] > rank[b]
+            for _ in range(2):
+                # At equal rank the left merge goes first.
+                if undo_left and len(pieces[a]) > 1:
+                    limit, a = rank[a], self._halves(a)[1]
+                    break
+                if not undo_left and len(pieces[b]) > 1:
+                    limit, b = rank[b] + 1, self._halves(b)[0]
+                    break
+                undo_left = not undo_left
+            else:
+                return True
+
     def _extend_merges(self, text: str, last: list[int], back: list[int]) -> None:
         """Backpointers of the positions of ``text`` that have none yet."""
         ends, pairs, size = self.model.ends, self.pairs, len(self.model.pieces)
@@ -190,16 +237,30 @@ class StreamingEncoder(dict):
         return ids
 
     def __missing__(self, unit: str) -> bytes:
-        ids = np.array(self._ids(unit), "<i4").tobytes()
-        if len(unit) <= 64:
-            self[unit] = ids
+        if len(unit) > 64:
+            return array("i", self._ids(unit)).tobytes()
+        ids = self._short(unit) if self.model.merges else self._ids(unit)
+        own = array("i", ids).tobytes()
+        if len(self) < self.most:
+            self[unit] = own
+        return own
+
+    def _short(self, unit: str) -> list[int]:
+        """As :meth:`_ids`, for a unit that ends before anything would be committed."""
+        last, back = [UNKNOWN], [0]
+        self._extend_merges(unit, last, back)
+        end, ids = len(unit), []
+        while end:
+            if last[end] == UNKNOWN:
+                return self._ids(unit)
+            ids.append(last[end])
+            end = back[end]
+        ids.reverse()
         return ids
 
     def encode(self, text: str) -> np.ndarray:
         if not text:
             return np.zeros(0, "<i4")
-        if len(self) > self.most:
-            self.clear()
         text = (SPACE if self.model.prefix else "") + text.replace(" ", SPACE)
         if not self.model.by_unit:
             return np.array(self._ids(text), "<i4")
@@ -212,17 +273,31 @@ class Decoder:
     def __init__(self, model: PieceModel):
         self.prefix = model.prefix
         spelled = {k: bytes([int(p[3:5], 16)]) for p, k in model.bytes.items()}
-        self.parts = [
+        parts = [
             spelled.get(k, b"" if k in model.silent else p.replace(SPACE, " ").encode())
             for k, p in enumerate(model.pieces)
         ]
-        self.parts[model.unknown] = " ⁇ ".encode()
-
-    def decode(self, ids: list[int]) -> str:
-        text = b"".join(map(self.parts.__getitem__, ids)).decode("utf-8", "replace")
+        parts[model.unknown] = " ⁇ ".encode()
+        self.sizes = np.array([len(p) for p in parts])
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.letters = np.frombuffer(b"".join(parts), np.uint8)
+
+    def decode(self, ids: np.ndarray) -> str:
+        """All pieces are copied in one gather over the joined bytes of the vocabulary."""
+        sizes = self.sizes[ids]
+        ends = np.cumsum(sizes)
+        total = int(ends[-1]) if len(ends) else 0
+        at = np.repeat(self.starts[ids] - ends + sizes, sizes) + np.arange(total)
+        text = self.letters[at].tobytes().decode("utf-8", "replace")
         return text[1:] if self.prefix and text.startswith(" ") else text
 
 
+@lru_cache(maxsize=2)
+def _encoder(path: str) -> StreamingEncoder:
+    """Kept by a worker from task to task, with the units it remembers."""
+    return StreamingEncoder(PieceModel(path))
+
+
 def _replaced(batch: pa.RecordBatch, name: str, column: pa.Array) -> pa.RecordBatch:
     at = batch.schema.get_field_index(name)
     columns = [column if k == at else c for k, c in enumerate(batch.columns)]
@@ -231,9 +306,8 @@ def _replaced(batch: pa.RecordBatch, name: str, column: pa.Array) -> pa.RecordBa
 
 def _encoding(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = None
+        encoder = _encoder(path)
         for batch in batches:
-            encoder = encoder or StreamingEncoder(PieceModel(path))
             for at in range(0, batch.num_rows, 1024):
                 part = batch.slice(at, 1024)
                 found = [encoder.encode(t) if t is not None else None for t in part.column("text").to_pylist()]
@@ -249,7 +323,12 @@ def _decoding(path: str):
             decoder = decoder or Decoder(PieceModel(path))
             for at in range(0, batch.num_rows, 1024):
                 part = batch.slice(at, 1024)
-                found = [decoder.decode(k) if k is not None else None for k in part.column("ids").to_pylist()]
+                lists = part.column("ids")
+                flat, ends = lists.values.to_numpy(), lists.offsets.to_numpy()
+                found = [
+                    decoder.decode(flat[a:b]) if known else None
+                    for known, a, b in zip(lists.is_valid().to_pylist(), ends, ends[1:])
+                ]
                 yield _replaced(part, "decoded", pa.array(found, pa.string()))
 
     return run

@@ -32,11 +32,24 @@ def random_texts(n, size=60):
 def test_ids_equal_the_library_and_decode_to_the_text(library, model):
     encoder, decoder = pieces.StreamingEncoder(model, most=500), pieces.Decoder(model)
     for text in ["", " ", "<s>", "</s> <unk>", *random_texts(3000)]:
-        ids = encoder.encode(text).tolist()
-        assert ids == library.encode(text), repr(text)
+        ids = encoder.encode(text)
+        assert ids.tolist() == library.encode(text), repr(text)
         assert decoder.decode(ids) == text
 
 
+def test_neighbours_stay_apart_as_merging_says(model):
+    encoder, draw = pieces.StreamingEncoder(model), random.Random(7)
+    known = sorted(model.ids.values())
+    for text in random_texts(400):
+        encoder.encode(text)
+    pairs = [(draw.choice(known), draw.choice(known)) for _ in range(20_000)]
+    pairs += [divmod(k, len(model.pieces)) for k in encoder.pairs if k >= 0]
+    for a, b in pairs:
+        text = [model.pieces[a], model.pieces[b]]
+        if all(encoder.merged(t) == [t] for t in text):
+            assert encoder._compatible(a, b) == (encoder.merged("".join(text)) == text), text
+
+
 def test_streams_commit_early_and_stay_small(library, model):
     encoder = pieces.StreamingEncoder(model)
     draw = random.Random(2)
