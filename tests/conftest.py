@@ -38,7 +38,3 @@ def spark(tmp_path_factory):
 @pytest.fixture(scope="session")
 def data() -> str:
     return DATA
-
-
-def plan_of(df) -> str:
-    return df._jdf.queryExecution().executedPlan().toString()

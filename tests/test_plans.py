@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 
 import pytest
-from conftest import plan_of
+from compare import plan_of
 
 from holdfast.operators import metrics, policy, ranking, rules
 from holdfast.plans import catalog
