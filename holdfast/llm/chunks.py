@@ -153,7 +153,7 @@ SPANS = "array<struct<start:int,length:int,first_doc_id:bigint>>"
 
 def _cleaner(spec: ChunkSpec):
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in words.row_slices(batches):
             texts = batch.column("__text").cast(pa.binary()).to_pylist()
             kept, spans = [], []
             for text, marks in zip(texts, batch.column("__marks").to_pylist()):

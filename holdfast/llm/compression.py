@@ -20,6 +20,8 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from holdfast.llm import words
+
 
 @dataclass(frozen=True)
 class CompressionSpec:
@@ -62,9 +64,9 @@ class CompressionModel:
         return tuple(made)
 
 
-def differences(texts: list[bytes], model: CompressionModel) -> np.ndarray:
+def differences(texts: list[bytes], model: CompressionModel, compressors: tuple | None = None) -> np.ndarray:
     """(bad size - good size) / larger size for each text."""
-    good, bad = model.compressors()
+    good, bad = compressors or model.compressors()
     found = np.empty(len(texts))
     for i, text in enumerate(texts):
         a, b = len(good.compress(text)), len(bad.compress(text))
@@ -150,9 +152,10 @@ def fit_compression(docs: DataFrame, labels: DataFrame, label: str, spec=Compres
 
 def _scorer(model: CompressionModel):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        compressors = model.compressors()
+        for batch in words.row_slices(batches):
             texts = [(t or "").encode() for t in batch.column("text").to_pylist()]
-            z = model.slope * differences(texts, model) + model.intercept
+            z = model.slope * differences(texts, model, compressors) + model.intercept
             own = pa.array(1 / (1 + np.exp(-np.clip(z, -700, 700))), pa.float64())
             at = batch.schema.get_field_index("score")
             columns = [own if k == at else c for k, c in enumerate(batch.columns)]

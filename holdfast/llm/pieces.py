@@ -26,6 +26,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from holdfast.llm import words
+
 SPACE = "▁"
 _UNIT = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 UNKNOWN = -1
@@ -307,29 +309,24 @@ def _replaced(batch: pa.RecordBatch, name: str, column: pa.Array) -> pa.RecordBa
 def _encoding(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(path)
-        for batch in batches:
-            for at in range(0, batch.num_rows, 1024):
-                part = batch.slice(at, 1024)
-                found = [encoder.encode(t) if t is not None else None for t in part.column("text").to_pylist()]
-                yield _replaced(part, "ids", pa.array(found, pa.list_(pa.int32())))
+        for part in words.row_slices(batches):
+            found = [encoder.encode(t) if t is not None else None for t in part.column("text").to_pylist()]
+            yield _replaced(part, "ids", pa.array(found, pa.list_(pa.int32())))
 
     return run
 
 
 def _decoding(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        decoder = None
-        for batch in batches:
-            decoder = decoder or Decoder(PieceModel(path))
-            for at in range(0, batch.num_rows, 1024):
-                part = batch.slice(at, 1024)
-                lists = part.column("ids")
-                flat, ends = lists.values.to_numpy(), lists.offsets.to_numpy()
-                found = [
-                    decoder.decode(flat[a:b]) if known else None
-                    for known, a, b in zip(lists.is_valid().to_pylist(), ends, ends[1:])
-                ]
-                yield _replaced(part, "decoded", pa.array(found, pa.string()))
+        decoder = Decoder(_encoder(path).model)
+        for part in words.row_slices(batches):
+            lists = part.column("ids")
+            flat, ends = lists.values.to_numpy(), lists.offsets.to_numpy()
+            found = [
+                decoder.decode(flat[a:b]) if known else None
+                for known, a, b in zip(lists.is_valid().to_pylist(), ends, ends[1:])
+            ]
+            yield _replaced(part, "decoded", pa.array(found, pa.string()))
 
     return run
 

@@ -11,7 +11,9 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-PIECE_BYTES = 1 << 20
+PIECE_BYTES = 1 << 18
+# Rows of a batch that are held as Python objects at a time.
+SLICE_ROWS = 512
 
 _U = np.uint64
 _SPACE = np.zeros(256, bool)
@@ -23,6 +25,13 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
 
+def row_slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of ``SLICE_ROWS`` rows."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, SLICE_ROWS):
+            yield batch.slice(at, SLICE_ROWS)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """The splitmix64 finaliser: every output bit depends on every input bit."""
     x = (x ^ (x >> _U(30))) * _U(0xBF58476D1CE4E5B9)
