@@ -37,7 +37,7 @@ class MachineSpec:
     from; ``terms`` is the number of terms kept, by their chi-square with the label. The
     driver holds no more than the kept terms of the sample's texts."""
 
-    rows: int = 4000
+    rows: int = 6000
     longest: int = 200_000
     terms: int = 1024
     least_texts: int = 4

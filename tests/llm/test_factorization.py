@@ -62,3 +62,19 @@ def test_one_class_and_empty_tables(tables):
     assert len(scores) == 1 and scores.pop() < 0.01
     machine = factorization.fit_machine(frame.limit(0), labels, "toxic")
     assert factorization.score_toxicity(frame.limit(0), machine).count() == 0
+
+
+def test_a_class_of_over_4000_labels_is_learned_from_up_to_6000(spark, docs, monkeypatch):
+    seen = {}
+
+    def caught(terms, known, y, weight, spec):
+        seen.update(zeros=int((y == 0).sum()), ones=int((y == 1).sum()))
+        return factorization.Machine(terms, np.zeros(len(terms)), np.zeros((len(terms), spec.factors)), 0.0)
+
+    monkeypatch.setattr(factorization, "train_machine", caught)
+    labels = spark.range(9000).selectExpr("id AS doc_id", "1 AS quality", "CAST(id % 9 = 0 AS int) AS toxic")
+    frame = docs([(0, "plain words")]).select("doc_id", "text").union(
+        spark.range(1, 9000).selectExpr("id", "concat('plain words ', id % 50)")
+    )
+    factorization.fit_machine(frame, labels, "toxic")
+    assert seen["zeros"] == 6000 and 0 < seen["ones"] < 1000
