@@ -1,9 +1,11 @@
-"""Repeated passages: content-defined chunks of texts, deduplicated by digest.
-
-A gear rolling hash over the last 32 bytes of a text places the cuts at its local minima, so
-an insertion moves only the cuts beside it. A chunk found in a document with a smaller
-doc_id is a repeat; a run of neighbouring repeats is removed when it has ``run_words`` words
-or more, so short shared phrases stay.
+"""Repeated passages: seeds that every shared passage has, extended to its true ends.
+
+Of every 48 neighbouring 48-byte grams of a text the one with the smallest rolling hash is a
+seed (winnowing), so two texts that share 95 bytes share a seed, whatever lies around them,
+and neighbouring seeds of a text touch. A seed found in a document with a smaller doc_id is a
+repeat; the outer seeds of a run of repeats are compared byte by byte with their holder's
+text and extended as far as both agree. What is then ``run_words`` words or more is removed,
+so short shared phrases stay.
 """
 
 from __future__ import annotations
@@ -17,18 +19,26 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from holdfast.llm import words
+from holdfast.sources.staging import stage
 
 
 @dataclass(frozen=True)
 class ChunkSpec:
-    """A cut falls where the rolling hash is the smallest within ``reach`` bytes on both sides,
-    so on one byte in 2 ``reach`` + 1 on average, and wherever a chunk would pass ``most``
-    bytes. Cuts depend on nothing further away than ``reach`` + 32 bytes: a passage of more
-    than 50 words holds a run of equal chunks well above ``run_words`` words."""
+    """Seeds are grams of ``gram`` bytes, one of each ``window`` neighbouring ones: a shared
+    passage of ``gram + window - 1`` = 95 bytes has one, so any of more than 50 words. Outer
+    seeds are extended by up to ``context`` bytes; all before the first seed of a passage is
+    less than ``window`` bytes, more is needed only where other documents hold its first seeds.
+
+    ``reach`` and ``most`` are those of ``chunk_ends``, which passages no longer depend on: a
+    cut falls where the rolling hash is the smallest within ``reach`` bytes on both sides, and
+    wherever a chunk would pass ``most`` bytes."""
 
     reach: int = 24
     most: int = 128
     run_words: int = 14
+    gram: int = 48
+    window: int = 48
+    context: int = 256
 
 
 GEAR = words.constants(256, 31).astype(np.uint32)
@@ -74,70 +84,184 @@ def chunk_ends(data: np.ndarray, spec: ChunkSpec) -> np.ndarray:
     return ends.astype(np.int64)
 
 
-def _chunker(spec: ChunkSpec):
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def seed_starts(data: np.ndarray, spec: ChunkSpec) -> np.ndarray:
+    """Starts of the seeds of one text; a text shorter than a gram is its one seed."""
+    if not len(data):
+        return np.zeros(0, np.int64)
+    own = rolled(data)[min(spec.gram, len(data)) - 1 :]
+    ranked = own.astype(np.uint64) << np.uint64(32) | np.arange(len(own), dtype=np.uint64)
+    size = min(spec.window, len(own))
+    least = _smallest_ahead(ranked, size)[: len(own) - size + 1]
+    at = np.unique(least & np.uint64(0xFFFFFFFF)).astype(np.int64)
+    # Periodic text has a smallest gram at every period: one of each half gram is enough.
+    new = np.ones(len(at), bool)
+    new[1:] = (own[at[1:]] != own[at[:-1]]) | (np.diff(at) >= spec.gram)
+    begin = at[np.maximum.accumulate(np.where(new, np.arange(len(at)), 0))]
+    half = (at - begin) // (spec.gram // 2)
+    new[1:] |= half[1:] != half[:-1]
+    return at[new]
+
+
+def _digests(data: np.ndarray, starts: np.ndarray, spec: ChunkSpec) -> np.ndarray:
+    return words.span_digests(data, starts, np.minimum(starts + spec.gram, len(data)))[0].view(np.int64)
+
+
+def _seeder(spec: ChunkSpec):
+    def seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row, data, offsets in words.text_pieces(batch.column(1)):
                 ids = batch.column(0)[row : row + len(offsets) - 1].cast(pa.int64())
-                ends = [chunk_ends(data[a:b], spec) for a, b in zip(offsets, offsets[1:])]
-                counts = np.array([len(e) for e in ends])
-                owner = np.repeat(np.arange(len(ends)), counts)
-                stops = np.concatenate([e + a for e, a in zip(ends, offsets)]).astype(np.int64)
-                starts = np.concatenate([[0], stops[:-1]]).astype(np.int64)
-                base = offsets[:-1][owner]
-                first, second = words.span_digests(data, starts, stops)
+                own = [seed_starts(data[a:b], spec) for a, b in zip(offsets, offsets[1:])]
+                owner = np.repeat(np.arange(len(own)), [len(o) for o in own])
+                local = np.concatenate(own)
+                starts = local + offsets[:-1][owner]
+                stops = np.minimum(starts + spec.gram, offsets[1:][owner])
+                digests = words.span_digests(data, starts, stops)[0].view(np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        ids.take(pa.array(owner)),
-                        pa.array((starts - base).astype(np.int32)),
-                        pa.array((stops - starts).astype(np.int32)),
-                        pa.array(first.view(np.int64)),
-                        pa.array(second.view(np.int64)),
-                    ],
-                    ["doc_id", "start", "length", "d1", "d2"],
+                    [ids.take(pa.array(owner)), pa.array(local.astype(np.int32)), pa.array(digests)],
+                    ["doc_id", "start", "digest"],
                 )
 
-    return cut
+    return seeds
 
 
-def chunk_table(docs: DataFrame, spec: ChunkSpec = ChunkSpec()) -> DataFrame:
-    """(doc_id, start, length, d1, d2): the chunks of every text in bytes, with a 128-bit digest."""
+def seed_table(docs: DataFrame, spec: ChunkSpec = ChunkSpec()) -> DataFrame:
+    """(doc_id, start, digest): the seeds of every text, with a 64-bit digest of the gram."""
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
-        _chunker(spec), "doc_id long, start int, length int, d1 long, d2 long"
+        _seeder(spec), "doc_id long, start int, digest long"
     )
 
 
-def repeated_chunks(docs: DataFrame, spec: ChunkSpec = ChunkSpec()) -> DataFrame:
-    """(doc_id, start, length, d1, d2, first_doc_id): chunks also found in a document with a smaller id."""
-    chunks = chunk_table(docs.where("doc_id IS NOT NULL"), spec)
-    ends = chunks.groupBy("d1", "d2").agg(
-        F.min("doc_id").alias("first_doc_id"), F.max("doc_id").alias("last_doc_id")
-    )
+def repeated_seeds(docs: DataFrame, spec: ChunkSpec = ChunkSpec()) -> DataFrame:
+    """(doc_id, start, digest, first_doc_id): seeds also found in a document with a smaller id."""
+    seeds = seed_table(docs.where("doc_id IS NOT NULL"), spec)
+    ends = seeds.groupBy("digest").agg(F.min("doc_id").alias("first_doc_id"), F.max("doc_id").alias("last_doc_id"))
     shared = ends.where("first_doc_id < last_doc_id").drop("last_doc_id")
-    return (
-        chunks.join(shared, ["d1", "d2"])
-        .where("doc_id > first_doc_id")
-        .select("doc_id", "start", "length", "d1", "d2", "first_doc_id")
-    )
+    repeats = seeds.join(shared, "digest").where("doc_id > first_doc_id")
+    return repeats.select("doc_id", "start", "digest", "first_doc_id")
 
 
-def _own(text: bytes | None, marks: list[dict]) -> list[tuple[int, int, int]]:
-    """The marks whose digest this text has: a row of the same doc_id may hold another text."""
-    marks = [m for m in marks if text is not None and m["start"] + m["length"] <= len(text)]
+def _edge_finder(spec: ChunkSpec):
+    """(doc_id, start, digest, first_doc_id, side): seeds without a neighbour of their holder."""
+
+    def edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in words.row_slices(batches):
+            out: list[tuple] = []
+            for doc, marks in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                marks = sorted((m["first_doc_id"], m["start"], m["digest"]) for m in marks)
+                for side, order in ((0, marks), (1, marks[::-1])):
+                    last = None
+                    for source, start, digest in order:
+                        if last is None or last[0] != source or abs(start - last[1]) > spec.gram:
+                            out.append((doc, start, digest, source, side))
+                        last = source, start
+            kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32())
+            columns = list(zip(*out)) or [()] * len(kinds)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, k) for c, k in zip(columns, kinds)],
+                ["doc_id", "start", "digest", "first_doc_id", "side"],
+            )
+
+    return edges
+
+
+def _context_reader(spec: ChunkSpec):
+    """(digest, side, context): the holder's gram with the bytes before (0) or after it (1)."""
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in words.row_slices(batches):
+            found: set[tuple[int, int, bytes]] = set()
+            texts = batch.column(0).cast(pa.binary()).to_pylist()
+            for text, wanted in zip(texts, batch.column(1).to_pylist()):
+                data = np.frombuffer(text or b"", np.uint8)
+                starts = seed_starts(data, spec)
+                places: dict[int, list[int]] = {}
+                for digest, at in zip(_digests(data, starts, spec).tolist(), starts.tolist()):
+                    places.setdefault(digest, []).append(at)
+                for w in wanted:
+                    for at in places.get(w["digest"], ()):
+                        a = max(0, at - spec.context) if w["side"] == 0 else at
+                        b = at + spec.gram + (spec.context if w["side"] == 1 else 0)
+                        found.add((w["digest"], w["side"], text[a:b]))
+            columns = list(zip(*found)) or [()] * 3
+            kinds = (pa.int64(), pa.int32(), pa.binary())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, k) for c, k in zip(columns, kinds)], ["digest", "side", "context"]
+            )
+
+    return read
+
+
+_BLANKS = b" \t\n\v\f\r"
+# A longer word is cut inside.
+_LONGEST_WORD = 64
+
+
+def _agreement(own: bytes, other: bytes) -> int:
+    """How many bytes both begin with, without a last word that ends in one of them only."""
+    n = min(len(own), len(other))
+    differ = np.flatnonzero(np.frombuffer(own, np.uint8, n) != np.frombuffer(other, np.uint8, n)) if n else []
+    m = int(differ[0]) if len(differ) else n
+    if 0 < m < len(other) and other[m] not in _BLANKS:
+        blank = next((k for k in range(m - 1, max(-1, m - 1 - _LONGEST_WORD), -1) if own[k] in _BLANKS), m)
+        m = blank
+    return m
+
+
+def _own(text: bytes | None, marks: list[dict], contexts: list[dict], spec: ChunkSpec) -> list[tuple[int, int, int]]:
+    """(start, length, source) of the marks whose gram this text has, extended by the contexts:
+    a row of the same doc_id may hold another text."""
+    size = min(spec.gram, len(text or b""))
+    marks = [m for m in marks if size and m["start"] + size <= len(text)]
     if not marks:
         return []
     starts = np.array([m["start"] for m in marks])
-    stops = starts + np.array([m["length"] for m in marks])
-    first, second = words.span_digests(np.frombuffer(text, np.uint8), starts, stops)
-    return [
-        (m["start"], m["length"], m["first_doc_id"])
-        for m, x, y in zip(marks, first.view(np.int64).tolist(), second.view(np.int64).tolist())
-        if (x, y) == (m["d1"], m["d2"])
-    ]
+    known = _digests(np.frombuffer(text, np.uint8), starts, spec).tolist()
+    marks = [m for m, d in zip(marks, known) if d == m["digest"]]
+    beside: dict[tuple[int, int], list[bytes]] = {}
+    for c in contexts:
+        beside.setdefault((c["start"], c["side"]), []).append(c["context"])
+    out = []
+    for m in marks:
+        a, b = m["start"], m["start"] + size
+        gram, before, after, right = text[a:b], 0, 0, True
+        lefts, rights = beside.get((a, 0)), beside.get((a, 1))
+        if lefts is not None:
+            same = [c for c in lefts if c.endswith(gram)]
+            right = bool(same)
+            near = text[max(0, a - spec.context) : a][::-1]
+            before = max((_agreement(near, c[: len(c) - size][::-1]) for c in same), default=0)
+        if rights is not None:
+            same = [c for c in rights if c.startswith(gram)]
+            right = right and bool(same)
+            after = max((_agreement(text[b : b + spec.context], c[size:]) for c in same), default=0)
+        # An equal digest of other bytes is no repeat.
+        if right:
+            out.append((a - before, before + size + after, m["first_doc_id"]))
+    return out
+
+
+def _whole_words(text: bytes, a: int, b: int) -> tuple[int, int]:
+    """The span without a word that it cuts and without the blanks at its ends inside the text."""
+    if a > 0:
+        at = a
+        if text[a - 1] not in _BLANKS:
+            at = next((k for k in range(a, min(b, a + _LONGEST_WORD)) if text[k] in _BLANKS), a)
+        while at < b and text[at] in _BLANKS:
+            at += 1
+        a = at
+    if b < len(text):
+        at = b
+        if text[b] not in _BLANKS:
+            at = next((k for k in range(b, max(a, b - _LONGEST_WORD), -1) if text[k - 1] in _BLANKS), b)
+        while at > a and text[at - 1] in _BLANKS:
+            at -= 1
+        b = at
+    return a, b
 
 
 def _runs(marks: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
-    """Neighbouring chunks joined to (start, end, smallest source)."""
+    """Neighbouring repeats joined to (start, end, smallest source)."""
     runs: list[tuple[int, int, int]] = []
     for start, length, source in sorted(marks):
         if runs and start <= runs[-1][1]:
@@ -156,12 +280,14 @@ def _cleaner(spec: ChunkSpec):
         for batch in words.row_slices(batches):
             texts = batch.column("__text").cast(pa.binary()).to_pylist()
             kept, spans = [], []
-            for text, marks in zip(texts, batch.column("__marks").to_pylist()):
+            columns = (batch.column(n).to_pylist() for n in ("__marks", "__contexts"))
+            for text, marks, contexts in zip(texts, *columns):
                 found, parts, at = [], [], 0
-                for a, b, source in _runs(_own(text, marks or [])):
+                for a, b, source in _runs(_own(text, marks or [], contexts or [], spec)):
+                    a, b = _whole_words(text, a, b)
                     if len(text[a:b].split()) < spec.run_words:
                         continue
-                    # A chunk may begin or end inside a character; that character stays.
+                    # A span may begin or end inside a character; that character stays.
                     while a < b and text[a] & 0xC0 == 0x80:
                         a += 1
                     while b > a and b < len(text) and text[b] & 0xC0 == 0x80:
@@ -174,8 +300,9 @@ def _cleaner(spec: ChunkSpec):
                 kept.append(None if text is None else text.decode("utf-8"))
                 spans.append(found)
             own = {"__text": pa.array(kept, pa.string()), "__marks": pa.array(spans, _SPAN_TYPE)}
-            columns = [own.get(n, c) for n, c in zip(batch.schema.names, batch.columns)]
-            yield pa.RecordBatch.from_arrays(columns, batch.schema.names)
+            names = [n for n in batch.schema.names if n != "__contexts"]
+            columns = [own.get(n, batch.column(n)) for n in names]
+            yield pa.RecordBatch.from_arrays(columns, names)
 
     return clean
 
@@ -189,20 +316,31 @@ def deduplicate_passages(docs: DataFrame, spec: ChunkSpec = ChunkSpec()) -> Data
     """``docs`` with repeated passages cut from ``text`` and their places in ``removed_spans``.
 
     A span gives start and length in bytes of the old text, and the smallest document that
-    holds one of its chunks. The first holder keeps a passage; repeats inside one document
+    holds one of its seeds. It covers whole words up to where the holder's text differs; a word
+    of more than 64 bytes is cut inside. The first holder keeps a passage; repeats inside one document
     stay. A null text stays null, an empty one empty; a wholly repeated text becomes empty.
     Rows with a null doc_id are neither sources nor cut. Rows sharing a doc_id are one
     document, not repeats of each other. A column named ``removed_spans`` is replaced.
     """
     docs = docs.drop("removed_spans")
-    marks = (
-        repeated_chunks(docs, spec)
-        .groupBy(F.col("doc_id").alias("__doc"))
-        .agg(F.collect_set(F.struct("start", "length", "d1", "d2", "first_doc_id")).alias("__marks"))
+    mark = F.struct("start", "digest", "first_doc_id")
+    marks = repeated_seeds(docs, spec).groupBy("doc_id").agg(F.collect_set(mark).alias("__marks"))
+    marks = stage(marks, "marks")
+    edges = marks.mapInArrow(
+        _edge_finder(spec), "doc_id long, start int, digest long, first_doc_id long, side int"
+    )
+    wanted = edges.select("first_doc_id", "digest", "side").distinct().groupBy("first_doc_id")
+    wanted = wanted.agg(F.collect_list(F.struct("digest", "side")).alias("wanted"))
+    held = docs.select(F.col("doc_id").cast("long").alias("first_doc_id"), "text").join(wanted, "first_doc_id")
+    contexts = held.select("text", "wanted").mapInArrow(
+        _context_reader(spec), "digest long, side int, context binary"
     )
+    beside = edges.join(contexts, ["digest", "side"]).groupBy("doc_id")
+    beside = beside.agg(F.collect_list(F.struct("start", "side", "context")).alias("__contexts"))
+    marks = marks.join(beside, "doc_id", "left").withColumnRenamed("doc_id", "__doc")
     others = [c for c in docs.columns if c != "text"]
     joined = docs.join(marks, F.col("doc_id").cast("long") == F.col("__doc"), "left").select(
-        *others, F.col("text").alias("__text"), "__marks"
+        *others, F.col("text").alias("__text"), "__marks", "__contexts"
     )
     fields = [f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in others]
     cleaned = joined.mapInArrow(_cleaner(spec), ", ".join([*fields, "__text string", f"__marks {SPANS}"]))

@@ -95,3 +95,43 @@ def test_null_empty_repeated_long_and_missing_rows(docs):
     assert got == sorted([(0, text(1)), (3, text(1)), (3, text(1)), (6, long)])
     assert {r.doc_id: r.text for r in found.collect() if not r.text} == {1: None, 2: "", 4: "", 7: ""}
     assert chunks.deduplicate_passages(docs([])).count() == 0
+
+
+def test_texts_sharing_95_bytes_share_a_seed_and_seeds_touch():
+    for seed in range(200):
+        draw = random.Random(seed)
+        shared = bytes(draw.randrange(97, 101) for _ in range(SPEC.gram + SPEC.window - 1))
+        own = [bytes(draw.randrange(97, 101) for _ in range(draw.randrange(200))) for _ in range(4)]
+        grams = []
+        for whole in (own[0] + shared + own[1], own[2] + shared + own[3]):
+            starts = chunks.seed_starts(np.frombuffer(whole, np.uint8), SPEC)
+            assert np.diff(starts).max(initial=0) <= SPEC.gram
+            grams.append({whole[s : s + SPEC.gram] for s in starts.tolist()})
+        assert grams[0] & grams[1]
+    assert len(chunks.seed_starts(np.full(4800, 97, np.uint8), SPEC)) < 250
+
+
+def test_whole_passages_of_51_short_words_are_cut(docs):
+    """Also where other documents before the holder have phrases of it."""
+    rows, passages = [], {}
+    for p in range(60):
+        draw = random.Random(p)
+        word = lambda: "".join(draw.choice("abcdefghijklm") for _ in range(draw.randrange(2, 5)))  # noqa: E731, B023
+        passage = " ".join(word() for _ in range(51))
+        if p % 3 == 0:
+            rows.append((p, text(900 + p, 40) + " " + " ".join(passage.split()[:13]) + " " + text(800 + p, 40)))
+        for k in (1, 2, 3):
+            i = 1000 * k + p
+            ends = text(i, 40), text(5000 + i, 40)
+            rows.append((i, ends[0] + " Q" + " " + passage + " " + f"{k}Z " + ends[1]))
+            passages[i] = passage, ends[0] + " Q", f"{k}Z " + ends[1]
+    found = run(docs(rows))
+    for i, (passage, head, tail) in passages.items():
+        if i < 2000 and i % 1000 % 3:
+            assert not found[i].removed_spans
+        elif i >= 2000:
+            assert len(found[i].removed_spans) == 1
+            (left,) = {found[i].text}
+            assert not set(passage.split()[1:-1]) & set(left[len(head) - 1 : len(left) - len(tail)].split()), left
+            assert found[i].text.endswith(tail) and found[i].text.startswith(head[:-2])
+            assert len(left) <= len(head) + len(tail) + 2
