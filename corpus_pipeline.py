@@ -57,10 +57,12 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a passage of the benchmark."""
+    """Documents without a passage of the benchmark. Rows without a doc_id go by their text."""
     ship_package(spark)
-    leaks = decontamination.find_leaks(docs, table(spark, sf_dir, "benchmark"))
-    return docs.join(leaks.select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
+    text_key = F.concat(F.lit("text "), F.sha2("text", 256))
+    keyed = docs.withColumn("__key", F.coalesce(F.col("doc_id").cast("string"), text_key))
+    leaks = decontamination.find_leaks(keyed, table(spark, sf_dir, "benchmark"), key="__key")
+    return keyed.join(leaks.select("__key").distinct(), "__key", "left_anti").select(*docs.columns)
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -188,11 +188,11 @@ def _finder(index: ItemIndex, spec: LeakSpec):
                 owner = pa.array([row + f[0] for f in found], pa.int64())
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column(0).take(owner).cast(pa.int64()),
+                        batch.column(0).take(owner),
                         pa.array([index.ids[f[1]] for f in found], pa.int64()),
                         *[pa.array([f[k] for f in found], pa.int64()) for k in (2, 3, 4)],
                     ],
-                    ["doc_id", "item_id", "start", "end", "edits"],
+                    [batch.schema.names[0], "item_id", "start", "end", "edits"],
                 )
 
     return find
@@ -211,22 +211,26 @@ def _blocks(benchmark: DataFrame, most: int) -> Iterator[list[tuple[int, str]]]:
         yield block
 
 
-SCHEMA = "doc_id long, item_id long, start long, end long, edits long"
+SCHEMA = "item_id long, start long, end long, edits long"
 
 
-def find_leaks(docs: DataFrame, benchmark: DataFrame, spec: LeakSpec = LeakSpec()) -> DataFrame:
+def find_leaks(
+    docs: DataFrame, benchmark: DataFrame, spec: LeakSpec = LeakSpec(), key: str = "doc_id"
+) -> DataFrame:
     """One row per passage of a document that holds a benchmark item within its edit budget.
 
     ``docs`` has doc_id and text, ``benchmark`` item_id and text; other columns are ignored.
     ``start`` and ``end`` are bytes of the document's text. White space around an item is
     ignored. Null and empty texts hold nothing. Equal items are reported one by one, and
     each row of a repeated document by itself. Occurrences of one item whose diagonals lie
-    in neighbouring bands count as one passage, given by the best of them.
+    in neighbouring bands count as one passage, given by the best of them. With another ``key``
+    that column of ``docs`` stands in place of doc_id.
     """
-    docs = docs.select(F.col("doc_id").cast("long"), "text")
-    found = docs.sparkSession.createDataFrame([], SCHEMA)
+    docs = docs.select(F.col("doc_id").cast("long") if key == "doc_id" else F.col(key), "text")
+    schema = f"{key} {docs.schema[key].dataType.simpleString()}, {SCHEMA}"
+    found = docs.sparkSession.createDataFrame([], schema)
     for block in _blocks(benchmark, spec.block_bytes):
         index = index_items(block, spec)
         if index.ids:
-            found = found.unionByName(stage(docs.mapInArrow(_finder(index, spec), SCHEMA), "leaks"))
+            found = found.unionByName(stage(docs.mapInArrow(_finder(index, spec), schema), "leaks"))
     return found

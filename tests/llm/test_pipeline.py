@@ -136,3 +136,23 @@ def test_queries_equal_their_statements(spark, data, name):
 def test_queries_without_a_statement_run(spark, data, name):
     found = QUERIES[name](spark, data)
     assert "doc_id" in found.columns and found.count() > 0
+
+
+def test_leaks_of_rows_without_a_doc_id_go(spark, folder):
+    _, _, items = tables()
+    rows = [(None, "before " + items[0][1] + " after", "en", "s", 1), (None, "clean words", "en", "s", 1)]
+    rows += [(None, None, None, None, None), (7, items[1][1], "en", "s", 1), (8, "clean", "en", "s", 1)]
+    kept = corpus_pipeline.decontamination_stage(spark, spark.createDataFrame(rows, COLUMNS), folder).collect()
+    assert {(r.doc_id, r.text) for r in kept} == {(None, "clean words"), (None, None), (8, "clean")}
+
+
+def test_substring_dedup_removes_whole_passages(spark, folder):
+    draw = random.Random(5)
+    say = lambda letters, n: " ".join(vocabulary(draw, letters, n))
+    passage = say("abcdefgh", 60)
+    rows = [(k, f"{say('stuvwx', 60)} {k} {passage} {k} {say('mnopq', 60)}", "en", "s", 1) for k in range(4)]
+    cut = corpus_pipeline.substring_dedup(spark, spark.createDataFrame(rows, COLUMNS), folder).collect()
+    for r in cut:
+        whole = dict((k, t) for k, t, *_ in rows)[r.doc_id]
+        want = whole if r.doc_id == 0 else whole.replace(passage, "")
+        assert r.text == want and r.n_chars == (1 if r.doc_id == 0 else len(want))
