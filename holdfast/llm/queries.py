@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from holdfast.llm import chunks, compression, decontamination, factorization, minhash, pieces
-from holdfast.llm import quality, sharding, tokens, urlrules
+from holdfast.llm import chunks, compression, conversations, decontamination, factorization, minhash
+from holdfast.llm import parity, pieces, quality, runs, sharding, tokens, urlrules
 from holdfast.llm.shipping import ship_package
 from holdfast.sources.staging import staging_path
 
@@ -149,3 +149,32 @@ def op10_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
         F.crc32(F.col("decoded").cast("binary")).alias("decoded_crc32"),
         F.col("decoded").eqNullSafe(F.col("text")).alias("round_trip"),
     )
+
+
+@query
+def op11_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    """Faults, least cost, edits and repaired text's hash of every damaged conversation."""
+    return conversations.repair_conversations(conversations.damaged(table(spark, folder, "conversations")))
+
+
+@query
+def op12_parity_join(spark: SparkSession, folder: str) -> DataFrame:
+    """Components of documents whose 5-word shingle sets are 80 % similar or more."""
+    return parity.similar_components(table(spark, folder, "documents").select("doc_id", "text"))
+
+
+@query
+def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's runs of periodic words, its strongest run, and its text without them."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = runs.collapse_runs(docs, plant=True).withColumn("best", runs.strongest_run())
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("1000 * best.length DIV best.period").alias("exponent_milli"),
+        "runs_sha256",
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
