@@ -136,8 +136,9 @@ def _signer(spec: ParitySpec):
                     batch.column(0)[row : row + len(sets)],
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([node_of(s) if len(s) else None for s in sets], pa.int64()),
+                    pa.array([bit_sketch(s).tobytes() for s in sets], pa.binary()),
                 ]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_shingles", "node"])
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_shingles", "node", "bits"])
 
     return sign
 
@@ -164,15 +165,13 @@ def _keyer(spec: ParitySpec):
 def _carrier(spec: ParitySpec):
     def carry(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in words.row_slices(batches):
-            for row, sets in _sets(batch, 1, spec):
+            for _, sets in _sets(batch, 0, spec):
+                sets = [s for s in sets if len(s)]
                 columns = [
-                    batch.column(0)[row : row + len(sets)],
-                    pa.array([node_of(s) if len(s) else None for s in sets], pa.int64()),
-                    pa.array([len(s) for s in sets], pa.int64()),
-                    pa.array([bit_sketch(s).tobytes() for s in sets], pa.binary()),
+                    pa.array([node_of(s) for s in sets], pa.int64()),
                     pa.array([s.tobytes() for s in sets], pa.binary()),
                 ]
-                yield pa.RecordBatch.from_arrays(columns, ["id", "found", "n", "bits", "held"])
+                yield pa.RecordBatch.from_arrays(columns, ["id", "held"])
 
     return carry
 
@@ -252,27 +251,32 @@ def similar_components(docs: DataFrame, spec: ParitySpec = ParitySpec()) -> Data
     Other columns are ignored. Sets are told apart by 64-bit hashes of their shingles.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    signed = stage(docs.mapInArrow(_signer(spec), "doc_id long, n_shingles long, node long"), "signed")
-    nodes = signed.where("node IS NOT NULL").groupBy("node")
-    nodes = nodes.agg(F.min("doc_id").alias("first"))
+    fields = "doc_id long, n_shingles long, node long, bits binary"
+    signed = stage(docs.mapInArrow(_signer(spec), fields), "signed")
+    own = signed.where("node IS NOT NULL")
+    nodes = own.groupBy("node").agg(F.min("doc_id").alias("first"))
 
-    # Sketches and sets of the nodes that share a key; of each its first document.
+    # Candidates by their sketches.
     groups = stage(joined_groups(docs.where("doc_id IS NOT NULL"), spec), "groups")
-    wanted = groups.select("id").distinct().join(nodes.withColumnRenamed("node", "id"), "id")
-    texts = docs.join(wanted.select("id", F.col("first").alias("doc_id")), "doc_id").select("id", "text")
-    held = texts.mapInArrow(_carrier(spec), "id long, found long, n long, bits binary, held binary")
-    held = stage(held.where("id = found").dropDuplicates(["id"]).drop("found"), "sets")
-
-    families = linked_components(groups, held.select("id", "n", "bits"), lambda t: near_bits(t, spec), spec.block)
+    sketches = own.select(F.col("node").alias("id"), F.col("n_shingles").alias("n"), "bits")
+    sketches = sketches.join(groups.select("id").distinct(), "id").dropDuplicates(["id"])
+    sketches = stage(sketches, "sketches")
+    families = linked_components(groups, sketches, lambda t: near_bits(t, spec), spec.block)
     families = stage(families, "families")
-    weighed = families.join(held.select(F.col("id").alias("node"), "n"), "node")
+
+    # Links by the full sets, read from each node's first document.
+    weighed = families.join(sketches.select(F.col("id").alias("node"), "n"), "node")
     sizes = weighed.groupBy("component").agg(
         F.greatest(F.count(F.lit(1)), F.ceil(F.sum("n") / spec.heavy)).alias("size")
     )
     members = families.join(sizes, "component").select(
         F.col("component").alias("group"), F.col("node").alias("id"), "size"
     )
-    linked = linked_components(members, held, lambda t: near_sets(t, spec), spec.block)
+    wanted = families.join(nodes, "node").select(F.col("first").alias("doc_id")).distinct()
+    # Written first, so that Spark knows its size before it would shuffle the texts.
+    held = docs.join(stage(wanted, "wanted"), "doc_id").select("text").mapInArrow(_carrier(spec), "id long, held binary")
+    held = held.groupBy("id").agg(F.first("held").alias("held")).join(sketches, "id")
+    linked = linked_components(members, stage(held, "sets"), lambda t: near_sets(t, spec), spec.block)
     linked = stage(linked, "linked")
 
     named = nodes.join(linked, "node", "left").withColumn("component", F.coalesce("component", "node"))
