@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from holdfast.functions.numeric import flag, keyed_digest, keyed_uniform, round_even, total
+from holdfast.operators.joins import checked_left_join
 from holdfast.operators.ledger import POST_TARGET
 from holdfast.operators.metrics import K_VALUES_LEDGER, evaluate_scores
 from holdfast.operators.policy import MODEL_V1_DECILE, MODEL_V1_SCORE, MODEL_V1_VERSION
@@ -214,16 +215,13 @@ def missing_features(table: DataFrame) -> Column:
 
 
 def join_ledger(features: DataFrame, ledger: DataFrame) -> DataFrame:
-    """Ledger rows with the features of their customer-month.
-
-    The features are reduced to the ledger's keys first; that semi join broadcasts the
-    keys while they are small and shuffles beyond that.
-    """
+    """Ledger rows with the features of their customer-month. Raises where the features
+    repeat a key of the ledger."""
     require_columns(features, [*KEYS, *FEATURES], "feature table")
     require_columns(ledger, LEDGER_PART, "ledger")
     part = ledger.select(*LEDGER_PART)
-    matched = features.select(*KEYS, *FEATURES).join(part.select(*KEYS), list(KEYS), "left_semi")
-    return part.join(matched, list(KEYS), "left").withColumn(
+    traits = features.select(*KEYS, *[c for c in FEATURES if c not in LEDGER_PART])
+    return checked_left_join(part, traits, KEYS, "feature table").withColumn(
         "assigned_treatment_flag", flag(F.col("assigned_group") == "treatment")
     )
 
@@ -286,7 +284,7 @@ def stratified_split(
 def build_learning_table(features: DataFrame, ledger: DataFrame, seed: int = SEED) -> DataFrame:
     """Ledger with features and learning split; fails where a ledger row has no features."""
     # Staged, for the checks and class sizes below read it before the result is used.
-    joined = stage(join_ledger(features, ledger), "joined")
+    joined = join_ledger(features, ledger)
     missing = null_audit(joined).first()["missing_feature_cells"]
     if missing:
         raise ValueError(f"the feature join left {missing} empty feature cells")

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta
+from datetime import date, datetime, time, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from holdfast.functions.numeric import clip, flag, ratio, round_even
 from holdfast.operators.policy import MODEL_V1_SCORE
-from holdfast.schema import CARRIED_INDEXES, CUSTOMER, KEYS, TARGET, require_columns
+from holdfast.schema import CARRIED_INDEXES, KEYS, MONTH, TARGET, require_columns
 
 POST_TARGET = "post_intervention_attrition_next_90d"
 
@@ -100,40 +100,67 @@ def is_treatment() -> Column:
     return F.col("assigned_group") == "treatment"
 
 
+def window_opening(start: datetime | None = None) -> Column:
+    """The day an intervention's window opens, counted from 1970: the first one after its
+    snapshot month, or that of ``start`` for all rows."""
+    if start is not None:
+        return F.lit((start.date() - date(1970, 1, 1)).days)
+    return F.unix_date(F.add_months(F.to_date(F.col(MONTH), "yyyy-MM"), 1))
+
+
 def observed_outcomes(
-    events: DataFrame, users: DataFrame, start: datetime | None = None, days: int = OUTCOME_DAYS
+    events: DataFrame, listed: DataFrame, start: datetime | None = None, days: int = OUTCOME_DAYS
 ) -> DataFrame:
-    """Outcome flags per customer from the events from ``start`` on and before ``days`` later.
+    """Outcome flags per listed row from the events in its own window of ``days`` days.
 
-    ``users`` maps customer_id to user_id; give the listed customers only, for events are
-    reduced to their users before anything is aggregated. ``start`` defaults to the first
-    event. Customers without an outcome event in the window have no row.
+    ``listed`` has customer_id, snapshot_month and user_id; a row's window opens when its
+    snapshot month ends, or at ``start`` for all rows. Events before that are no outcome of
+    the intervention. Rows without an outcome event in their window have no row here, nor
+    has one without a user or month; a row listed for several users has all their events.
+
+    Events are combined per user and day before they are shuffled, so a user with a third
+    of all events arrives as a few flags per day. Days meet windows on (user, stretch of
+    ``days`` days), of which a window touches two at most, and rows with the same user and
+    month share one window, so no user's events meet each of the user's rows.
     """
-    require_columns(users, [CUSTOMER, "user_id"], "users")
+    require_columns(listed, [*KEYS, "user_id"], "listed rows")
     require_columns(events, ["ts", "user_id", "event_type"], "events")
-    if start is None:
-        start = events.agg(F.min("ts")).first()[0]
-    window = F.lit(False)
-    if start is not None:
-        ends = [F.lit(str(t)).cast("timestamp_ntz") for t in (start, start + timedelta(days=days))]
-        window = (F.col("ts") >= ends[0]) & (F.col("ts") < ends[1])
-    kept = events.where(window & F.col("event_type").isin(list(OUTCOME_EVENTS)))
-    per_user = (
-        kept.join(users.select("user_id").distinct(), "user_id", "left_semi")
-        .groupBy("user_id")
-        .agg(*[F.max(flag(F.col("event_type") == k)).alias(c) for k, c in OUTCOME_EVENTS.items()])
+    if days < 1:
+        raise ValueError("an outcome window has one day or more")
+    opened = listed.select(*KEYS, "user_id", window_opening(start).alias("_opens"))
+    windows = opened.select("user_id", "_opens").distinct()
+    # Days begin at the time of day at which the windows open.
+    clock = timedelta() if start is None else start - datetime.combine(start.date(), time())
+    day = F.unix_date(F.to_date(F.col("ts") - F.lit(clock)))
+    kinds = {k: F.max(flag(F.col("event_type") == k)).alias(c) for k, c in OUTCOME_EVENTS.items()}
+    daily = (
+        events.where(F.col("event_type").isin(list(OUTCOME_EVENTS)))
+        .join(windows.select("user_id").distinct(), "user_id", "left_semi")
+        .groupBy("user_id", day.alias("_day"))
+        .agg(*kinds.values())
+        .withColumn("_stretch", F.floor(F.col("_day") / days))
+    )
+    first, last = F.floor(F.col("_opens") / days), F.floor((F.col("_opens") + days - 1) / days)
+    touched = windows.where("_opens IS NOT NULL").withColumn("_stretch", F.explode(F.sequence(first, last)))
+    inside = F.col("_day").between(F.col("_opens"), F.col("_opens") + days - 1)
+    seen = (
+        touched.join(daily, ["user_id", "_stretch"])
+        .where(inside)
+        .groupBy("user_id", "_opens")
+        .agg(*[F.max(c).alias(c) for c in OUTCOME_COLUMNS])
     )
-    return users.select(CUSTOMER, "user_id").join(per_user, "user_id").drop("user_id")
+    found = opened.join(seen, ["user_id", "_opens"])
+    return found.groupBy(*KEYS).agg(*[F.max(c).alias(c) for c in OUTCOME_COLUMNS])
 
 
 def attach_outcomes(listed: DataFrame, outcomes: DataFrame) -> DataFrame:
     """Add the observed outcome flags, 0 where nothing was observed.
 
-    ``outcomes`` has one row per customer with any observation in the outcome window.
+    ``outcomes`` has one row per listed row with any observation in its window.
     """
-    require_columns(outcomes, [CUSTOMER, *OUTCOME_COLUMNS], "outcomes")
-    prefixed = outcomes.select(CUSTOMER, *[F.col(c).alias(f"seen_{c}") for c in OUTCOME_COLUMNS])
-    return listed.join(prefixed, CUSTOMER, "left").withColumns(
+    require_columns(outcomes, [*KEYS, *OUTCOME_COLUMNS], "outcomes")
+    prefixed = outcomes.select(*KEYS, *[F.col(c).alias(f"seen_{c}") for c in OUTCOME_COLUMNS])
+    return listed.join(prefixed, list(KEYS), "left").withColumns(
         {f"seen_{c}": F.coalesce(F.col(f"seen_{c}"), F.lit(0)) for c in OUTCOME_COLUMNS}
     )
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from holdfast.functions.numeric import flag, keyed_digest
+from holdfast.operators.joins import checked_left_join
 from holdfast.operators.ranking import number_rows, top_rows
 from holdfast.schema import (
     CARRIED_INDEXES,
@@ -84,13 +85,8 @@ def policy_candidates(
 
 
 def join_candidates(scores: DataFrame, features: DataFrame) -> DataFrame:
-    """Every scored row with its features; the right side must be unique on the keys.
-
-    The features are reduced to the scored keys first, so that a short list meets few rows.
-    """
-    clashing = [c for c in features.columns if c in scores.columns and c not in KEYS]
-    wanted = features.drop(*clashing).join(scores.select(*KEYS), list(KEYS), "left_semi")
-    return scores.join(wanted, list(KEYS), "left")
+    """Every scored row with its features. Raises where the features repeat a scored key."""
+    return checked_left_join(scores, features, KEYS, "feature table")
 
 
 def select_top(frame: DataFrame, capacity: int) -> DataFrame:

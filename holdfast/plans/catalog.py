@@ -7,6 +7,7 @@ use the rules score, or the panel's attrition propensity, in the model's place.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import timedelta
 from functools import reduce
 
 from pyspark.ml import PipelineModel
@@ -36,6 +37,10 @@ PROPENSITY = "attrition_propensity"
 # One list place per this many customers.
 CUSTOMERS_PER_PLACE = 6
 
+# The events of the given tables are of January 2024, the orders end in 2001: their clock is
+# set back so that they begin 28 days before the windows of the latest list open.
+EVENT_CLOCK = timedelta(days=8308)
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
@@ -101,15 +106,21 @@ def candidates_of(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def users_of(spark: SparkSession, folder: str, customers: DataFrame) -> DataFrame:
-    """The user each customer maps to; nobody where there are no users."""
+    """``customers`` with the user each one maps to; nobody where there are no users."""
     events = read_fact(spark, folder, "events")
     users = (events.agg(F.max("user_id")).first()[0] or 0) + 1
-    return customers.select("customer_id", (F.col("customer_id") % users).alias("user_id"))
+    return customers.withColumn("user_id", F.col("customer_id") % users)
+
+
+def events_of(spark: SparkSession, folder: str) -> DataFrame:
+    """Events on the clock of the orders."""
+    events = read_fact(spark, folder, "events")
+    return events.withColumn("ts", F.col("ts") - F.lit(EVENT_CLOCK))
 
 
 def outcomes_of(spark: SparkSession, folder: str, listed: DataFrame) -> DataFrame:
-    users = users_of(spark, folder, listed)
-    return ledger.observed_outcomes(read_fact(spark, folder, "events"), users)
+    users = users_of(spark, folder, listed.select(*KEYS))
+    return ledger.observed_outcomes(events_of(spark, folder), users)
 
 
 def list_of(spark: SparkSession, folder: str) -> DataFrame:
@@ -434,6 +445,13 @@ def ledger_outcomes(spark, folder):
     return attached.select(*KEYS, *[f"seen_{c}" for c in ledger.OUTCOME_COLUMNS])
 
 
+@query("ledger_windows")
+def ledger_windows(spark, folder):
+    """Outcomes of every customer in the windows of all months, one intervention in each."""
+    every = panel_of(spark, folder).select(*KEYS)
+    return outcomes_of(spark, folder, every)
+
+
 @query("ledger_flags")
 def ledger_flags(spark, folder):
     return ledger_of(spark, folder).select(

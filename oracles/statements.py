@@ -13,6 +13,7 @@ from oracles.tables import (
     TARGET,
     bit,
     rnd,
+    seen_in,
     statement,
     whole,
 )
@@ -331,6 +332,8 @@ FROM candidates JOIN actions USING (recommended_action)"""),
   p_effect AS effect_probability FROM ledger"""),
     "ledger_outcomes": statement("ledger", f"""SELECT {KEYS}, seen_contact_success,
   seen_treatment_completed, seen_retained FROM ledger"""),
+    "ledger_windows": statement("panel", f"""SELECT {KEYS}, clicked AS contact_success,
+  bought AS treatment_completed, signed AS retained FROM seen""", [seen_in("propensity")]),
     "ledger_flags": statement("ledger", f"""SELECT {KEYS}, assigned_group, contact_attempted,
   contact_success, treatment_completed, prevented_attrition_flag, {POST} FROM ledger"""),
     "ledger_economics": statement("ledger", f"""SELECT {KEYS}, intervention_cost_index,

@@ -253,12 +253,23 @@ listed AS (
     20e-2 AS control_share
   FROM drawn)"""
 
-LEDGER = f"""
-users AS (SELECT max(user_id) + 1 AS n FROM events),
-seen AS (
-  SELECT user_id, max({bit("event_type = 'click'")}) AS clicked,
+
+
+def seen_in(rows: str) -> str:
+    """Outcomes of each row from its user's events in the 90 days after its month; the events'
+    clock is 8,308 days late."""
+    return f"""seen AS (
+  SELECT customer_id, snapshot_month, max({bit("event_type = 'click'")}) AS clicked,
     max({bit("event_type = 'purchase'")}) AS bought, max({bit("event_type = 'signup'")}) AS signed
-  FROM events WHERE ts < (SELECT min(ts) + INTERVAL 90 DAY FROM events) GROUP BY user_id),
+  FROM (SELECT customer_id, snapshot_month, customer_id % (SELECT max(user_id) + 1 FROM events) AS user_id,
+      CAST(snapshot_month || '-01' AS DATE) + INTERVAL 1 MONTH AS opens FROM {rows}) r
+  JOIN (SELECT user_id, event_type, ts - INTERVAL 8308 DAY AS ts FROM events) e USING (user_id)
+  WHERE event_type IN ('click', 'purchase', 'signup') AND ts >= opens AND ts < opens + INTERVAL 90 DAY
+  GROUP BY customer_id, snapshot_month)"""
+
+
+LEDGER = f"""
+{seen_in("listed")},
 actions(recommended_action, base_contact, base_completion, base_effect, base_cost, contact_channel)
 AS (VALUES
   ('digital_reactivation_nudge', 72e-2, 64e-2, 22e-2, 15e-1, 'in_app_message'),
@@ -272,7 +283,7 @@ observed AS (
     coalesce(clicked, 0) AS seen_contact_success, coalesce(bought, 0) AS seen_treatment_completed,
     coalesce(signed, 0) AS seen_retained, assigned_group = 'treatment' AS treated
   FROM listed l JOIN actions USING (recommended_action)
-  LEFT JOIN seen ON user_id = customer_id % (SELECT n FROM users)),
+  LEFT JOIN seen USING (customer_id, snapshot_month)),
 gated AS (
   SELECT *, {bit('treated')} AS contact_attempted,
     {bit('treated AND seen_contact_success = 1')} AS contact_success,

@@ -1,7 +1,11 @@
 from __future__ import annotations
 
+import random
+from datetime import datetime, timedelta
+
 import numpy as np
 import pytest
+from compare import plan_of
 from pyspark.sql import functions as F
 
 from holdfast.operators import ledger
@@ -22,8 +26,8 @@ def listed(spark, *changes):
 
 
 def outcomes(spark, *rows):
-    return spark.createDataFrame(
-        list(rows), "customer_id BIGINT, contact_success INT, treatment_completed INT, retained INT")
+    names = "customer_id BIGINT, contact_success INT, treatment_completed INT, retained INT"
+    return spark.createDataFrame(list(rows), names).withColumn("snapshot_month", F.lit("2024-06"))
 
 
 def test_gating_and_economics_of_each_kind_of_row(spark):
@@ -124,3 +128,83 @@ def test_summary_without_treatment_rows(spark):
 def test_missing_column_raises(spark):
     with pytest.raises(ValueError, match="reason_code_1"):
         ledger.build_ledger(listed(spark, {}).drop("reason_code_1"), outcomes(spark, (1, 1, 1, 1)))
+
+
+def happened(spark, *rows):
+    frame = spark.createDataFrame([(t, u, k) for t, u, k in rows], "ts string, user_id long, event_type string")
+    return frame.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
+def outcomes_by_row(events, rows, **options):
+    found = ledger.observed_outcomes(events, rows, **options).collect()
+    assert len({(r["customer_id"], r["snapshot_month"]) for r in found}) == len(found)
+    return {(r["customer_id"], r["snapshot_month"]): tuple(r[c] for c in ledger.OUTCOME_COLUMNS) for r in found}
+
+
+LISTED = "customer_id long, snapshot_month string, user_id long"
+
+
+def test_windows_open_when_the_row_s_month_ends(spark):
+    rows = spark.createDataFrame(
+        [(1, "2024-01", 7), (1, "2024-03", 7), (2, "2024-03", 7), (3, "2023-12", 8), (4, None, 7), (5, "2024-01", None)],
+        LISTED)
+    events = happened(
+        spark, ("2024-01-31 23:59:59.999999", 7, "click"), ("2024-02-01 00:00:00", 7, "signup"),
+        ("2024-04-01 00:00:00", 7, "purchase"), ("2024-04-30 23:59:59", 7, "click"),
+        ("2024-05-01 00:00:00", 7, "click"), ("2024-06-30 00:00:00", 7, "signup"),
+        ("2024-02-10 00:00:00", 8, "view"), ("2024-02-10 00:00:00", 9, "click"), (None, 7, "click"))
+    assert outcomes_by_row(events, rows) == {
+        # 90 days from 1 February on: up to 30 April.
+        (1, "2024-01"): (1, 1, 1),
+        # From 1 April on, up to 29 June: the signup of 1 February was before the intervention.
+        (1, "2024-03"): (1, 1, 0), (2, "2024-03"): (1, 1, 0),
+    }
+    assert outcomes_by_row(events, rows, days=60) == {
+        (1, "2024-01"): (0, 0, 1), (1, "2024-03"): (1, 1, 0), (2, "2024-03"): (1, 1, 0)}
+    assert outcomes_by_row(events, rows, days=1) == {
+        (1, "2024-01"): (0, 0, 1), (1, "2024-03"): (0, 1, 0), (2, "2024-03"): (0, 1, 0)}
+
+
+def test_a_given_start_opens_all_windows(spark):
+    rows = spark.createDataFrame([(1, "2024-01", 7), (2, "2024-03", 8)], LISTED)
+    events = happened(
+        spark, ("2024-05-02 11:59:59", 7, "click"), ("2024-05-02 12:00:00", 7, "purchase"),
+        ("2024-05-04 11:59:59", 8, "signup"), ("2024-05-04 12:00:00", 8, "click"))
+    start = datetime(2024, 5, 2, 12)
+    assert outcomes_by_row(events, rows, start=start, days=2) == {(1, "2024-01"): (0, 1, 0), (2, "2024-03"): (0, 0, 1)}
+
+
+def test_windows_equal_a_plain_range_join(spark):
+    draw = random.Random(3)
+    rows = [(c, f"2023-{draw.randrange(1, 13):02d}", draw.randrange(12)) for c in range(60)]
+    # User 0 has a third of all events.
+    events = [
+        (datetime(2023, 1, 1) + timedelta(seconds=draw.randrange(500 * 86400)), draw.choice((0, *range(12))) if k % 3 else 0,
+         draw.choice(("click", "purchase", "signup", "view")))
+        for k in range(900)
+    ]
+    for days in (7, 30, 90):
+        want = {}
+        for c, month, user in rows:
+            year, number = map(int, month.split("-"))
+            opens = datetime(year + number // 12, number % 12 + 1, 1)
+            seen = {k for t, u, k in events if u == user and opens <= t < opens + timedelta(days=days)} - {"view"}
+            if seen:
+                want[c, month] = tuple(int(k in seen) for k in ledger.OUTCOME_EVENTS)
+        frame = happened(spark, *[(str(t), u, k) for t, u, k in events])
+        assert outcomes_by_row(frame, spark.createDataFrame(rows, LISTED), days=days) == want
+
+
+def test_a_hot_user_s_events_are_combined_before_the_shuffle(spark):
+    rows = spark.createDataFrame([(1, "2024-01", 7)], LISTED)
+    plan = plan_of(ledger.observed_outcomes(happened(spark, ("2024-02-01", 7, "click")), rows))
+    daily = plan[: plan.index("_day")]
+    assert "partial_max" in plan and "Exchange" in daily
+    assert "BroadcastNestedLoopJoin" not in plan and "CartesianProduct" not in plan
+
+
+def test_empty_inputs_have_no_outcomes(spark):
+    rows = spark.createDataFrame([], LISTED)
+    assert outcomes_by_row(happened(spark), rows) == {} == outcomes_by_row(happened(spark, ("2024-02-01", 7, "click")), rows)
+    with pytest.raises(ValueError, match="one day"):
+        ledger.observed_outcomes(happened(spark), rows, days=0)
