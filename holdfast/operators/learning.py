@@ -16,9 +16,10 @@ from pyspark.sql import functions as F
 from holdfast.functions.numeric import flag, keyed_digest, keyed_uniform, round_even, total
 from holdfast.operators.joins import checked_left_join
 from holdfast.operators.ledger import POST_TARGET
-from holdfast.operators.metrics import K_VALUES_LEDGER, evaluate_scores
+from holdfast.operators.metrics import K_VALUES_LEDGER, decile_and_measure, evaluate_scores
 from holdfast.operators.policy import MODEL_V1_DECILE, MODEL_V1_SCORE, MODEL_V1_VERSION
 from holdfast.operators.ranking import assign_deciles, number_rows
+from holdfast.operators.scorestate import ScoreState
 from holdfast.schema import (
     CARRIED_INDEXES,
     CATEGORICAL_FEATURES,
@@ -95,6 +96,7 @@ class ModelResult:
     score_column: str
     model_version: str
     learning_table: DataFrame | None = None
+    state: ScoreState | None = None
 
 
 def split_presence(features: DataFrame, split_column: str = SPLIT) -> DataFrame:
@@ -202,11 +204,13 @@ def evaluate_model_v1(scored: DataFrame, **options) -> DataFrame:
 def run_model_v1(features: DataFrame, spec: BoostingSpec = V1_BOOSTING) -> ModelResult:
     """Train, score with deciles, evaluate. ``features`` is read several times: pass a table."""
     model = train_model_v1(features, spec)
-    # Staged, so that the passes behind the deciles do not evaluate the trees again.
+    # Staged, so that the two passes behind state and ties do not evaluate the trees again.
     scores = stage(score_model_v1(model, features), "v1-scores")
-    scored = assign_deciles(scores, MODEL_V1_SCORE, MODEL_V1_DECILE)
+    scored, metrics, state = decile_and_measure(
+        scores, MODEL_V1_SCORE, MODEL_V1_DECILE, MODEL_V1_VERSION
+    )
     return ModelResult(
-        model, scored, evaluate_model_v1(scored), MODEL_V1_SCORE, MODEL_V1_VERSION
+        model, scored, metrics, MODEL_V1_SCORE, MODEL_V1_VERSION, state=state
     )
 
 

@@ -1,11 +1,10 @@
 """Exact ranks over whole tables without moving a table into one task.
 
-A position in a total order is found by narrowing. Rows are counted per thousandth of
-the score, then, inside the few thousandths that hold a wanted position, per millionth;
-both counts combine before their shuffle and have a size fixed by the score's range.
-Only where a position falls inside a group of equal millionths are that group's rows
-ordered further, by a range sort whose partitions split ties on the full key. The
-result is a handful of row keys, and every row is then compared with those.
+A position in a total order is found by narrowing on a score state: the thousandth of the
+score that holds it, then the millionth. Only where a position falls inside a group of equal
+millionths are that group's rows ordered further, by a range sort whose partitions split ties
+on the full key. The result is a handful of row keys, and every row is then compared with
+those.
 """
 
 from __future__ import annotations
@@ -16,18 +15,14 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from holdfast.functions.numeric import clip, flag, total
+from holdfast.functions.numeric import flag, total
+from holdfast.operators.scorestate import ScoreState, millionths
 from holdfast.schema import KEYS, require_columns
 from holdfast.sources.staging import stage
 
 DECILES = 10
 
 
-def millionths(score: Column) -> Column:
-    """Score in whole millionths; values outside -1 to 1 join the outermost group."""
-    return F.rint(clip(score, -1.0, 1.0) * 1e6).cast("long")
-
-
 @dataclass(frozen=True)
 class Cut:
     """The row at ``rank``: its score group and, if the group had to be split, its key."""
@@ -67,11 +62,6 @@ def number_rows(df: DataFrame, order: Sequence[Column], name: str) -> DataFrame:
     )
 
 
-def _counts(df: DataFrame, key: Column) -> list[tuple[int, int]]:
-    rows = df.groupBy(key.alias("k")).agg(F.count(F.lit(1)).alias("n")).collect()
-    return sorted((r["k"], r["n"]) for r in rows)
-
-
 def _holders(
     counts: list[tuple[int, int]], ranks: list[int]
 ) -> dict[int, tuple[int, int, int]]:
@@ -84,36 +74,53 @@ def _holders(
     return found
 
 
-def find_cuts(
-    df: DataFrame,
-    lead: Column,
-    tail: Sequence[Column],
-    ranks: Callable[[int], list[int]],
-) -> list[Cut]:
-    """Rows at the given ranks of ``df`` ordered ascending by ``lead``, then ``tail``.
+def _wanted(state: ScoreState, ranks: Callable[[int], list[int]]) -> list[int]:
+    rows = sum(n for _, n in state.coarse())
+    return sorted(r for r in ranks(rows) if 1 <= r <= rows)
 
-    ``lead`` is a score between -1 and 1, ``tail`` makes the order total, and ``ranks``
-    maps the row count to the wanted ranks. Rows without a score have no rank. At most
-    2,001 counts of the first pass and 1,000 per wanted rank of the second reach the driver.
-    """
-    df = df.where(lead.isNotNull())
-    group = millionths(lead)
-    bucket = F.floor(group / F.lit(1000.0))
-    coarse = _counts(df, bucket)
-    rows = sum(n for _, n in coarse)
-    wanted = sorted(r for r in ranks(rows) if 1 <= r <= rows)
+
+def locate(
+    state: ScoreState, ranks: Callable[[int], list[int]]
+) -> dict[int, tuple[int, int, int]]:
+    """Per wanted rank, ascending, the millionth that holds it, the rows before that group
+    and up to its end."""
+    coarse = state.coarse()
+    wanted = _wanted(state, ranks)
     if not wanted:
-        return []
+        return {}
     buckets = _holders(coarse, wanted)
     chosen = {key: before for key, before, _ in buckets.values()}
-    fine = _counts(df.where(bucket.isin(list(chosen))), group)
+    fine = state.fine(chosen)
     holders = {}
     for key, before in chosen.items():
         inside = [(g, n) for g, n in fine if g // 1000 == key]
         ours = [r - before for r in wanted if buckets[r][0] == key]
         for rank, (g, low, high) in _holders(inside, ours).items():
             holders[rank + before] = (g, low + before, high + before)
+    return dict(sorted(holders.items()))
+
+
+def split_groups(holders: dict[int, tuple[int, int, int]]) -> set[int]:
+    """The millionths inside which a rank falls, so that their rows must be ordered."""
+    return {g for r, (g, _, high) in holders.items() if r != high}
+
+
+def find_cuts(
+    df: DataFrame,
+    lead: Column,
+    tail: Sequence[Column],
+    ranks: Callable[[int], list[int]],
+    state: ScoreState | None = None,
+) -> list[Cut]:
+    """Rows at the given ranks of ``df`` ordered ascending by ``lead``, then ``tail``.
 
+    ``lead`` is a score between -1 and 1, ``tail`` makes the order total, and ``ranks``
+    maps the row count to the wanted ranks. Rows without a score have no rank. ``state`` is
+    that of ``df`` by ``lead``, made here where it is not given. At most 2,001 counts and
+    1,000 per wanted rank reach the driver.
+    """
+    state = ScoreState(df, lead) if state is None else state
+    holders = locate(state, ranks)
     cuts = {r: Cut(r, g, None) for r, (g, _, high) in holders.items() if r == high}
     tied = sorted({h for r, h in holders.items() if r not in cuts})
     if tied:
@@ -122,7 +129,7 @@ def find_cuts(
             shift[g] = low - seen
             seen += high - low
         names = [f"k{i}" for i in range(len(tail) + 1)]
-        ties = df.where(group.isin(list(shift))).select(
+        ties = state.rows_of(shift).select(
             *[key.alias(name) for key, name in zip([lead, *tail], names)]
         )
         numbered = number_rows(ties, [F.col(c) for c in names], "at")
@@ -130,7 +137,8 @@ def find_cuts(
         for hit in numbered.where(F.col("at").isin(list(places))).collect():
             rank = places[hit["at"]]
             cuts[rank] = Cut(rank, holders[rank][0], tuple(hit[name] for name in names))
-    return [cuts[rank] for rank in wanted]
+    # A short table holds several ranks in one row.
+    return [cuts[rank] for rank in _wanted(state, ranks)]
 
 
 def decile_ranks(rows: int) -> list[int]:
@@ -144,16 +152,18 @@ def assign_deciles(
     name: str,
     keys: Sequence[str] = KEYS,
     fit_on: Column | None = None,
+    state: ScoreState | None = None,
 ) -> DataFrame:
     """Add the risk decile, 10 the riskiest; equal scores are ordered by ``keys``.
 
     The cut rows are found first, so the table itself only gains an expression. ``fit_on``
-    restricts the rows they come from. A null score has a null decile.
+    restricts the rows they come from; ``state`` is the score state of those rows, if there
+    is one already. A null score has a null decile.
     """
     require_columns(df, [score, *keys], "scored table")
     lead, tail = F.col(score), [F.col(k) for k in keys]
     source = df if fit_on is None else df.where(fit_on)
-    cuts = find_cuts(source, lead, tail, decile_ranks)
+    cuts = find_cuts(source, lead, tail, decile_ranks, state)
     decile = total([F.lit(1)] + [flag(c.passed(lead, tail)) for c in cuts])
     return df.withColumn(name, F.when(lead.isNotNull(), decile))
 

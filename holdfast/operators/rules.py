@@ -8,8 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from holdfast.functions.numeric import clip, round_even, total
-from holdfast.operators.metrics import evaluate_scores
+from holdfast.operators.metrics import decile_and_measure, evaluate_scores
 from holdfast.operators.ranking import assign_deciles
+from holdfast.operators.scorestate import ScoreState
 from holdfast.schema import CARRIED_INDEXES, KEYS, SPLIT, TARGET, require_columns
 from holdfast.sources.staging import stage
 
@@ -39,6 +40,7 @@ RULES_COLUMNS = tuple(dict.fromkeys((*KEYS, SPLIT, TARGET, *CARRIED_INDEXES, *RU
 class RulesResult:
     scored_table: DataFrame
     metrics: DataFrame
+    state: ScoreState
     score_column: str = RULES_SCORE
     model_version: str = RULES_VERSION
 
@@ -95,5 +97,7 @@ def evaluate_rules(scored: DataFrame, **options) -> DataFrame:
 
 
 def run_rules(features: DataFrame) -> RulesResult:
-    scored = score_with_rules(features)
-    return RulesResult(scored, evaluate_rules(scored))
+    """Scores, deciles and metrics from two passes over the staged scores."""
+    scores = stage(score_rules(features), "rules-scores")
+    scored, metrics, state = decile_and_measure(scores, RULES_SCORE, RULES_DECILE, RULES_VERSION)
+    return RulesResult(scored, metrics, state)

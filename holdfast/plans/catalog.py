@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from holdfast.functions.numeric import round_even
 from holdfast.operators import audit, features, learning, ledger, metrics, panel, policy
-from holdfast.operators import ranking, reports, rules
+from holdfast.operators import ranking, reports, rules, scorestate
 from holdfast.schema import (
     DERIVED_COLUMNS,
     FEATURE_TABLE_SCHEMA,
@@ -717,6 +717,21 @@ def report_action_mix(spark, folder):
     return reports.action_mix(list_of(spark, folder))
 
 
+@query("score_state")
+def score_state(spark, folder):
+    """The rules score's state, added up from those of single years."""
+    scored = stage(rules.score_rules(staged_rule_inputs(spark, folder)), "scored")
+    years = sorted({m[:4] for m in SPEC.snapshot_months()})
+    parts = [
+        scorestate.count_scores(
+            scored.where(F.col(MONTH).startswith(year)),
+            F.col(rules.RULES_SCORE), F.col(SPLIT), F.col(TARGET),
+        )
+        for year in years
+    ]
+    return scorestate.merge_counts(parts)
+
+
 @query("report_outcome_rates")
 def report_outcome_rates(spark, folder):
     return rounded(reports.outcome_rates(ledger_of(spark, folder)))

@@ -409,6 +409,10 @@ FROM listed GROUP BY recommended_action"""),
         outcome_rate("Contact Success", "contact_success"),
         outcome_rate("Treatment Completed", "treatment_completed"),
         outcome_rate("Prevented Attrition Flag", "prevented_attrition_flag")])),
+    "score_state": statement("scored", f"""SELECT data_split AS split,
+  CAST(round_even(rules_risk_score * 1e6, 0) AS BIGINT) AS millionth, count(*) AS n,
+  CAST(sum({TARGET}) AS BIGINT) AS hits, min(rules_risk_score) AS low, max(rules_risk_score) AS high
+FROM scored GROUP BY 1, 2"""),
     "report_score_histogram": statement("scored", f"""SELECT CAST(g.bin AS INTEGER) AS bin,
   {rnd('low + g.bin * ((high - low) / 30e0)', 6)} AS lower_edge,
   {rnd('low + (g.bin + 1) * ((high - low) / 30e0)', 6)} AS upper_edge, coalesce(n, 0) AS rows

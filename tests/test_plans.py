@@ -7,7 +7,7 @@ import re
 import pytest
 from compare import plan_of
 
-from holdfast.operators import metrics, policy, ranking, rules
+from holdfast.operators import joins, policy, ranking, rules, scorestate
 from holdfast.plans import catalog
 from holdfast.schema import KEYS
 from pyspark.sql import functions as F
@@ -54,10 +54,13 @@ def test_large_list_is_a_filter(rule_inputs):
     assert "Exchange" not in plan_of(top) and top.count() == 500
 
 
-def test_features_meet_only_the_listed_rows(spark, data, rule_inputs):
+def test_features_meet_only_the_listed_rows(spark, data, rule_inputs, monkeypatch):
+    # The join is written where it is checked, so its plan is seen there.
+    plans, stage = [], joins.stage
+    monkeypatch.setattr(joins, "stage", lambda df, label: plans.append(plan_of(df)) or stage(df, label))
     scored = rule_inputs.withColumns({policy.MODEL_V1_SCORE: F.lit(0.5), policy.MODEL_V1_DECILE: F.lit(1)})
     listed = policy.create_intervention_list(scored, rule_inputs, 25).intervention_list
-    plan = plan_of(listed)
+    (plan,) = plans
     assert "LeftSemi" in plan and listed.count() == 25
 
 
@@ -72,7 +75,6 @@ def test_month_and_columns_reach_the_scan(rule_inputs):
 
 def test_histogram_is_combined_before_its_shuffle(rule_inputs):
     scored = rules.score_rules(rule_inputs)
-    plan = plan_of(metrics._curve(
-        scored.selectExpr("data_split AS split", "rules_risk_score AS score",
-                          "voluntary_attrition_next_90d AS target")))
-    assert plan.count("partial_count") == 1
+    lead, split, target = (F.col(c) for c in (rules.RULES_SCORE, "data_split", "voluntary_attrition_next_90d"))
+    plan = plan_of(scorestate.count_scores(scored, lead, split, target))
+    assert plan.count("partial_count") == 1 and plan.count("Exchange") == 1
