@@ -1,17 +1,18 @@
-"""Repeated passages: seeds that every shared passage has, extended to its true ends.
-
-Of every 48 neighbouring 48-byte grams of a text the one with the smallest rolling hash is a
-seed (winnowing), so two texts that share 95 bytes share a seed, whatever lies around them,
-and neighbouring seeds of a text touch. A seed found in a document with a smaller doc_id is a
-repeat; the outer seeds of a run of repeats are compared byte by byte with their holder's
-text and extended as far as both agree. What is then ``run_words`` words or more is removed,
-so short shared phrases stay.
+"""Repeated passages: content-defined chunks found by digest, extended to their true ends.
+
+A text is cut where its rolling gear hash is the smallest of its surroundings, so the cuts
+inside a passage are the same in every text that holds it, whatever was inserted before it.
+Chunks are deduplicated by digest: one that a document with a smaller id has, too, is a
+repeat, aligned with its place in the first such document. Neighbouring repeats on one
+alignment are a run; beyond its ends both texts are compared byte by byte, as far as they agree.
+What is then ``run_words`` words or more is removed, so short shared phrases stay.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -24,32 +25,32 @@ from holdfast.sources.staging import stage
 
 @dataclass(frozen=True)
 class ChunkSpec:
-    """Seeds are grams of ``gram`` bytes, one of each ``window`` neighbouring ones: a shared
-    passage of ``gram + window - 1`` = 95 bytes has one, so any of more than 50 words. Outer
-    seeds are extended by up to ``context`` bytes; all before the first seed of a passage is
-    less than ``window`` bytes, more is needed only where other documents hold its first seeds.
-
-    ``reach`` and ``most`` are those of ``chunk_ends``, which passages no longer depend on: a
-    cut falls where the rolling hash is the smallest within ``reach`` bytes on both sides, and
-    wherever a chunk would pass ``most`` bytes."""
-
-    reach: int = 24
+    """A cut falls where the rolling hash, which depends on the last 16 bytes, is the smallest
+    within ``reach`` bytes on both sides, and wherever a chunk would pass ``most`` bytes; so
+    chunks have about 2 ``reach`` bytes. A shared passage has a common chunk where two cuts
+    fall between its first ``reach`` + 16 and its last ``reach`` bytes: of passages of 51 words
+    all but about one in a hundred where words are as short as three letters, and practically
+    all where they are longer. ``slice`` bytes beyond a run are compared at first, four times
+    as many in each further round, for as long as any texts agree."""
+
+    reach: int = 16
     most: int = 128
-    run_words: int = 14
-    gram: int = 48
-    window: int = 48
-    context: int = 256
+    run_words: int = 51
+    slice: int = 96
 
 
-GEAR = words.constants(256, 31).astype(np.uint32)
+MEMORY = 16
+# The last entry stands for the space between two texts.
+GEAR = np.append(words.constants(256, 31), np.uint64(0)).astype(np.uint16)
+_GAP = 256
 
 
-def rolled(data: np.ndarray) -> np.ndarray:
+def rolled(codes: np.ndarray) -> np.ndarray:
     """Gear hash at each byte: h = 2 h + GEAR[byte], so bit k depends on the last k + 1 bytes."""
-    total = GEAR[data]
+    total = GEAR[codes]
     step = 1
-    while step < 32:
-        total[step:] = total[step:] + (total[:-step] << np.uint32(step))
+    while step < MEMORY:
+        total[step:] = total[step:] + (total[:-step] << np.uint16(step))
         step *= 2
     return total
 
@@ -65,214 +66,293 @@ def _smallest_ahead(values: np.ndarray, size: int) -> np.ndarray:
     return np.minimum(least[:n], least[size - step : size - step + n])
 
 
-def chunk_ends(data: np.ndarray, spec: ChunkSpec) -> np.ndarray:
-    """Ends of the chunks of one text, the last one at its end."""
-    n = len(data)
-    if not n:
-        return np.zeros(0, np.int64)
-    own = rolled(data)
+def chunk_bounds(data: np.ndarray, offsets: np.ndarray, spec: ChunkSpec) -> tuple[np.ndarray, np.ndarray]:
+    """(starts, ends) of the chunks of all texts of a piece; none crosses two texts."""
+    sizes = np.diff(offsets)
+    gap = max(MEMORY, spec.reach)
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    codes = np.full(len(data) + gap * (len(sizes) + 1), _GAP, np.int16)
+    place = np.arange(len(data)) + gap * (owner + 1)
+    codes[place] = data
+    own = rolled(codes).astype(np.uint32)
+    none = np.uint32(np.iinfo(np.uint32).max)
+    own[codes == _GAP] = none
     # Of equal values the leftmost is the smallest, so that a plateau makes one cut.
-    after = np.append(_smallest_ahead(own, spec.reach)[1:], np.iinfo(own.dtype).max).astype(own.dtype)
-    before = np.append(_smallest_ahead(own[::-1], spec.reach)[1:], np.iinfo(own.dtype).max)[::-1]
-    ends = np.flatnonzero((own < before) & (own <= after)) + 1
-    ends = np.union1d(ends, [n])
-    starts = np.concatenate([[0], ends[:-1]])
+    after = np.append(_smallest_ahead(own, spec.reach)[1:], none)
+    before = np.append(_smallest_ahead(own[::-1], spec.reach)[1:], none)[::-1]
+    cut = ((own < before) & (own <= after))[place]
+    ends = np.union1d(np.flatnonzero(cut) + 1, offsets[1:][sizes > 0]).astype(np.int64)
+    starts = np.concatenate([[0], ends[:-1]]).astype(np.int64) if len(ends) else ends
     long = np.flatnonzero(ends - starts > spec.most)
     if len(long):
         more = [np.arange(a + spec.most, b, spec.most) for a, b in zip(starts[long], ends[long])]
         ends = np.sort(np.concatenate([ends, *more]))
-    return ends.astype(np.int64)
-
+        starts = np.concatenate([[0], ends[:-1]])
+    return starts, ends
 
-def seed_starts(data: np.ndarray, spec: ChunkSpec) -> np.ndarray:
-    """Starts of the seeds of one text; a text shorter than a gram is its one seed."""
-    if not len(data):
-        return np.zeros(0, np.int64)
-    own = rolled(data)[min(spec.gram, len(data)) - 1 :]
-    ranked = own.astype(np.uint64) << np.uint64(32) | np.arange(len(own), dtype=np.uint64)
-    size = min(spec.window, len(own))
-    least = _smallest_ahead(ranked, size)[: len(own) - size + 1]
-    at = np.unique(least & np.uint64(0xFFFFFFFF)).astype(np.int64)
-    # Periodic text has a smallest gram at every period: one of each half gram is enough.
-    new = np.ones(len(at), bool)
-    new[1:] = (own[at[1:]] != own[at[:-1]]) | (np.diff(at) >= spec.gram)
-    begin = at[np.maximum.accumulate(np.where(new, np.arange(len(at)), 0))]
-    half = (at - begin) // (spec.gram // 2)
-    new[1:] |= half[1:] != half[:-1]
-    return at[new]
 
+def _digests(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    return words.span_digests(data, starts, ends)[0].view(np.int64)
 
-def _digests(data: np.ndarray, starts: np.ndarray, spec: ChunkSpec) -> np.ndarray:
-    return words.span_digests(data, starts, np.minimum(starts + spec.gram, len(data)))[0].view(np.int64)
 
-
-def _seeder(spec: ChunkSpec):
-    def seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _chunker(spec: ChunkSpec):
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row, data, offsets in words.text_pieces(batch.column(1)):
                 ids = batch.column(0)[row : row + len(offsets) - 1].cast(pa.int64())
-                own = [seed_starts(data[a:b], spec) for a, b in zip(offsets, offsets[1:])]
-                owner = np.repeat(np.arange(len(own)), [len(o) for o in own])
-                local = np.concatenate(own)
-                starts = local + offsets[:-1][owner]
-                stops = np.minimum(starts + spec.gram, offsets[1:][owner])
-                digests = words.span_digests(data, starts, stops)[0].view(np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [ids.take(pa.array(owner)), pa.array(local.astype(np.int32)), pa.array(digests)],
-                    ["doc_id", "start", "digest"],
-                )
-
-    return seeds
-
-
-def seed_table(docs: DataFrame, spec: ChunkSpec = ChunkSpec()) -> DataFrame:
-    """(doc_id, start, digest): the seeds of every text, with a 64-bit digest of the gram."""
+                starts, ends = chunk_bounds(data, offsets, spec)
+                # Only the first and last chunk of a text are as short: too common to tell anything.
+                telling = ends - starts >= spec.reach
+                starts, ends = starts[telling], ends[telling]
+                owner = np.searchsorted(offsets, starts, "right") - 1
+                local = starts - offsets[:-1][owner]
+                columns = [
+                    ids.take(pa.array(owner)),
+                    pa.array(local.astype(np.int32)),
+                    pa.array((ends - starts).astype(np.int32)),
+                    pa.array(_digests(data, starts, ends)),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "start", "size", "digest"])
+
+    return cut
+
+
+def chunk_table(docs: DataFrame, spec: ChunkSpec = ChunkSpec()) -> DataFrame:
+    """(doc_id, start, size, digest): the chunks of every text, with 64-bit digests."""
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
-        _seeder(spec), "doc_id long, start int, digest long"
+        _chunker(spec), "doc_id long, start int, size int, digest long"
     )
 
 
-def repeated_seeds(docs: DataFrame, spec: ChunkSpec = ChunkSpec()) -> DataFrame:
-    """(doc_id, start, digest, first_doc_id): seeds also found in a document with a smaller id."""
-    seeds = seed_table(docs.where("doc_id IS NOT NULL"), spec)
-    ends = seeds.groupBy("digest").agg(F.min("doc_id").alias("first_doc_id"), F.max("doc_id").alias("last_doc_id"))
-    shared = ends.where("first_doc_id < last_doc_id").drop("last_doc_id")
-    repeats = seeds.join(shared, "digest").where("doc_id > first_doc_id")
-    return repeats.select("doc_id", "start", "digest", "first_doc_id")
+# A broadcast part of a join has at most this many rows, whatever the tables' sizes.
+HOT_ROWS = 4096
 
 
-def _edge_finder(spec: ChunkSpec):
-    """(doc_id, start, digest, first_doc_id, side): seeds without a neighbour of their holder."""
+def spread_join(rows: DataFrame, table: DataFrame, keys: list[str], total: int) -> DataFrame:
+    """``rows`` with their match in ``table``, one row per key, whose column ``n`` says how
+    many of ``rows`` a key has; together no more than ``total``. Keys with over
+    total / HOT_ROWS rows, of which there are fewer than HOT_ROWS, do not shuffle."""
+    limit = max(1024, total // HOT_ROWS)
+    hot = stage(table.where(F.col("n") > limit), "hot")
+    rest = rows.join(F.broadcast(hot.select(*keys)), keys, "left_anti")
+    rest = rest.join(table.where(F.col("n") <= limit).drop("n"), keys)
+    return rest.unionByName(rows.join(F.broadcast(hot.drop("n")), keys).select(*rest.columns))
 
-    def edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in words.row_slices(batches):
-            out: list[tuple] = []
-            for doc, marks in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                marks = sorted((m["first_doc_id"], m["start"], m["digest"]) for m in marks)
-                for side, order in ((0, marks), (1, marks[::-1])):
-                    last = None
-                    for source, start, digest in order:
-                        if last is None or last[0] != source or abs(start - last[1]) > spec.gram:
-                            out.append((doc, start, digest, source, side))
-                        last = source, start
-            kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32())
-            columns = list(zip(*out)) or [()] * len(kinds)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(columns, kinds)],
-                ["doc_id", "start", "digest", "first_doc_id", "side"],
-            )
 
-    return edges
+def repeated_chunks(docs: DataFrame, spec: ChunkSpec = ChunkSpec()) -> DataFrame:
+    """(doc_id, start, size, digest, first_doc_id, first_start): chunks that a document with a
+    smaller id has, with the first place of the first such document."""
+    chunks = stage(chunk_table(docs.where("doc_id IS NOT NULL"), spec), "chunks")
+    place = F.struct(F.col("doc_id").alias("first_doc_id"), F.col("start").alias("first_start"))
+    found = chunks.groupBy("digest").agg(
+        F.min(place).alias("first"), F.max("doc_id").alias("last"), F.count(F.lit(1)).alias("n")
+    )
+    shared = stage(found.where("first.first_doc_id < last").select("digest", "first.*", "n"), "shared")
+    total = shared.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    return spread_join(chunks, shared, ["digest"], total).where("doc_id > first_doc_id")
+
+
+def _runs(marks: list[dict]) -> Iterator[tuple[int, int, int, int]]:
+    """(start, end, first_doc_id, shift) of neighbouring marks on one alignment."""
+    run = None
+    for source, shift, start, size in sorted(
+        (m["first_doc_id"], m["start"] - m["first_start"], m["start"], m["size"]) for m in marks
+    ):
+        if run and run[2:] == (source, shift) and run[1] == start:
+            run = run[0], start + size, source, shift
+        else:
+            if run:
+                yield run
+            run = start, start + size, source, shift
+    if run:
+        yield run
+
+
+BEFORE, AFTER = 0, 1
+EDGES = "doc_id long, at int, side int, first_doc_id long, first_at int, agreed int"
+
 
+def _edge_finder(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Both ends of each run, with their places in the first document."""
+    names = [f.split()[0] for f in EDGES.split(", ")]
+    kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int32())
+    for batch in words.row_slices(batches):
+        out: list[tuple] = []
+        for doc, marks in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for start, end, source, shift in _runs(marks):
+                out.append((doc, start, BEFORE, source, start - shift, 0))
+                out.append((doc, end, AFTER, source, end - shift, 0))
+        columns = list(zip(*out)) or [()] * len(kinds)
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
 
-def _context_reader(spec: ChunkSpec):
-    """(digest, side, context): the holder's gram with the bytes before (0) or after it (1)."""
 
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _slicer(size: int):
+    """(doc_id, at, side, bytes): up to ``size`` bytes before or after places of a text, the
+    nearest first."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in words.row_slices(batches):
-            found: set[tuple[int, int, bytes]] = set()
-            texts = batch.column(0).cast(pa.binary()).to_pylist()
-            for text, wanted in zip(texts, batch.column(1).to_pylist()):
-                data = np.frombuffer(text or b"", np.uint8)
-                starts = seed_starts(data, spec)
-                places: dict[int, list[int]] = {}
-                for digest, at in zip(_digests(data, starts, spec).tolist(), starts.tolist()):
-                    places.setdefault(digest, []).append(at)
-                for w in wanted:
-                    for at in places.get(w["digest"], ()):
-                        a = max(0, at - spec.context) if w["side"] == 0 else at
-                        b = at + spec.gram + (spec.context if w["side"] == 1 else 0)
-                        found.add((w["digest"], w["side"], text[a:b]))
-            columns = list(zip(*found)) or [()] * 3
-            kinds = (pa.int64(), pa.int32(), pa.binary())
+            texts = batch.column(1).cast(pa.binary()).to_pylist()
+            out = [
+                (doc, p["at"], p["side"], text[max(p["at"] - size, 0) : p["at"]][::-1] if p["side"] == BEFORE
+                 else text[p["at"] : p["at"] + size])
+                for doc, text, places in zip(batch.column(0).to_pylist(), texts, batch.column(2).to_pylist())
+                for p in places
+            ]
+            columns = list(zip(*out)) or [()] * 4
+            kinds = (pa.int64(), pa.int32(), pa.int32(), pa.binary())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(columns, kinds)], ["digest", "side", "context"]
+                [pa.array(c, k) for c, k in zip(columns, kinds)], ["doc_id", "at", "side", "bytes"]
             )
 
-    return read
+    return cut
 
 
 _BLANKS = b" \t\n\v\f\r"
-# A longer word is cut inside.
-_LONGEST_WORD = 64
-
-
-def _agreement(own: bytes, other: bytes) -> int:
-    """How many bytes both begin with, without a last word that ends in one of them only."""
-    n = min(len(own), len(other))
-    differ = np.flatnonzero(np.frombuffer(own, np.uint8, n) != np.frombuffer(other, np.uint8, n)) if n else []
-    m = int(differ[0]) if len(differ) else n
-    if 0 < m < len(other) and other[m] not in _BLANKS:
-        blank = next((k for k in range(m - 1, max(-1, m - 1 - _LONGEST_WORD), -1) if own[k] in _BLANKS), m)
-        m = blank
-    return m
-
-
-def _own(text: bytes | None, marks: list[dict], contexts: list[dict], spec: ChunkSpec) -> list[tuple[int, int, int]]:
-    """(start, length, source) of the marks whose gram this text has, extended by the contexts:
-    a row of the same doc_id may hold another text."""
-    size = min(spec.gram, len(text or b""))
-    marks = [m for m in marks if size and m["start"] + size <= len(text)]
-    if not marks:
-        return []
-    starts = np.array([m["start"] for m in marks])
-    known = _digests(np.frombuffer(text, np.uint8), starts, spec).tolist()
-    marks = [m for m, d in zip(marks, known) if d == m["digest"]]
-    beside: dict[tuple[int, int], list[bytes]] = {}
-    for c in contexts:
-        beside.setdefault((c["start"], c["side"]), []).append(c["context"])
-    out = []
-    for m in marks:
-        a, b = m["start"], m["start"] + size
-        gram, before, after, right = text[a:b], 0, 0, True
-        lefts, rights = beside.get((a, 0)), beside.get((a, 1))
-        if lefts is not None:
-            same = [c for c in lefts if c.endswith(gram)]
-            right = bool(same)
-            near = text[max(0, a - spec.context) : a][::-1]
-            before = max((_agreement(near, c[: len(c) - size][::-1]) for c in same), default=0)
-        if rights is not None:
-            same = [c for c in rights if c.startswith(gram)]
-            right = right and bool(same)
-            after = max((_agreement(text[b : b + spec.context], c[size:]) for c in same), default=0)
-        # An equal digest of other bytes is no repeat.
-        if right:
-            out.append((a - before, before + size + after, m["first_doc_id"]))
-    return out
-
-
-def _whole_words(text: bytes, a: int, b: int) -> tuple[int, int]:
-    """The span without a word that it cuts and without the blanks at its ends inside the text."""
-    if a > 0:
-        at = a
-        if text[a - 1] not in _BLANKS:
-            at = next((k for k in range(a, min(b, a + _LONGEST_WORD)) if text[k] in _BLANKS), a)
-        while at < b and text[at] in _BLANKS:
-            at += 1
-        a = at
-    if b < len(text):
-        at = b
-        if text[b] not in _BLANKS:
-            at = next((k for k in range(b, max(a, b - _LONGEST_WORD), -1) if text[k - 1] in _BLANKS), b)
-        while at > a and text[at - 1] in _BLANKS:
-            at -= 1
-        b = at
+AGREED = "doc_id long, at int, side int, first_doc_id long, first_at int, agreed int, more int, check long, inside boolean"
+
+
+def _comparer(size: int):
+    """How many bytes the two slices of an edge have in common, whether both could go on, and
+    whether the first document's word does where they stop."""
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = [f.split()[0] for f in AGREED.split(", ")]
+        for batch in words.row_slices(batches):
+            more, checks, inside = [], [], []
+            for own, other in zip(batch.column(6).to_pylist(), batch.column(7).to_pylist()):
+                n = min(len(own), len(other))
+                m = n
+                if own[:n] != other[:n]:
+                    m = int(np.argmax(np.frombuffer(own, np.uint8, n) != np.frombuffer(other, np.uint8, n)))
+                more.append(m)
+                checks.append(crc32(own[:m]))
+                inside.append(m < len(other) and other[m] not in _BLANKS)
+            columns = [batch.column(k) for k in range(6)]
+            columns += [pa.array(more, pa.int32()), pa.array(checks, pa.int64()), pa.array(inside, pa.bool_())]
+            yield pa.RecordBatch.from_arrays(columns, names)
+
+    return compare
+
+
+def _agreements(docs: DataFrame, edges: DataFrame, spec: ChunkSpec) -> DataFrame:
+    """(doc_id, at, side, first_doc_id, from, more, check, inside): the bytes beyond each edge
+    that both texts share, in one row per round, the first one ``from`` 0."""
+    size, found = spec.slice, []
+    while True:
+        ahead = F.when(F.col("side") == BEFORE, -F.col("agreed")).otherwise(F.col("agreed"))
+        wanted = edges.withColumn("at", F.col("at") + ahead).withColumn("first_at", F.col("first_at") + ahead)
+        places = wanted.select("doc_id", "at", "side").union(wanted.select("first_doc_id", "first_at", "side"))
+        # No more than a few places for each chunk of the text itself.
+        asked = places.groupBy("doc_id").agg(F.collect_set(F.struct("at", "side")).alias("places"))
+        slices = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("text IS NOT NULL")
+        slices = slices.join(stage(asked, "places"), "doc_id").select("doc_id", "text", "places")
+        slices = stage(slices.mapInArrow(_slicer(size), "doc_id long, at int, side int, bytes binary"), "slices")
+        slices = slices.repartition("doc_id", "at", "side").distinct()
+        both = wanted.join(slices.withColumnRenamed("bytes", "own"), ["doc_id", "at", "side"])
+        counts = wanted.groupBy("first_doc_id", "first_at", "side").agg(F.count(F.lit(1)).alias("n"))
+        named = {"doc_id": "first_doc_id", "at": "first_at", "bytes": "other"}
+        others = slices.withColumnsRenamed(named).join(counts, ["first_doc_id", "first_at", "side"])
+        total = edges.count()
+        both = spread_join(both, others, ["first_doc_id", "first_at", "side"], total)
+        both = both.select("doc_id", "at", "side", "first_doc_id", "first_at", "agreed", "own", "other")
+        agreed = stage(both.mapInArrow(_comparer(size), AGREED), "agreed")
+        back = F.when(F.col("side") == BEFORE, F.col("agreed")).otherwise(-F.col("agreed"))
+        found.append(agreed.withColumn("at", F.col("at") + back).withColumn("first_at", F.col("first_at") + back))
+        edges = found[-1].where(F.col("more") == size)
+        edges = edges.select("doc_id", "at", "side", "first_doc_id", "first_at", (F.col("agreed") + size).alias("agreed"))
+        if edges.isEmpty():
+            break
+        edges, size = stage(edges.distinct(), "edges"), 4 * size
+    whole = found[0]
+    for more in found[1:]:
+        whole = whole.union(more)
+    return whole.select("doc_id", "at", "side", "first_doc_id", "first_at", "agreed", "more", "check", "inside")
+
+
+def _last_blank(text: bytes, a: int, b: int) -> int:
+    return max(text.rfind(bytes([c]), a, b) for c in _BLANKS)
+
+
+def _first_blank(text: bytes, a: int, b: int) -> int:
+    return min((k for c in _BLANKS if (k := text.find(bytes([c]), a, b)) >= 0), default=-1)
+
+
+def _whole_words(text: bytes, a: int, b: int, cut_a: bool, cut_b: bool) -> tuple[int, int]:
+    """The span without a word that it cuts, or that the other text does, and without the
+    blanks at its ends inside the text."""
+    if a < b and (cut_a or a > 0 and text[a - 1] not in _BLANKS) and text[a] not in _BLANKS:
+        at = _first_blank(text, a, b)
+        a = b if at < 0 else at
+    if a < b and (cut_b or b < len(text) and text[b] not in _BLANKS) and text[b - 1] not in _BLANKS:
+        b = max(_last_blank(text, a, b), a)
+    while a > 0 and a < b and text[a] in _BLANKS:
+        a += 1
+    while b < len(text) and b > a and text[b - 1] in _BLANKS:
+        b -= 1
     return a, b
 
 
-def _runs(marks: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
-    """Neighbouring repeats joined to (start, end, smallest source)."""
-    runs: list[tuple[int, int, int]] = []
-    for start, length, source in sorted(marks):
-        if runs and start <= runs[-1][1]:
-            a, b, s = runs[-1]
-            runs[-1] = a, max(b, start + length), min(s, source)
+def _extended(text: bytes, at: int, side: int, steps: list[dict]) -> tuple[int, bool]:
+    """Where the bytes shared beyond an edge end, and whether the other text's word goes on."""
+    done, inside = 0, True
+    while True:
+        best = None
+        for s in steps:
+            if s["agreed"] == done and (best is None or s["more"] > best["more"]):
+                a = at - done - s["more"] if side == BEFORE else at + done
+                own = text[max(a, 0) : a + s["more"]]
+                own = own[::-1] if side == BEFORE else own
+                # A row of the same doc_id may hold another text.
+                if len(own) == s["more"] and crc32(own) == s["check"]:
+                    best = s
+        if best is None:
+            break
+        done, inside = done + best["more"], best["inside"]
+        if not best["more"]:
+            break
+    return (at - done if side == BEFORE else at + done), inside
+
+
+def _spans(text: bytes | None, marks: list[dict], steps: list[dict], spec: ChunkSpec) -> list[tuple[int, int, int]]:
+    """(start, end, first_doc_id) of the passages to remove, not overlapping."""
+    marks = [m for m in marks if text and m["start"] + m["size"] <= len(text)]
+    if not marks:
+        return []
+    data = np.frombuffer(text, np.uint8)
+    starts = np.array([m["start"] for m in marks])
+    digests = _digests(data, starts, starts + np.array([m["size"] for m in marks])).tolist()
+    marks = [m for m, d in zip(marks, digests) if d == m["digest"]]
+    beside: dict[tuple, list[dict]] = {}
+    for s in steps:
+        beside.setdefault((s["at"], s["side"], s["first_doc_id"], s["first_at"]), []).append(s)
+    own: list[list] = []
+    for start, end, source, shift in _runs(marks):
+        a, cut_a = _extended(text, start, BEFORE, beside.get((start, BEFORE, source, start - shift), []))
+        b, cut_b = _extended(text, end, AFTER, beside.get((end, AFTER, source, end - shift), []))
+        if own and own[-1][4:] == [source, shift] and a <= own[-1][1]:
+            if b >= own[-1][1]:
+                own[-1][1], own[-1][3] = b, cut_b
         else:
-            runs.append((start, start + length, source))
-    return runs
+            own.append([a, b, cut_a, cut_b, source, shift])
+    found: list[tuple[int, int, int]] = []
+    for a, b, cut_a, cut_b, source, _ in own:
+        a, b = _whole_words(text, a, b, cut_a, cut_b)
+        if len(text[a:b].split()) >= spec.run_words:
+            found.append((a, b, source))
+    joined: list[tuple[int, int, int]] = []
+    for a, b, source in sorted(found):
+        if joined and a <= joined[-1][1]:
+            joined[-1] = joined[-1][0], max(b, joined[-1][1]), min(source, joined[-1][2])
+        else:
+            joined.append((a, b, source))
+    return joined
 
 
 SPANS = "array<struct<start:int,length:int,first_doc_id:bigint>>"
+_SPAN_TYPE = pa.list_(
+    pa.struct([("start", pa.int32()), ("length", pa.int32()), ("first_doc_id", pa.int64())])
+)
 
 
 def _cleaner(spec: ChunkSpec):
@@ -280,18 +360,10 @@ def _cleaner(spec: ChunkSpec):
         for batch in words.row_slices(batches):
             texts = batch.column("__text").cast(pa.binary()).to_pylist()
             kept, spans = [], []
-            columns = (batch.column(n).to_pylist() for n in ("__marks", "__contexts"))
-            for text, marks, contexts in zip(texts, *columns):
+            columns = (batch.column(n).to_pylist() for n in ("__marks", "__steps"))
+            for text, marks, steps in zip(texts, *columns):
                 found, parts, at = [], [], 0
-                for a, b, source in _runs(_own(text, marks or [], contexts or [], spec)):
-                    a, b = _whole_words(text, a, b)
-                    if len(text[a:b].split()) < spec.run_words:
-                        continue
-                    # A span may begin or end inside a character; that character stays.
-                    while a < b and text[a] & 0xC0 == 0x80:
-                        a += 1
-                    while b > a and b < len(text) and text[b] & 0xC0 == 0x80:
-                        b -= 1
+                for a, b, source in _spans(text, marks or [], steps or [], spec):
                     found.append({"start": a, "length": b - a, "first_doc_id": source})
                     parts.append(text[at:a])
                     at = b
@@ -300,47 +372,36 @@ def _cleaner(spec: ChunkSpec):
                 kept.append(None if text is None else text.decode("utf-8"))
                 spans.append(found)
             own = {"__text": pa.array(kept, pa.string()), "__marks": pa.array(spans, _SPAN_TYPE)}
-            names = [n for n in batch.schema.names if n != "__contexts"]
+            names = [n for n in batch.schema.names if n != "__steps"]
             columns = [own.get(n, batch.column(n)) for n in names]
             yield pa.RecordBatch.from_arrays(columns, names)
 
     return clean
 
 
-_SPAN_TYPE = pa.list_(
-    pa.struct([("start", pa.int32()), ("length", pa.int32()), ("first_doc_id", pa.int64())])
-)
-
-
 def deduplicate_passages(docs: DataFrame, spec: ChunkSpec = ChunkSpec()) -> DataFrame:
     """``docs`` with repeated passages cut from ``text`` and their places in ``removed_spans``.
 
-    A span gives start and length in bytes of the old text, and the smallest document that
-    holds one of its seeds. It covers whole words up to where the holder's text differs; a word
-    of more than 64 bytes is cut inside. The first holder keeps a passage; repeats inside one document
-    stay. A null text stays null, an empty one empty; a wholly repeated text becomes empty.
-    Rows with a null doc_id are neither sources nor cut. Rows sharing a doc_id are one
-    document, not repeats of each other. A column named ``removed_spans`` is replaced.
+    A span gives start and length in bytes of the old text, and the smallest first document of
+    its chunks. It covers whole words up to where the texts differ, and has ``run_words`` words
+    or more on one alignment with one document, the first that has the chunk; where that one
+    goes on in an end word, the word stays. The first holder keeps a passage; repeats inside
+    one document stay. A null text stays null, an empty one empty; a wholly repeated text
+    becomes empty. Rows with a null doc_id are neither sources nor cut. Rows sharing a
+    doc_id are one document, not repeats of each other. A column named ``removed_spans`` is
+    replaced.
     """
     docs = docs.drop("removed_spans")
-    mark = F.struct("start", "digest", "first_doc_id")
-    marks = repeated_seeds(docs, spec).groupBy("doc_id").agg(F.collect_set(mark).alias("__marks"))
+    mark = F.struct("start", "size", "digest", "first_doc_id", "first_start")
+    marks = repeated_chunks(docs, spec).groupBy("doc_id").agg(F.collect_set(mark).alias("__marks"))
     marks = stage(marks, "marks")
-    edges = marks.mapInArrow(
-        _edge_finder(spec), "doc_id long, start int, digest long, first_doc_id long, side int"
-    )
-    wanted = edges.select("first_doc_id", "digest", "side").distinct().groupBy("first_doc_id")
-    wanted = wanted.agg(F.collect_list(F.struct("digest", "side")).alias("wanted"))
-    held = docs.select(F.col("doc_id").cast("long").alias("first_doc_id"), "text").join(wanted, "first_doc_id")
-    contexts = held.select("text", "wanted").mapInArrow(
-        _context_reader(spec), "digest long, side int, context binary"
-    )
-    beside = edges.join(contexts, ["digest", "side"]).groupBy("doc_id")
-    beside = beside.agg(F.collect_list(F.struct("start", "side", "context")).alias("__contexts"))
-    marks = marks.join(beside, "doc_id", "left").withColumnRenamed("doc_id", "__doc")
+    edges = stage(marks.mapInArrow(_edge_finder, EDGES), "edges")
+    step = F.struct("at", "side", "first_doc_id", "first_at", "agreed", "more", "check", "inside")
+    steps = _agreements(docs, edges, spec).groupBy("doc_id").agg(F.collect_list(step).alias("__steps"))
+    marks = stage(marks.join(steps, "doc_id", "left").withColumnRenamed("doc_id", "__doc"), "marked")
     others = [c for c in docs.columns if c != "text"]
     joined = docs.join(marks, F.col("doc_id").cast("long") == F.col("__doc"), "left").select(
-        *others, F.col("text").alias("__text"), "__marks", "__contexts"
+        *[F.col(f"`{c}`") for c in others], F.col("text").alias("__text"), "__marks", "__steps"
     )
     fields = [f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in others]
     cleaned = joined.mapInArrow(_cleaner(spec), ", ".join([*fields, "__text string", f"__marks {SPANS}"]))

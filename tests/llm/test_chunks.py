@@ -14,50 +14,165 @@ def text(seed, words=300):
     return " ".join("".join(draw.choice("abcdeéfghij") for _ in range(draw.randrange(2, 9))) for _ in range(words))
 
 
+def bounds(whole, spec=SPEC):
+    data = np.frombuffer(whole, np.uint8)
+    starts, ends = chunks.chunk_bounds(data, np.array([0, len(data)]), spec)
+    return list(zip(starts.tolist(), ends.tolist()))
+
+
 def test_rolling_hash_equals_its_definition():
     data = np.frombuffer(text(1).encode(), np.uint8)
     got = chunks.rolled(data)
-    for at in (0, 5, 31, 32, 700):
-        want = sum(int(chunks.GEAR[data[at - k]]) << k for k in range(min(at + 1, 32)))
-        assert int(got[at]) == want % (1 << 32)
+    for at in (0, 5, 15, 16, 700):
+        want = sum(int(chunks.GEAR[data[at - k]]) << k for k in range(min(at + 1, 16)))
+        assert int(got[at]) == want % (1 << 16)
 
 
 def test_chunks_cover_the_text_within_bounds():
     for n in (0, 1, 15, 16, 5000):
-        data = np.frombuffer(text(n, 2000).encode()[:n], np.uint8)
-        ends = chunks.chunk_ends(data, SPEC)
-        sizes = np.diff(np.concatenate([[0], ends]))
-        assert sizes.sum() == n and all(0 < s <= SPEC.most for s in sizes)
-        assert n < 1000 or 35 < sizes.mean() < 70
+        own = text(n, 2000).encode()[:n]
+        found = bounds(own)
+        assert b"".join(own[a:b] for a, b in found) == own and all(0 < b - a <= SPEC.most for a, b in found)
+        assert n < 1000 or 25 < n / len(found) < 45
 
 
 def test_cuts_are_local_minima():
-    data = np.frombuffer(text(8, 400).encode(), np.uint8)
-    own, n, w = chunks.rolled(data).tolist(), len(data), SPEC.reach
+    whole = text(8, 400).encode()
+    own, n, w = chunks.rolled(np.frombuffer(whole, np.uint8)).tolist(), len(whole), SPEC.reach
     want = {
         i + 1
         for i in range(n)
         if all(own[i] < x for x in own[max(0, i - w) : i]) and all(own[i] <= x for x in own[i + 1 : i + w + 1])
     }
-    ends = set(chunks.chunk_ends(data, SPEC).tolist())
+    ends = {b for _, b in bounds(whole)}
     assert want | {n} <= ends
     assert len(ends - want - {n}) <= n / SPEC.most
 
 
-def test_periodic_text_is_cut_at_the_longest_size():
-    ends = chunks.chunk_ends(np.full(1000, 97, np.uint8), SPEC)
-    assert np.diff(ends).max() == SPEC.most and ends[-1] == 1000
+def test_texts_of_a_piece_are_cut_one_by_one():
+    own = [text(k, 3 * k).encode() for k in range(30)] + [b"", b"x", b"a" * 700, b""]
+    offsets = np.concatenate([[0], np.cumsum([len(o) for o in own])])
+    starts, ends = chunks.chunk_bounds(np.frombuffer(b"".join(own), np.uint8), offsets, SPEC)
+    want = [(a + o, b + o) for o, t in zip(offsets.tolist(), own) for a, b in bounds(t)]
+    assert list(zip(starts.tolist(), ends.tolist())) == want
 
 
-def test_an_insertion_moves_few_cuts():
-    a = text(3, 3000)
-    b = a[:4000] + "something new " + a[4000:]
+def test_periodic_text_is_cut_at_the_longest_size():
+    assert max(b - a for a, b in bounds(b"a" * 1000)) == SPEC.most
 
-    def cut(whole):
-        ends = chunks.chunk_ends(np.frombuffer(whole.encode(), np.uint8), SPEC)
-        return {whole.encode()[s:e] for s, e in zip([0, *ends], ends)}
 
-    assert len(cut(b) - cut(a)) <= 6
+def test_an_insertion_moves_few_cuts():
+    a = text(3, 3000).encode()
+    b = a[:4000] + b"something new " + a[4000:]
+    assert len({b[x:y] for x, y in bounds(b)} - {a[x:y] for x, y in bounds(a)}) <= 6
+
+
+BLANK = b" \t\n\v\f\r"
+GRAM, LONGER = 40, 64
+
+
+def shared(own, other, shifts, least=SPEC.run_words):
+    """Spans of whole words of ``own`` that ``other`` has at one of the shifts, of ``least``
+    words or more."""
+    a, b = np.frombuffer(own, np.uint8), np.frombuffer(other, np.uint8)
+    found = []
+    for shift in shifts:
+        lo, hi = max(0, shift), min(len(a), len(b) + shift)
+        same = np.concatenate([[0], a[lo:hi] == b[lo - shift : hi - shift], [0]])
+        edges = np.flatnonzero(np.diff(same)) + lo
+        for s, e in zip(edges[::2].tolist(), edges[1::2].tolist()):
+            whole = lambda t, i: i == 0 or i == len(t) or t[i - 1] in BLANK or t[i] in BLANK
+            while s < e and not (whole(own, s) and whole(other, s - shift)):
+                s += 1
+            while e > s and not (whole(own, e) and whole(other, e - shift)):
+                e -= 1
+            while s > 0 and s < e and own[s] in BLANK:
+                s += 1
+            while e < len(own) and e > s and own[e - 1] in BLANK:
+                e -= 1
+            if len(own[s:e].split()) >= least:
+                found.append((s, e))
+    return found
+
+
+def without_passages(rows):
+    """Texts without the passages of over 50 words that a row of a smaller doc_id has, each as
+    far as it agrees with the first such row; one that a later row continues by more than a
+    word or two (``LONGER`` bytes) goes as far as that one agrees. All rows are compared at all
+    places where they have ``GRAM`` bytes in common."""
+    out, grams = {}, {}
+    for i, t in sorted((r for r in rows if r[0] is not None), key=lambda r: r[0]):
+        own = (t or "").encode()
+        gone = np.zeros(len(own), bool)
+        shifts = {}
+        for k in range(len(own) - GRAM + 1):
+            for j, other, at in grams.get(own[k : k + GRAM], ()):
+                shifts.setdefault(j, (other, set()))[1].add(k - at)
+        for j in sorted(shifts):
+            if j < i:
+                for s, e in shared(own, *shifts[j]):
+                    if not gone[s:e].any() or (~gone[s:e]).sum() >= LONGER:
+                        gone[s:e] = True
+        for k in range(len(own) - GRAM + 1):
+            grams.setdefault(own[k : k + GRAM], []).append((i, own, k))
+        left = bytes(np.frombuffer(own, np.uint8)[~gone])
+        out[i] = None if t is None else left.decode()
+    return out
+
+
+def short_words(draw, n):
+    return " ".join("".join(draw.choice("abcdefghijklm") for _ in range(draw.randrange(2, 5))) for _ in range(n))
+
+
+def test_operator_equals_comparing_all_texts(docs):
+    """Passages of 40 to 70 short words, some of them parts of others, with phrases of 14 to
+    50 words that stay. Where the first holder glues a passage to its surroundings (the last
+    two seeds), end words may differ."""
+    missed = spans = 0
+    for seed in range(4):
+        draw = random.Random(seed)
+        passages = [short_words(draw, draw.randrange(40, 70)) for _ in range(6)]
+        passages.append(" ".join(passages[0].split()[20:]) + " " + passages[1])
+        phrases = [short_words(draw, n) for n in (14, 16, 18, 25, 30, 50)]
+        rows = []
+        for i in range(48):
+            parts = [short_words(draw, draw.randrange(3, 40)) for _ in range(3)]
+            parts.insert(1, draw.choice(passages))
+            parts.insert(3, draw.choice(phrases))
+            rows.append((i, draw.choice((" ", "\n", "Q" if seed > 1 else ". ", " ")).join(parts)))
+        want = without_passages(rows)
+        for r in chunks.deduplicate_passages(docs(rows)).collect():
+            spans += dict(rows)[r.doc_id] != want[r.doc_id]
+            more = len(r.text.split()) - len(want[r.doc_id].split())
+            missed += abs(more) > 2 * (seed > 1)
+            # What is missed stays; nothing else ever goes.
+            assert more >= -2 * (seed > 1) and (seed > 1 or r.text in (want[r.doc_id], dict(rows)[r.doc_id]))
+    assert spans > 100 and missed <= 0.03 * spans
+
+
+def test_passages_of_51_short_words_are_found():
+    """Counted without Spark: the two texts have a chunk inside the passage in common."""
+    found = 0
+    for seed in range(600):
+        draw = random.Random(seed)
+        passage = short_words(draw, 51)
+        own = [short_words(draw, 40) + " " + passage + " " + short_words(draw, 40) for _ in range(2)]
+        one, two = ({t.encode()[a:b] for a, b in bounds(t.encode()) if b - a >= SPEC.reach} for t in own)
+        found += any(c in passage.encode() for c in one & two)
+    assert found >= 0.97 * 600
+
+
+def test_long_agreements_take_more_rounds(docs):
+    """Beyond a run the texts agree for thousands of bytes whose chunks other documents have."""
+    long = text(11, 1500)
+    pieces = [long[k : k + 400] for k in range(0, len(long), 400)]
+    rows = [(k, text(40 + k, 30) + " " + p + " " + text(60 + k, 30)) for k, p in enumerate(pieces)]
+    rows += [(100, "Start " + long + " end"), (200, "Other " + long + " finish"), (201, "Third " + long + " stop")]
+    found = run(docs(rows))
+    assert found[200].text == "Other  finish" and found[201].text == "Third  stop"
+    spec = chunks.ChunkSpec(slice=7)
+    again = {r.doc_id: r.text for r in chunks.deduplicate_passages(docs(rows), spec).collect()}
+    assert again == {i: r.text for i, r in found.items()}
 
 
 def run(frame):
@@ -80,7 +195,7 @@ def test_passages_of_over_50_words_are_cut_from_later_documents_only(docs):
 
 
 def test_short_phrases_and_repeats_inside_one_document_stay(docs):
-    phrase = "Licensed under the Apache License, Version 2.0."
+    phrase = "Licensed under the Apache License, Version 2.0. " + text(9, 42)
     own = text(7, 60)
     rows = [(k, text(k, 50) + phrase + text(50 + k, 50)) for k in range(6)] + [(9, own + "\n" + own)]
     assert all(not r.removed_spans and r.text == dict(rows)[i] for i, r in run(docs(rows)).items())
@@ -97,18 +212,19 @@ def test_null_empty_repeated_long_and_missing_rows(docs):
     assert chunks.deduplicate_passages(docs([])).count() == 0
 
 
-def test_texts_sharing_95_bytes_share_a_seed_and_seeds_touch():
-    for seed in range(200):
-        draw = random.Random(seed)
-        shared = bytes(draw.randrange(97, 101) for _ in range(SPEC.gram + SPEC.window - 1))
-        own = [bytes(draw.randrange(97, 101) for _ in range(draw.randrange(200))) for _ in range(4)]
-        grams = []
-        for whole in (own[0] + shared + own[1], own[2] + shared + own[3]):
-            starts = chunks.seed_starts(np.frombuffer(whole, np.uint8), SPEC)
-            assert np.diff(starts).max(initial=0) <= SPEC.gram
-            grams.append({whole[s : s + SPEC.gram] for s in starts.tolist()})
-        assert grams[0] & grams[1]
-    assert len(chunks.seed_starts(np.full(4800, 97, np.uint8), SPEC)) < 250
+def test_rows_of_one_doc_id_with_different_texts(docs):
+    passage = text(77, 60)
+    rows = [(1, "One " + passage + " one"), (5, text(1, 80)), (5, "Five " + passage + " five"), (5, "Five " + passage + " five")]
+    got = sorted(r.text for r in chunks.deduplicate_passages(docs(rows)).where("doc_id = 5").collect())
+    assert got == sorted([text(1, 80), "Five  five", "Five  five"])
+
+
+def test_a_chunk_that_a_third_of_all_documents_have(docs):
+    passage = text(78, 60)
+    rows = [(k, text(k, 12) + " " + (passage if k % 3 == 0 else text(900 + k, 30)) + " " + text(500 + k, 12)) for k in range(4000)]
+    found = run(docs(rows))
+    assert all((passage in r.text) == (i == 0) for i, r in found.items() if i % 3 == 0)
+    assert all(found[i].text == t for i, t in rows if i % 3)
 
 
 def test_whole_passages_of_51_short_words_are_cut(docs):

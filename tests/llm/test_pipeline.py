@@ -72,22 +72,11 @@ def near_kept(rows):
 
 
 def passages_cut(rows):
-    """Texts without runs of chunks that a document with a smaller id has."""
-    spec, seen, kept = chunks.ChunkSpec(), {}, {}
-    for i, t in sorted((r for r in rows.items() if r[0] is not None)):
-        data = (t or "").encode()
-        ends = chunks.chunk_ends(np.frombuffer(data, np.uint8), spec).tolist()
-        runs: list = []
-        for a, b in zip([0, *ends], ends):
-            if seen.setdefault(data[a:b], i) < i:
-                if runs and runs[-1][1] == a:
-                    runs[-1][1] = b
-                else:
-                    runs.append([a, b])
-        for a, b in reversed([r for r in runs if len(data[r[0] : r[1]].split()) >= spec.run_words]):
-            data = data[:a] + data[b:]
-        if data.strip() or not t:
-            kept[i] = None if t is None else data.decode()
+    """Texts without the passages of over 50 words that one of a smaller id has."""
+    from test_chunks import without_passages
+
+    cut = without_passages(rows.items())
+    kept = {i: t for i, t in cut.items() if t is None or t.strip() or not rows[i]}
     return kept | {i: t for i, t in rows.items() if i is None}
 
 
