@@ -10,6 +10,7 @@ What is then ``run_words`` words or more is removed, so short shared phrases sta
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
 from zlib import crc32
@@ -30,13 +31,17 @@ class ChunkSpec:
     chunks have about 2 ``reach`` bytes. A shared passage has a common chunk where two cuts
     fall between its first ``reach`` + 16 and its last ``reach`` bytes: of passages of 51 words
     all but about one in a hundred where words are as short as three letters, and practically
-    all where they are longer. ``slice`` bytes beyond a run are compared at first, four times
-    as many in each further round, for as long as any texts agree."""
+    all where they are longer."""
 
     reach: int = 16
     most: int = 128
     run_words: int = 51
-    slice: int = 96
+
+    @property
+    def beyond(self) -> int:
+        """How far two texts can agree beyond the last chunk that is a repeat: a chunk more,
+        and the bytes on which its end depends."""
+        return self.most + self.reach + MEMORY
 
 
 MEMORY = 16
@@ -141,7 +146,7 @@ def spread_join(rows: DataFrame, table: DataFrame, keys: list[str], total: int)
 
 def repeated_chunks(docs: DataFrame, spec: ChunkSpec = ChunkSpec()) -> DataFrame:
     """(doc_id, start, size, digest, first_doc_id, first_start): chunks that a document with a
-    smaller id has, with the first place of the first such document."""
+    smaller id has, with their first place in the first such document."""
     chunks = stage(chunk_table(docs.where("doc_id IS NOT NULL"), spec), "chunks")
     place = F.struct(F.col("doc_id").alias("first_doc_id"), F.col("start").alias("first_start"))
     found = chunks.groupBy("digest").agg(
@@ -152,122 +157,144 @@ def repeated_chunks(docs: DataFrame, spec: ChunkSpec = ChunkSpec()) -> DataFrame
     return spread_join(chunks, shared, ["digest"], total).where("doc_id > first_doc_id")
 
 
-def _runs(marks: list[dict]) -> Iterator[tuple[int, int, int, int]]:
-    """(start, end, first_doc_id, shift) of neighbouring marks on one alignment."""
-    run = None
+def runs_of(marks: list[dict], spec: ChunkSpec) -> Iterator[tuple[int, int, int, int, int, int]]:
+    """(start, end, first_doc_id, first_start, left, right): neighbouring marks on one
+    alignment, and how many bytes before and after the run are to be compared.
+
+    What two texts share beyond a run has chunks that are repeats, too, if of yet earlier
+    documents. So it ends soon after the neighbouring repeats of any document do, or where
+    the next run on the same alignment begins."""
+    edges: dict[int, int] = {}
+    for start, end in sorted({(m["start"], m["start"] + m["size"]) for m in marks}):
+        edges[start] = end
+    region: dict[int, tuple[int, int]] = {}
+    begin = last = None
+    for start, end in [*edges.items(), (None, None)]:
+        if start is None or start != last:
+            if begin is not None:
+                region[begin] = begin, last
+            begin = start
+        last = end
+    bounds, starts = sorted(region.values()), sorted(region)
+    runs: list[list[int]] = []
     for source, shift, start, size in sorted(
         (m["first_doc_id"], m["start"] - m["first_start"], m["start"], m["size"]) for m in marks
     ):
-        if run and run[2:] == (source, shift) and run[1] == start:
-            run = run[0], start + size, source, shift
+        if runs and runs[-1][2:] == [source, shift] and runs[-1][1] == start:
+            runs[-1][1] = start + size
         else:
-            if run:
-                yield run
-            run = start, start + size, source, shift
-    if run:
-        yield run
+            runs.append([start, start + size, source, shift])
+    for k, (start, end, source, shift) in enumerate(runs):
+        low, high = bounds[bisect_right(starts, start) - 1]
+        low, high = low - spec.beyond, high + spec.beyond
+        if k and runs[k - 1][2:] == [source, shift]:
+            low = max(low, runs[k - 1][1])
+        if k + 1 < len(runs) and runs[k + 1][2:] == [source, shift]:
+            high = min(high, runs[k + 1][0])
+        yield start, end, source, start - shift, start - low, high - end
+
+
+RUNS = "doc_id long, start int, stop int, first_doc_id long, first_start int, first_stop int, left int, right int"
+
+
+def _run_finder(spec: ChunkSpec):
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = [f.split()[0] for f in RUNS.split(", ")]
+        kinds = [pa.int64() if f.endswith("long") else pa.int32() for f in RUNS.split(", ")]
+        for batch in words.row_slices(batches):
+            out: list[tuple] = []
+            for doc, marks in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                for start, end, source, first, left, right in runs_of(marks, spec):
+                    out.append((doc, start, end, source, first, first + end - start, left, right))
+            columns = list(zip(*out)) or [()] * len(kinds)
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
+
+    return find
 
 
-BEFORE, AFTER = 0, 1
-EDGES = "doc_id long, at int, side int, first_doc_id long, first_at int, agreed int"
+SLICES = "doc_id long, start int, stop int, before binary, after binary, check long"
 
 
-def _edge_finder(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Both ends of each run, with their places in the first document."""
-    names = [f.split()[0] for f in EDGES.split(", ")]
-    kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int32())
+def _slicer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The bytes around places of a text, those before them the nearest first, and the hash
+    of what the places hold."""
+    names = [f.split()[0] for f in SLICES.split(", ")]
+    kinds = (pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.int64())
     for batch in words.row_slices(batches):
-        out: list[tuple] = []
-        for doc, marks in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            for start, end, source, shift in _runs(marks):
-                out.append((doc, start, BEFORE, source, start - shift, 0))
-                out.append((doc, end, AFTER, source, end - shift, 0))
+        texts = batch.column(1).cast(pa.binary()).to_pylist()
+        out = []
+        for doc, text, places in zip(batch.column(0).to_pylist(), texts, batch.column(2).to_pylist()):
+            for p in places:
+                a, b = p["start"], p["stop"]
+                before = text[max(a - p["left"], 0) : a][::-1]
+                out.append((doc, a, b, before, text[b : b + p["right"]], crc32(text[a:b])))
         columns = list(zip(*out)) or [()] * len(kinds)
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
 
 
-def _slicer(size: int):
-    """(doc_id, at, side, bytes): up to ``size`` bytes before or after places of a text, the
-    nearest first."""
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in words.row_slices(batches):
-            texts = batch.column(1).cast(pa.binary()).to_pylist()
-            out = [
-                (doc, p["at"], p["side"], text[max(p["at"] - size, 0) : p["at"]][::-1] if p["side"] == BEFORE
-                 else text[p["at"] : p["at"] + size])
-                for doc, text, places in zip(batch.column(0).to_pylist(), texts, batch.column(2).to_pylist())
-                for p in places
-            ]
-            columns = list(zip(*out)) or [()] * 4
-            kinds = (pa.int64(), pa.int32(), pa.int32(), pa.binary())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(columns, kinds)], ["doc_id", "at", "side", "bytes"]
-            )
+_BLANKS = b" \t\n\v\f\r"
 
-    return cut
 
+def _agreement(own: bytes, other: bytes, most: int) -> tuple[int, bool]:
+    """How many of up to ``most`` bytes both begin with, and whether the other's word goes on."""
+    n = min(len(own), len(other), most)
+    m = n
+    if own[:n] != other[:n]:
+        m = int(np.argmax(np.frombuffer(own, np.uint8, n) != np.frombuffer(other, np.uint8, n)))
+    return m, m < len(other) and other[m] not in _BLANKS
 
-_BLANKS = b" \t\n\v\f\r"
-AGREED = "doc_id long, at int, side int, first_doc_id long, first_at int, agreed int, more int, check long, inside boolean"
 
+FOUND = (
+    "doc_id long, first_doc_id long, shift int, start int, stop int, before int, after int, cut_before boolean, "
+    "cut_after boolean, check long, check_before long, check_after long"
+)
 
-def _comparer(size: int):
-    """How many bytes the two slices of an edge have in common, whether both could go on, and
-    whether the first document's word does where they stop."""
 
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = [f.split()[0] for f in AGREED.split(", ")]
-        for batch in words.row_slices(batches):
-            more, checks, inside = [], [], []
-            for own, other in zip(batch.column(6).to_pylist(), batch.column(7).to_pylist()):
-                n = min(len(own), len(other))
-                m = n
-                if own[:n] != other[:n]:
-                    m = int(np.argmax(np.frombuffer(own, np.uint8, n) != np.frombuffer(other, np.uint8, n)))
-                more.append(m)
-                checks.append(crc32(own[:m]))
-                inside.append(m < len(other) and other[m] not in _BLANKS)
-            columns = [batch.column(k) for k in range(6)]
-            columns += [pa.array(more, pa.int32()), pa.array(checks, pa.int64()), pa.array(inside, pa.bool_())]
-            yield pa.RecordBatch.from_arrays(columns, names)
-
-    return compare
-
-
-def _agreements(docs: DataFrame, edges: DataFrame, spec: ChunkSpec) -> DataFrame:
-    """(doc_id, at, side, first_doc_id, from, more, check, inside): the bytes beyond each edge
-    that both texts share, in one row per round, the first one ``from`` 0."""
-    size, found = spec.slice, []
-    while True:
-        ahead = F.when(F.col("side") == BEFORE, -F.col("agreed")).otherwise(F.col("agreed"))
-        wanted = edges.withColumn("at", F.col("at") + ahead).withColumn("first_at", F.col("first_at") + ahead)
-        places = wanted.select("doc_id", "at", "side").union(wanted.select("first_doc_id", "first_at", "side"))
-        # No more than a few places for each chunk of the text itself.
-        asked = places.groupBy("doc_id").agg(F.collect_set(F.struct("at", "side")).alias("places"))
-        slices = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("text IS NOT NULL")
-        slices = slices.join(stage(asked, "places"), "doc_id").select("doc_id", "text", "places")
-        slices = stage(slices.mapInArrow(_slicer(size), "doc_id long, at int, side int, bytes binary"), "slices")
-        slices = slices.repartition("doc_id", "at", "side").distinct()
-        both = wanted.join(slices.withColumnRenamed("bytes", "own"), ["doc_id", "at", "side"])
-        counts = wanted.groupBy("first_doc_id", "first_at", "side").agg(F.count(F.lit(1)).alias("n"))
-        named = {"doc_id": "first_doc_id", "at": "first_at", "bytes": "other"}
-        others = slices.withColumnsRenamed(named).join(counts, ["first_doc_id", "first_at", "side"])
-        total = edges.count()
-        both = spread_join(both, others, ["first_doc_id", "first_at", "side"], total)
-        both = both.select("doc_id", "at", "side", "first_doc_id", "first_at", "agreed", "own", "other")
-        agreed = stage(both.mapInArrow(_comparer(size), AGREED), "agreed")
-        back = F.when(F.col("side") == BEFORE, F.col("agreed")).otherwise(-F.col("agreed"))
-        found.append(agreed.withColumn("at", F.col("at") + back).withColumn("first_at", F.col("first_at") + back))
-        edges = found[-1].where(F.col("more") == size)
-        edges = edges.select("doc_id", "at", "side", "first_doc_id", "first_at", (F.col("agreed") + size).alias("agreed"))
-        if edges.isEmpty():
-            break
-        edges, size = stage(edges.distinct(), "edges"), 4 * size
-    whole = found[0]
-    for more in found[1:]:
-        whole = whole.union(more)
-    return whole.select("doc_id", "at", "side", "first_doc_id", "first_at", "agreed", "more", "check", "inside")
+def _comparer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Runs whose bytes agree, with how many more do before and after them."""
+    names = [f.split()[0] for f in FOUND.split(", ")]
+    of = {"long": pa.int64(), "int": pa.int32(), "boolean": pa.bool_()}
+    kinds = [of[f.split()[1]] for f in FOUND.split(", ")]
+    for batch in words.row_slices(batches):
+        out = []
+        columns = (batch.column(k).to_pylist() for k in range(batch.num_columns))
+        for doc, start, stop, source, first, left, right, own_b, own_a, check, oth_b, oth_a, other in zip(*columns):
+            if check == other:
+                before, cut_b = _agreement(own_b, oth_b, left)
+                after, cut_a = _agreement(own_a, oth_a, right)
+                checks = check, crc32(own_b[:before]), crc32(own_a[:after])
+                out.append((doc, source, start - first, start, stop, before, after, cut_b, cut_a, *checks))
+        found = list(zip(*out)) or [()] * len(kinds)
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(found, kinds)], names)
+
+
+def compared_runs(docs: DataFrame, runs: DataFrame, spec: ChunkSpec) -> DataFrame:
+    """The runs of ``runs`` compared with the first document's text; those alignments are left
+    out that have too few bytes for ``run_words`` words."""
+    own = runs.select("doc_id", "start", "stop", "left", "right")
+    first = runs.select("first_doc_id", "first_start", "first_stop", "left", "right")
+    place = ["doc_id", "start", "stop"]
+    wanted = own.union(first).groupBy(*place).agg(F.max("left").alias("left"), F.max("right").alias("right"))
+    # A text's places are a few for each of its chunks.
+    asked = wanted.groupBy("doc_id").agg(F.collect_list(F.struct("start", "stop", "left", "right")).alias("places"))
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("text IS NOT NULL")
+    texts = texts.join(stage(asked, "places"), "doc_id").select("doc_id", "text", "places")
+    slices = stage(texts.mapInArrow(_slicer, SLICES), "slices").repartition(*place).distinct()
+    counts = runs.groupBy("first_doc_id", "first_start", "first_stop").agg(F.count(F.lit(1)).alias("n"))
+    others = slices.toDF("first_doc_id", "first_start", "first_stop", "other_before", "other_after", "other_check")
+    others = others.join(counts, ["first_doc_id", "first_start", "first_stop"])
+    both = runs.join(slices, place)
+    both = spread_join(both, others, ["first_doc_id", "first_start", "first_stop"], runs.count())
+    both = both.select(
+        *place, "first_doc_id", "first_start", "left", "right",
+        "before", "after", "check", "other_before", "other_after", "other_check",
+    )
+    found = both.mapInArrow(_comparer, FOUND)
+    by_alignment = found.groupBy("doc_id", "first_doc_id", "shift")
+    run = F.struct("start", "stop", "before", "after", "cut_before", "cut_after", "check", "check_before", "check_after")
+    held = F.sum(F.col("stop") - F.col("start") + F.col("before") + F.col("after"))
+    whole = by_alignment.agg(F.collect_list(run).alias("runs"), held.alias("held"))
+    return whole.where(F.col("held") >= 2 * spec.run_words - 1).drop("held")
 
 
 def _last_blank(text: bytes, a: int, b: int) -> int:
@@ -293,55 +320,32 @@ def _whole_words(text: bytes, a: int, b: int, cut_a: bool, cut_b: bool) -> tuple
     return a, b
 
 
-def _extended(text: bytes, at: int, side: int, steps: list[dict]) -> tuple[int, bool]:
-    """Where the bytes shared beyond an edge end, and whether the other text's word goes on."""
-    done, inside = 0, True
-    while True:
-        best = None
-        for s in steps:
-            if s["agreed"] == done and (best is None or s["more"] > best["more"]):
-                a = at - done - s["more"] if side == BEFORE else at + done
-                own = text[max(a, 0) : a + s["more"]]
-                own = own[::-1] if side == BEFORE else own
-                # A row of the same doc_id may hold another text.
-                if len(own) == s["more"] and crc32(own) == s["check"]:
-                    best = s
-        if best is None:
-            break
-        done, inside = done + best["more"], best["inside"]
-        if not best["more"]:
-            break
-    return (at - done if side == BEFORE else at + done), inside
-
-
-def _spans(text: bytes | None, marks: list[dict], steps: list[dict], spec: ChunkSpec) -> list[tuple[int, int, int]]:
+def _agreed(text: bytes, run: dict) -> bool:
+    """Whether the run is one of this text: another row of the same doc_id may hold another."""
+    a, b = run["start"], run["stop"]
+    before, after = text[max(a - run["before"], 0) : a][::-1], text[b : b + run["after"]]
+    own = (crc32(text[a:b]), crc32(before), crc32(after))
+    return b <= len(text) and own == (run["check"], run["check_before"], run["check_after"])
+
+
+def _spans(text: bytes | None, found: list[dict], spec: ChunkSpec) -> list[tuple[int, int, int]]:
     """(start, end, first_doc_id) of the passages to remove, not overlapping."""
-    marks = [m for m in marks if text and m["start"] + m["size"] <= len(text)]
-    if not marks:
-        return []
-    data = np.frombuffer(text, np.uint8)
-    starts = np.array([m["start"] for m in marks])
-    digests = _digests(data, starts, starts + np.array([m["size"] for m in marks])).tolist()
-    marks = [m for m, d in zip(marks, digests) if d == m["digest"]]
-    beside: dict[tuple, list[dict]] = {}
-    for s in steps:
-        beside.setdefault((s["at"], s["side"], s["first_doc_id"], s["first_at"]), []).append(s)
-    own: list[list] = []
-    for start, end, source, shift in _runs(marks):
-        a, cut_a = _extended(text, start, BEFORE, beside.get((start, BEFORE, source, start - shift), []))
-        b, cut_b = _extended(text, end, AFTER, beside.get((end, AFTER, source, end - shift), []))
-        if own and own[-1][4:] == [source, shift] and a <= own[-1][1]:
-            if b >= own[-1][1]:
-                own[-1][1], own[-1][3] = b, cut_b
-        else:
-            own.append([a, b, cut_a, cut_b, source, shift])
-    found: list[tuple[int, int, int]] = []
-    for a, b, cut_a, cut_b, source, _ in own:
-        a, b = _whole_words(text, a, b, cut_a, cut_b)
-        if len(text[a:b].split()) >= spec.run_words:
-            found.append((a, b, source))
+    spans: list[tuple[int, int, int]] = []
+    for alignment in found if text else []:
+        own: list[list] = []
+        for r in sorted((r for r in alignment["runs"] if _agreed(text, r)), key=lambda r: r["start"]):
+            a, b = r["start"] - r["before"], r["stop"] + r["after"]
+            if own and a <= own[-1][1]:
+                if b >= own[-1][1]:
+                    own[-1][1], own[-1][3] = b, r["cut_after"]
+            else:
+                own.append([a, b, r["cut_before"], r["cut_after"]])
+        for a, b, cut_a, cut_b in own:
+            a, b = _whole_words(text, a, b, cut_a, cut_b)
+            if len(text[a:b].split()) >= spec.run_words:
+                spans.append((a, b, alignment["first_doc_id"]))
     joined: list[tuple[int, int, int]] = []
-    for a, b, source in sorted(found):
+    for a, b, source in sorted(spans):
         if joined and a <= joined[-1][1]:
             joined[-1] = joined[-1][0], max(b, joined[-1][1]), min(source, joined[-1][2])
         else:
@@ -360,10 +364,9 @@ def _cleaner(spec: ChunkSpec):
         for batch in words.row_slices(batches):
             texts = batch.column("__text").cast(pa.binary()).to_pylist()
             kept, spans = [], []
-            columns = (batch.column(n).to_pylist() for n in ("__marks", "__steps"))
-            for text, marks, steps in zip(texts, *columns):
+            for text, runs in zip(texts, batch.column("__spans").to_pylist()):
                 found, parts, at = [], [], 0
-                for a, b, source in _spans(text, marks or [], steps or [], spec):
+                for a, b, source in _spans(text, runs or [], spec):
                     found.append({"start": a, "length": b - a, "first_doc_id": source})
                     parts.append(text[at:a])
                     at = b
@@ -371,10 +374,9 @@ def _cleaner(spec: ChunkSpec):
                     text = b"".join([*parts, text[at:]])
                 kept.append(None if text is None else text.decode("utf-8"))
                 spans.append(found)
-            own = {"__text": pa.array(kept, pa.string()), "__marks": pa.array(spans, _SPAN_TYPE)}
-            names = [n for n in batch.schema.names if n != "__steps"]
-            columns = [own.get(n, batch.column(n)) for n in names]
-            yield pa.RecordBatch.from_arrays(columns, names)
+            own = {"__text": pa.array(kept, pa.string()), "__spans": pa.array(spans, _SPAN_TYPE)}
+            columns = [own.get(n, batch.column(n)) for n in batch.schema.names]
+            yield pa.RecordBatch.from_arrays(columns, batch.schema.names)
 
     return clean
 
@@ -392,21 +394,21 @@ def deduplicate_passages(docs: DataFrame, spec: ChunkSpec = ChunkSpec()) -> Data
     replaced.
     """
     docs = docs.drop("removed_spans")
-    mark = F.struct("start", "size", "digest", "first_doc_id", "first_start")
-    marks = repeated_chunks(docs, spec).groupBy("doc_id").agg(F.collect_set(mark).alias("__marks"))
-    marks = stage(marks, "marks")
-    edges = stage(marks.mapInArrow(_edge_finder, EDGES), "edges")
-    step = F.struct("at", "side", "first_doc_id", "first_at", "agreed", "more", "check", "inside")
-    steps = _agreements(docs, edges, spec).groupBy("doc_id").agg(F.collect_list(step).alias("__steps"))
-    marks = stage(marks.join(steps, "doc_id", "left").withColumnRenamed("doc_id", "__doc"), "marked")
+    mark = F.struct("start", "size", "first_doc_id", "first_start")
+    # No more than the chunks of one text.
+    marks = repeated_chunks(docs, spec).groupBy("doc_id").agg(F.collect_set(mark).alias("marks"))
+    runs = stage(marks.mapInArrow(_run_finder(spec), RUNS), "runs")
+    found = compared_runs(docs, runs, spec).groupBy(F.col("doc_id").alias("__doc"))
+    found = found.agg(F.collect_list(F.struct("first_doc_id", "runs")).alias("__spans"))
+    found = stage(found, "found")
     others = [c for c in docs.columns if c != "text"]
-    joined = docs.join(marks, F.col("doc_id").cast("long") == F.col("__doc"), "left").select(
-        *[F.col(f"`{c}`") for c in others], F.col("text").alias("__text"), "__marks", "__steps"
+    joined = docs.join(found, F.col("doc_id").cast("long") == F.col("__doc"), "left").select(
+        *[F.col(f"`{c}`") for c in others], F.col("text").alias("__text"), "__spans"
     )
     fields = [f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in others]
-    cleaned = joined.mapInArrow(_cleaner(spec), ", ".join([*fields, "__text string", f"__marks {SPANS}"]))
+    cleaned = joined.mapInArrow(_cleaner(spec), ", ".join([*fields, "__text string", f"__spans {SPANS}"]))
     text = F.col("__text").alias("text")
     return cleaned.select(
         *[text if c == "text" else F.col(f"`{c}`") for c in docs.columns],
-        F.col("__marks").alias("removed_spans"),
+        F.col("__spans").alias("removed_spans"),
     )

@@ -139,7 +139,7 @@ def test_operator_equals_comparing_all_texts(docs):
             parts = [short_words(draw, draw.randrange(3, 40)) for _ in range(3)]
             parts.insert(1, draw.choice(passages))
             parts.insert(3, draw.choice(phrases))
-            rows.append((i, draw.choice((" ", "\n", "Q" if seed > 1 else ". ", " ")).join(parts)))
+            rows.append((i, draw.choice((" ", "\n", "Q" if seed > 1 else "\t", " ")).join(parts)))
         want = without_passages(rows)
         for r in chunks.deduplicate_passages(docs(rows)).collect():
             spans += dict(rows)[r.doc_id] != want[r.doc_id]
@@ -162,7 +162,7 @@ def test_passages_of_51_short_words_are_found():
     assert found >= 0.97 * 600
 
 
-def test_long_agreements_take_more_rounds(docs):
+def test_long_agreements_over_chunks_of_other_documents(docs):
     """Beyond a run the texts agree for thousands of bytes whose chunks other documents have."""
     long = text(11, 1500)
     pieces = [long[k : k + 400] for k in range(0, len(long), 400)]
@@ -170,9 +170,6 @@ def test_long_agreements_take_more_rounds(docs):
     rows += [(100, "Start " + long + " end"), (200, "Other " + long + " finish"), (201, "Third " + long + " stop")]
     found = run(docs(rows))
     assert found[200].text == "Other  finish" and found[201].text == "Third  stop"
-    spec = chunks.ChunkSpec(slice=7)
-    again = {r.doc_id: r.text for r in chunks.deduplicate_passages(docs(rows), spec).collect()}
-    assert again == {i: r.text for i, r in found.items()}
 
 
 def run(frame):
