@@ -39,9 +39,9 @@ class ChunkSpec:
 
     @property
     def beyond(self) -> int:
-        """How far two texts can agree beyond the last chunk that is a repeat: a chunk more,
-        and the bytes on which its end depends."""
-        return self.most + self.reach + MEMORY
+        """How far two texts can agree beyond the chunk after the last repeat: the bytes on
+        which its cut depends."""
+        return self.reach + MEMORY
 
 
 MEMORY = 16
@@ -106,8 +106,9 @@ def _chunker(spec: ChunkSpec):
             for row, data, offsets in words.text_pieces(batch.column(1)):
                 ids = batch.column(0)[row : row + len(offsets) - 1].cast(pa.int64())
                 starts, ends = chunk_bounds(data, offsets, spec)
+                sizes = np.concatenate([[0], ends - starts, [0]])
                 # Only the first and last chunk of a text are as short: too common to tell anything.
-                telling = ends - starts >= spec.reach
+                telling = np.flatnonzero(ends - starts >= spec.reach)
                 starts, ends = starts[telling], ends[telling]
                 owner = np.searchsorted(offsets, starts, "right") - 1
                 local = starts - offsets[:-1][owner]
@@ -115,17 +116,20 @@ def _chunker(spec: ChunkSpec):
                     ids.take(pa.array(owner)),
                     pa.array(local.astype(np.int32)),
                     pa.array((ends - starts).astype(np.int32)),
+                    pa.array(sizes[telling].astype(np.int16)),
+                    pa.array(sizes[telling + 2].astype(np.int16)),
                     pa.array(_digests(data, starts, ends)),
                 ]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "start", "size", "digest"])
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "start", "size", "left", "right", "digest"])
 
     return cut
 
 
 def chunk_table(docs: DataFrame, spec: ChunkSpec = ChunkSpec()) -> DataFrame:
-    """(doc_id, start, size, digest): the chunks of every text, with 64-bit digests."""
+    """(doc_id, start, size, left, right, digest): the chunks of every text, with the sizes of
+    the chunks beside them and 64-bit digests."""
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
-        _chunker(spec), "doc_id long, start int, size int, digest long"
+        _chunker(spec), "doc_id long, start int, size int, left short, right short, digest long"
     )
 
 
@@ -145,7 +149,7 @@ def spread_join(rows: DataFrame, table: DataFrame, keys: list[str], total: int)
 
 
 def repeated_chunks(docs: DataFrame, spec: ChunkSpec = ChunkSpec()) -> DataFrame:
-    """(doc_id, start, size, digest, first_doc_id, first_start): chunks that a document with a
+    """The rows of :func:`chunk_table` with (first_doc_id, first_start): chunks that a document with a
     smaller id has, with their first place in the first such document."""
     chunks = stage(chunk_table(docs.where("doc_id IS NOT NULL"), spec), "chunks")
     place = F.struct(F.col("doc_id").alias("first_doc_id"), F.col("start").alias("first_start"))
@@ -162,20 +166,18 @@ def runs_of(marks: list[dict], spec: ChunkSpec) -> Iterator[tuple[int, int, int,
     alignment, and how many bytes before and after the run are to be compared.
 
     What two texts share beyond a run has chunks that are repeats, too, if of yet earlier
-    documents. So it ends soon after the neighbouring repeats of any document do, or where
-    the next run on the same alignment begins."""
-    edges: dict[int, int] = {}
-    for start, end in sorted({(m["start"], m["start"] + m["size"]) for m in marks}):
-        edges[start] = end
-    region: dict[int, tuple[int, int]] = {}
-    begin = last = None
-    for start, end in [*edges.items(), (None, None)]:
-        if start is None or start != last:
-            if begin is not None:
-                region[begin] = begin, last
-            begin = start
+    documents. So it ends in or soon after the first chunk beyond the neighbouring repeats of any
+    document, or where the next run on the same alignment begins."""
+    bounds: list[list[int]] = []
+    starts: list[int] = []
+    last = None
+    for start, end, left, right in sorted({(m["start"], m["start"] + m["size"], m["left"], m["right"]) for m in marks}):
+        if start == last:
+            bounds[-1][1] = end + right + spec.beyond
+        else:
+            starts.append(start)
+            bounds.append([start - left - spec.beyond, end + right + spec.beyond])
         last = end
-    bounds, starts = sorted(region.values()), sorted(region)
     runs: list[list[int]] = []
     for source, shift, start, size in sorted(
         (m["first_doc_id"], m["start"] - m["first_start"], m["start"], m["size"]) for m in marks
@@ -186,7 +188,6 @@ def runs_of(marks: list[dict], spec: ChunkSpec) -> Iterator[tuple[int, int, int,
             runs.append([start, start + size, source, shift])
     for k, (start, end, source, shift) in enumerate(runs):
         low, high = bounds[bisect_right(starts, start) - 1]
-        low, high = low - spec.beyond, high + spec.beyond
         if k and runs[k - 1][2:] == [source, shift]:
             low = max(low, runs[k - 1][1])
         if k + 1 < len(runs) and runs[k + 1][2:] == [source, shift]:
@@ -212,22 +213,23 @@ def _run_finder(spec: ChunkSpec):
     return find
 
 
-SLICES = "doc_id long, start int, stop int, before binary, after binary, check long"
+# The run, then the bytes before and after it and the hash of what it holds.
+SLICES = RUNS + ", before binary, after binary, check long"
 
 
 def _slicer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The bytes around places of a text, those before them the nearest first, and the hash
-    of what the places hold."""
+    """The bytes around runs of a text, those before them the nearest first."""
     names = [f.split()[0] for f in SLICES.split(", ")]
-    kinds = (pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.int64())
+    of = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary()}
+    kinds = [of[f.split()[1]] for f in SLICES.split(", ")]
     for batch in words.row_slices(batches):
-        texts = batch.column(1).cast(pa.binary()).to_pylist()
         out = []
-        for doc, text, places in zip(batch.column(0).to_pylist(), texts, batch.column(2).to_pylist()):
-            for p in places:
-                a, b = p["start"], p["stop"]
-                before = text[max(a - p["left"], 0) : a][::-1]
-                out.append((doc, a, b, before, text[b : b + p["right"]], crc32(text[a:b])))
+        texts = batch.column(1).cast(pa.binary()).to_pylist()
+        for doc, text, runs in zip(batch.column(0).to_pylist(), texts, batch.column(2).to_pylist()):
+            for r in runs:
+                a, b = r["start"], r["stop"]
+                before, after = text[max(a - r["left"], 0) : a][::-1], text[b : b + r["right"]]
+                out.append((doc, *r.values(), before, after, crc32(text[a:b])))
         columns = list(zip(*out)) or [()] * len(kinds)
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
 
@@ -271,26 +273,35 @@ def _comparer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def compared_runs(docs: DataFrame, runs: DataFrame, spec: ChunkSpec) -> DataFrame:
     """The runs of ``runs`` compared with the first document's text; those alignments are left
     out that have too few bytes for ``run_words`` words."""
-    own = runs.select("doc_id", "start", "stop", "left", "right")
-    first = runs.select("first_doc_id", "first_start", "first_stop", "left", "right")
-    place = ["doc_id", "start", "stop"]
-    wanted = own.union(first).groupBy(*place).agg(F.max("left").alias("left"), F.max("right").alias("right"))
-    # A text's places are a few for each of its chunks.
-    asked = wanted.groupBy("doc_id").agg(F.collect_list(F.struct("start", "stop", "left", "right")).alias("places"))
+    place = ["first_doc_id", "first_start", "first_stop"]
+    columns = ["start", "stop", "first_doc_id", "first_start", "first_stop", "left", "right"]
+    none = [F.lit(None).cast(k).alias(c) for c, k in zip(place, ("long", "int", "int"))]
+    wanted = runs.groupBy(*place).agg(
+        F.max("left").alias("left"), F.max("right").alias("right"), F.count(F.lit(1)).alias("n")
+    )
+    first = wanted.select(
+        F.col("first_doc_id").alias("doc_id"), F.col("first_start").alias("start"), F.col("first_stop").alias("stop"),
+        *none, "left", "right",
+    )
+    # A text's own runs, and those for which it is the first: a few for each of its chunks.
+    asked = runs.select("doc_id", *columns).union(first).groupBy("doc_id")
+    asked = stage(asked.agg(F.collect_list(F.struct(*columns)).alias("runs")), "asked")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("text IS NOT NULL")
-    texts = texts.join(stage(asked, "places"), "doc_id").select("doc_id", "text", "places")
-    slices = stage(texts.mapInArrow(_slicer, SLICES), "slices").repartition(*place).distinct()
-    counts = runs.groupBy("first_doc_id", "first_start", "first_stop").agg(F.count(F.lit(1)).alias("n"))
-    others = slices.toDF("first_doc_id", "first_start", "first_stop", "other_before", "other_after", "other_check")
-    others = others.join(counts, ["first_doc_id", "first_start", "first_stop"])
-    both = runs.join(slices, place)
-    both = spread_join(both, others, ["first_doc_id", "first_start", "first_stop"], runs.count())
-    both = both.select(
-        *place, "first_doc_id", "first_start", "left", "right",
+    texts = texts.join(asked, "doc_id").select("doc_id", "text", "runs")
+    slices = stage(texts.mapInArrow(_slicer, SLICES), "slices")
+    own = slices.where("first_doc_id IS NOT NULL")
+    others = slices.where("first_doc_id IS NULL").select(
+        *[F.col(c).alias(f"first_{c}") for c in ("doc_id", "start", "stop")],
+        F.col("before").alias("other_before"), F.col("after").alias("other_after"), F.col("check").alias("other_check"),
+    )
+    others = others.repartition(*place).distinct().join(wanted.select(*place, "n"), place)
+    both = spread_join(own, others, place, runs.count()).select(
+        "doc_id", "start", "stop", "first_doc_id", "first_start", "left", "right",
         "before", "after", "check", "other_before", "other_after", "other_check",
     )
     found = both.mapInArrow(_comparer, FOUND)
-    by_alignment = found.groupBy("doc_id", "first_doc_id", "shift")
+    # A row that is repeated gives the same runs again.
+    by_alignment = found.distinct().groupBy("doc_id", "first_doc_id", "shift")
     run = F.struct("start", "stop", "before", "after", "cut_before", "cut_after", "check", "check_before", "check_after")
     held = F.sum(F.col("stop") - F.col("start") + F.col("before") + F.col("after"))
     whole = by_alignment.agg(F.collect_list(run).alias("runs"), held.alias("held"))
@@ -394,7 +405,7 @@ def deduplicate_passages(docs: DataFrame, spec: ChunkSpec = ChunkSpec()) -> Data
     replaced.
     """
     docs = docs.drop("removed_spans")
-    mark = F.struct("start", "size", "first_doc_id", "first_start")
+    mark = F.struct("start", "size", "left", "right", "first_doc_id", "first_start")
     # No more than the chunks of one text.
     marks = repeated_chunks(docs, spec).groupBy("doc_id").agg(F.collect_set(mark).alias("marks"))
     runs = stage(marks.mapInArrow(_run_finder(spec), RUNS), "runs")
