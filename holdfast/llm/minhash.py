@@ -9,9 +9,9 @@
    known to be connected are compared exactly.
 4. Connected components of the confirmed links are the groups.
 
-Crowded bands and large families are cut into blocks of ``block`` members, and each pair of
-blocks is one group of work, so no task holds more than two blocks however large a group
-of copies is; only links that join something are returned, not all pairs.
+Crowded bands and large families are compared in blocks (:mod:`holdfast.llm.blocks`): first
+inside random blocks, then only what is not connected yet, so a family of copies costs in
+proportion to its size and no task holds more than a few blocks.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from holdfast.llm import words
-from holdfast.llm.components import connected
+from holdfast.llm.blocks import linked_components
 from holdfast.sources.staging import stage
 
 
@@ -129,130 +129,49 @@ def _shingler(spec: NearDupSpec) -> Callable:
     return cut
 
 
-def _in_blocks(members: DataFrame, block: int) -> DataFrame:
-    """Members (key, id, size, payload) dealt to groups (key, i, j): one group per pair of
-    blocks of the same key. A key with one block makes the group (key, 0, 0)."""
-    count = F.ceil(F.col("size") / block).cast("int")
-    members = members.withColumn("n", count).withColumn("own", F.pmod(F.xxhash64("id"), F.col("n")).cast("int"))
-    return members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n") - 1))).select(
-        "key",
-        F.least("own", "other").alias("i"),
-        F.greatest("own", "other").alias("j"),
-        "own",
-        "id",
-        *[c for c in members.columns if c not in ("key", "id", "size", "n", "own")],
-    )
-
-
-def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, pa.Table]]:
-    """Runs of equal (key, i, j) in a sorted stream of batches."""
-    held: list[pa.RecordBatch] = []
-    last = None
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        ends = np.column_stack([batch.column(k).to_numpy(zero_copy_only=False) for k in range(3)])
-        cuts = np.flatnonzero((ends[1:] != ends[:-1]).any(axis=1)) + 1
-        bounds = [0, *cuts.tolist(), batch.num_rows]
-        for a, b in zip(bounds, bounds[1:]):
-            key = tuple(ends[a].tolist())
-            if key != last and held:
-                yield last, pa.Table.from_batches(held)
-                held = []
-            last = key
-            held.append(batch.slice(a, b - a))
-    if held:
-        yield last, pa.Table.from_batches(held)
-
-
-class _Forest:
-    """Union-find over positions; the root of a tree is its smallest position."""
-
-    def __init__(self, size: int):
-        self.parent = list(range(size))
-
-    def root(self, x: int) -> int:
-        while self.parent[x] != x:
-            self.parent[x] = self.parent[self.parent[x]]
-            x = self.parent[x]
-        return x
-
-    def join(self, x: int, y: int) -> None:
-        x, y = self.root(x), self.root(y)
-        self.parent[max(x, y)] = min(x, y)
-
-
-def _candidates(sigs: np.ndarray, own: np.ndarray, same_block: bool, spec: NearDupSpec) -> tuple:
-    """Pairs that no batch of signature values rules out, with their numbers of matches."""
+def near_signatures(table: pa.Table, spec: NearDupSpec) -> Callable:
+    """``similar`` by batches of signature values: a pair goes as soon as a batch rules it out."""
     width = spec.bands * spec.rows
     edges = [width * k // spec.batches for k in range(spec.batches + 1)]
     bounds = least_matches(spec)
-    left, right, found = [], [], []
-    for x in range(len(sigs) - 1):
-        y = np.arange(x + 1, len(sigs))
-        if not same_block:
-            y = y[own[y] != own[x]]
-        matches = np.zeros(len(y), np.int32)
+    sigs = np.stack([np.frombuffer(s, "<u2") for s in table.column("sig").to_pylist()])
+
+    def similar(x: int, ys: np.ndarray) -> np.ndarray:
+        left, matches = np.arange(len(ys)), np.zeros(len(ys), np.int32)
         for (a, b), least in zip(zip(edges, edges[1:]), bounds):
-            matches += (sigs[y, a:b] == sigs[x, a:b]).sum(axis=1, dtype=np.int32)
+            matches += (sigs[ys[left], a:b] == sigs[x, a:b]).sum(axis=1, dtype=np.int32)
             keep = matches >= least
-            y, matches = y[keep], matches[keep]
-            if not len(y):
+            left, matches = left[keep], matches[keep]
+            if not len(left):
                 break
-        left.append(np.full(len(y), x)), right.append(y), found.append(matches)
-    if not left:
-        return np.zeros(0, int), np.zeros(0, int), np.zeros(0, int)
-    return np.concatenate(left), np.concatenate(right), np.concatenate(found)
-
-
-def _linker(spec: NearDupSpec, exact: bool) -> Callable:
-    """Links within each group: of candidates, or of pairs confirmed on their full sets."""
-
-    def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        a: list[int] = []
-        b: list[int] = []
-        for (_, i, j), table in _groups(batches):
-            table = table.sort_by("id")
-            ids = table.column("id").to_numpy()
-            own = table.column("own").to_numpy()
-            sigs = np.stack([np.frombuffer(s, "<u2") for s in table.column("sig").to_pylist()])
-            left, right, matches = _candidates(sigs, own, i == j, spec)
-            forest = _Forest(len(ids))
-            if exact:
-                sets = [np.frombuffer(s, np.uint64) for s in table.column("held").to_pylist()]
-                for p in np.argsort(-matches, kind="stable"):
-                    x, y = int(left[p]), int(right[p])
-                    if forest.root(x) == forest.root(y):
-                        continue
-                    small, large = sorted((sets[x], sets[y]), key=len)
-                    if 100 * len(small) < spec.percent * len(large):
-                        continue
-                    at = np.searchsorted(large, small)
-                    shared = int((large[np.minimum(at, len(large) - 1)] == small).sum())
-                    if 100 * shared >= spec.percent * (len(small) + len(large) - shared):
-                        forest.join(x, y)
-            else:
-                for x, y in zip(left.tolist(), right.tolist()):
-                    forest.join(x, y)
-            for x in range(len(ids)):
-                if (r := forest.root(x)) != x:
-                    a.append(int(ids[x])), b.append(int(ids[r]))
-            if len(a) >= 4096:
-                yield pa.RecordBatch.from_pydict({"a": a, "b": b})
-                a, b = [], []
-        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
-
-    return link
-
-
-def _links(members: DataFrame, spec: NearDupSpec, exact: bool) -> DataFrame:
-    groups = _in_blocks(members, spec.block)
-    dealt = groups.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "id")
-    return dealt.mapInArrow(_linker(spec, exact), "a long, b long")
+        fit = np.zeros(len(ys), bool)
+        fit[left] = True
+        return fit
+
+    return similar
+
+
+def near_sets(table: pa.Table, spec: NearDupSpec) -> Callable:
+    """``similar`` by the signatures, then exactly by the full sets."""
+    maybe = near_signatures(table, spec)
+    sets = [np.frombuffer(s, np.uint64) for s in table.column("held").to_pylist()]
+
+    def similar(x: int, ys: np.ndarray) -> np.ndarray:
+        fit = maybe(x, ys)
+        for k in np.flatnonzero(fit).tolist():
+            small, large = sorted((sets[x], sets[ys[k]]), key=len)
+            fit[k] = False
+            if 100 * len(small) >= spec.percent * len(large):
+                at = np.searchsorted(large, small)
+                shared = int((large[np.minimum(at, len(large) - 1)] == small).sum())
+                fit[k] = 100 * shared >= spec.percent * (len(small) + len(large) - shared)
+        return fit
+
+    return similar
 
 
 def near_duplicates(docs: DataFrame, spec: NearDupSpec = NearDupSpec()) -> DataFrame:
-    """(doc_id, n_shingles, class_id, component_id, kept) for each row of ``docs`` (doc_id, text).
+    """(doc_id, n_shingles, component_id, kept, class_id) for each row of ``docs`` (doc_id, text).
 
     ``class_id`` is the smallest doc_id with the same shingle set, ``component_id`` the
     smallest reachable through links. A null or blank text has no shingles and no links: it
@@ -277,19 +196,23 @@ def near_duplicates(docs: DataFrame, spec: NearDupSpec = NearDupSpec()) -> DataF
     sigs = classes.where("id IS NOT NULL").select("id", "digest", "sig")
     banded = classes.where("id IS NOT NULL").select("id", F.explode("keys").alias("key"))
     sizes = banded.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-    candidates = _links(banded.join(sizes, "key").join(sigs, "id"), spec, exact=False)
-    families = stage(connected(candidates), "families")
+    crowded = banded.join(sizes, "key").withColumnRenamed("key", "group")
+    candidates = sigs.select("id", "sig")
+    families = stage(
+        linked_components(crowded, candidates, lambda t: near_signatures(t, spec), spec.block), "families"
+    )
 
     sizes = families.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
     members = families.join(sizes, "component").select(
-        F.col("component").alias("key"), F.col("node").alias("id"), "size"
+        F.col("component").alias("group"), F.col("node").alias("id"), "size"
     )
     texts = docs.join(members.select(F.col("id").alias("doc_id")), "doc_id")
     held = texts.mapInArrow(_shingler(spec), "id long, digest binary, held binary")
     held = held.groupBy("id", "digest").agg(F.first("held").alias("held"))
-    members = members.join(held.join(sigs, ["id", "digest"]).drop("digest"), "id")
-    links = stage(_links(members, spec, exact=True), "links")
-    components = stage(connected(links), "components")
+    held = stage(held.join(sigs, ["id", "digest"]).drop("digest"), "sets")
+    components = stage(
+        linked_components(members, held, lambda t: near_sets(t, spec), spec.block), "components"
+    )
 
     known = classes.select("digest", F.col("id").alias("class_id")).join(
         components.withColumnsRenamed({"node": "class_id", "component": "linked"}), "class_id", "left"
@@ -299,7 +222,7 @@ def near_duplicates(docs: DataFrame, spec: NearDupSpec = NearDupSpec()) -> DataF
     return found.select(
         "doc_id",
         "n_shingles",
-        F.coalesce("class_id", "doc_id").alias("class_id"),
         whole.alias("component_id"),
         F.col("doc_id").eqNullSafe(whole).alias("kept"),
+        F.coalesce("class_id", "doc_id").alias("class_id"),
     )
