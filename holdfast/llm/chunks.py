@@ -151,7 +151,8 @@ def spread_join(rows: DataFrame, table: DataFrame, keys: list[str], total: int)
 def repeated_chunks(docs: DataFrame, spec: ChunkSpec = ChunkSpec()) -> DataFrame:
     """The rows of :func:`chunk_table` with (first_doc_id, first_start): chunks that a document with a
     smaller id has, with their first place in the first such document."""
-    chunks = stage(chunk_table(docs.where("doc_id IS NOT NULL"), spec), "chunks")
+    # Cut twice rather than written: the chunks are half as large as the texts.
+    chunks = chunk_table(docs.where("doc_id IS NOT NULL"), spec)
     place = F.struct(F.col("doc_id").alias("first_doc_id"), F.col("start").alias("first_start"))
     found = chunks.groupBy("digest").agg(
         F.min(place).alias("first"), F.max("doc_id").alias("last"), F.count(F.lit(1)).alias("n")
