@@ -206,7 +206,8 @@ def near_duplicates(docs: DataFrame, spec: NearDupSpec = NearDupSpec()) -> DataF
     members = families.join(sizes, "component").select(
         F.col("component").alias("group"), F.col("node").alias("id"), "size"
     )
-    texts = docs.join(members.select(F.col("id").alias("doc_id")), "doc_id")
+    # Written first, so that Spark knows its size before it would shuffle the texts.
+    texts = docs.join(stage(families.select(F.col("node").alias("doc_id")), "wanted"), "doc_id")
     held = texts.mapInArrow(_shingler(spec), "id long, digest binary, held binary")
     held = held.groupBy("id", "digest").agg(F.first("held").alias("held"))
     held = stage(held.join(sigs, ["id", "digest"]).drop("digest"), "sets")
