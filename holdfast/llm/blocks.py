@@ -97,18 +97,22 @@ def _links(dealt: DataFrame, payload: DataFrame, judge: Callable) -> DataFrame:
     return rows.mapInArrow(_linker(judge), "a long, b long")
 
 
-def linked_components(members: DataFrame, payload: DataFrame, judge: Callable, block: int) -> DataFrame:
+def linked_components(
+    members: DataFrame, payload: DataFrame, judge: Callable, block: int, overlap: bool = True
+) -> DataFrame:
     """(node, component) of all links inside the groups of ``members``.
 
     ``members`` has (group, id, size), one row per member, with the same size all over a
     group: its number of members, or more where members are heavy. ``payload`` has one row
     per id. ``judge(table)`` gets the payload of one block and returns ``similar`` of
-    :func:`links_of`. Nodes without a link are left out.
+    :func:`links_of`. Without ``overlap`` members are dealt once, which is enough where each is in
+    many groups. Nodes without a link are left out.
     """
     parts = F.ceil(F.col("size") / block).cast("int")
     dealt = lambda seed: F.pmod(F.xxhash64("id", "group", F.lit(seed)), parts).cast("int")
-    both = F.when(parts == 1, F.array(F.lit(0))).otherwise(F.array_distinct(F.array(dealt(1), dealt(2))))
-    first = members.select("group", F.explode(both).alias("part"), "id", F.col("id").alias("comp"), F.lit(True).alias("home"))
+    blocks = F.array_distinct(F.array(dealt(1), dealt(2))) if overlap else F.array(dealt(1))
+    blocks = F.when(parts == 1, F.array(F.lit(0))).otherwise(blocks)
+    first = members.select("group", F.explode(blocks).alias("part"), "id", F.col("id").alias("comp"), F.lit(True).alias("home"))
     found = connected(_links(first, payload, judge))
 
     large = members.where(F.col("size") > block)

@@ -198,9 +198,11 @@ def near_duplicates(docs: DataFrame, spec: NearDupSpec = NearDupSpec()) -> DataF
     sizes = banded.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     crowded = banded.join(sizes, "key").withColumnRenamed("key", "group")
     candidates = sigs.select("id", "sig")
-    families = stage(
-        linked_components(crowded, candidates, lambda t: near_signatures(t, spec), spec.block), "families"
+    # The bands overlap, so their blocks need not.
+    families = linked_components(
+        crowded, candidates, lambda t: near_signatures(t, spec), spec.block, overlap=False
     )
+    families = stage(families, "families")
 
     sizes = families.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
     members = families.join(sizes, "component").select(
