@@ -4,10 +4,11 @@ A token folder holds, for each part k,
 
 * ``part-k.bin``: the ids as little-endian unsigned integers, 16 bits wide where the
   vocabulary allows it, else 32,
-* ``part-k.idx``: per document two little-endian 64-bit integers, its doc_id (the smallest
-  64-bit number stands for null) and the place in the part at which it begins,
+* ``part-k.idx``: per document two little-endian 64-bit integers, its doc_id (0 for null) and
+  the place in the part at which it begins,
 
-and ``manifest.json`` with the width, the end id and each part's counts. Parts follow each
+and ``manifest.json`` with the width, the end id and each part's counts. Documents without an
+id come first, so a count of them in each part tells them from the others. Parts follow each
 other in doc_id order; their bases are the prefix sums of the counts, so each part is
 written without waiting for another and the driver sees one row per part.
 
@@ -21,9 +22,11 @@ from __future__ import annotations
 import json
 import os
 import re
+import struct
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -32,16 +35,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-NULL_ID = -(1 << 63)
 # Spans that a byte-level tokenizer's own splitting never reaches across: runs of white
 # space but for the last one, a run of letters before ASCII punctuation or white space, any
 # other run without white space.
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
 _SPANS = re.compile(rf"\s+(?!\S)| ?[{_LETTERS}]++(?![^\s!-/:-@\[-`{{-~])| ?\S+|\s")
-_WORD = re.compile(rf" ?[{_LETTERS}]+")
-# Characters that Python's and the tokenizer's idea of white space disagree about, and
-# the brackets of special tokens.
-_UNSURE = re.compile("[\x1c-\x1f]|<\\|")
+# Spans that are one word of the tokenizer's own splitting: letters, digits or punctuation.
+_WORD = re.compile(rf" ?(?:[{_LETTERS}]+|[0-9]+|[!-/:-@\[-`{{-~]+)")
+# Characters that Python's and the tokenizer's idea of white space disagree about.
+_UNSURE = re.compile("[\x1c-\x1f]")
 
 
 def _byte_letters() -> list[str]:
@@ -52,13 +54,28 @@ def _byte_letters() -> list[str]:
     return [letters[b] for b in range(256)]
 
 
+def _splits_as_known(tokenizer) -> bool:
+    """Whether this is a byte-level BPE whose spans ``_SPANS`` describes."""
+    told = json.loads(tokenizer.to_str())
+    split, model = told["pre_tokenizer"] or {}, told["model"]
+    return (
+        told["normalizer"] is None
+        and split.get("type") == "ByteLevel"
+        and not split.get("add_prefix_space")
+        and split.get("use_regex", True)
+        and model.get("type") == "BPE"
+        and not any(model.get(k) for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix"))
+    )
+
+
 class SpanEncoder(dict):
-    """Ids of texts by a byte-level tokenizer of the tokenizers library, span by span.
+    """Ids of texts by a tokenizer of the tokenizers library.
 
-    Spans are encoded once and remembered, up to ``most`` of them.
+    Texts for a byte-level BPE are cut into spans, which are encoded once and remembered, up
+    to ``most`` of them. Tokenizers that split otherwise, or normalise, get whole texts.
     """
 
-    def __init__(self, path: str, most: int = 600_000):
+    def __init__(self, path: str, most: int = 1_000_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -67,15 +84,19 @@ class SpanEncoder(dict):
         self.width = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
         self.most = most
         self.letters = str.maketrans({chr(b): c for b, c in enumerate(_byte_letters())})
+        self.known = _splits_as_known(self.tokenizer)
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+
+    def packed(self, ids: list[int]) -> bytes:
+        return struct.pack(f"<{len(ids)}{'H' if self.width == '<u2' else 'I'}", *ids)
 
     def whole(self, text: str) -> bytes:
-        ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-        return np.array(ids, self.width).tobytes()
+        return self.packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
     def __missing__(self, span: str) -> bytes:
         if _WORD.fullmatch(span):
             shown = span.encode().decode("latin-1").translate(self.letters)
-            ids = np.array([t.id for t in self.model.tokenize(shown)], self.width).tobytes()
+            ids = self.packed([t.id for t in self.model.tokenize(shown)])
         else:
             ids = self.whole(span)
         if len(span) <= 64:
@@ -83,13 +104,19 @@ class SpanEncoder(dict):
         return ids
 
     def ids(self, text: str) -> bytes:
-        if _UNSURE.search(text):
+        if not self.known or _UNSURE.search(text) or any(a in text for a in self.added):
             return self.whole(text)
         if len(self) > self.most:
             self.clear()
         return b"".join(map(self.__getitem__, _SPANS.findall(text)))
 
 
+@lru_cache(maxsize=1)
+def _encoder(path: str) -> SpanEncoder:
+    """A worker's encoder, which keeps what it has encoded from task to task."""
+    return SpanEncoder(path)
+
+
 def _opened(uri: str) -> tuple[fs.FileSystem, str]:
     uri = re.sub("^file:/+", "/", uri)
     return (fs.LocalFileSystem(), uri) if uri.startswith("/") else fs.FileSystem.from_uri(uri)
@@ -102,12 +129,13 @@ def _writer(folder: str, tokenizer: str, end_id: int):
         files, root = _opened(folder)
         names = [f"{root}/part-{part:06d}.{kind}" for kind in ("bin", "idx")]
         drafts = [f"{n}.{context.taskAttemptId()}" for n in names]
-        encoder, docs, tokens = None, 0, 0
+        docs, tokens, nulls = 0, 0, 0
         with files.open_output_stream(drafts[0]) as out, files.open_output_stream(drafts[1]) as index:
             for batch in batches:
-                encoder = encoder or SpanEncoder(tokenizer)
+                encoder = _encoder(tokenizer)
                 end = np.array([end_id], encoder.width).tobytes()
-                ids = batch.column(0).fill_null(NULL_ID).to_numpy(zero_copy_only=False)
+                nulls += batch.column(0).null_count
+                ids = batch.column(0).fill_null(0).to_numpy(zero_copy_only=False)
                 rows = np.empty((len(ids), 2), "<i8")
                 rows[:, 0] = ids
                 for k, text in enumerate(batch.column(1).to_pylist()):
@@ -119,14 +147,14 @@ def _writer(folder: str, tokenizer: str, end_id: int):
                 docs += len(ids)
         for draft, name in zip(drafts, names):
             files.move(draft, name)
-        yield pa.RecordBatch.from_pydict({"part": [part], "docs": [docs], "tokens": [tokens]})
+        yield pa.RecordBatch.from_pydict({"part": [part], "docs": [docs], "tokens": [tokens], "nulls": [nulls]})
 
     return write
 
 
 @dataclass(frozen=True)
 class TokenFolder:
-    """A written token folder: width of an id, end id, and (part, docs, tokens, base) rows."""
+    """A written token folder: width of an id, end id, and (part, docs, tokens, base, nulls) rows."""
 
     folder: str
     width: str
@@ -139,7 +167,8 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int) -> T
 
     Documents are in ascending doc_id order, null ids first; equal ids in the order of a
     hash of their texts. A null text is an empty one: just the end id. Other columns are
-    ignored. An empty table makes a folder without tokens.
+    ignored. An empty table makes a folder without tokens. ``tokenizer`` is any file of the
+    tokenizers library; special tokens' strings in a text are taken as it takes them.
     """
     spark = docs.sparkSession
     files, root = _opened(folder)
@@ -149,14 +178,14 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int) -> T
     keyed = keyed.withColumn("row", F.monotonically_increasing_id())
     ordered = keyed.repartitionByRange("doc_id", "h", "row").sortWithinPartitions("doc_id", "h", "row")
     counts = ordered.select("doc_id", "text").mapInArrow(
-        _writer(folder, tokenizer, end_id), "part long, docs long, tokens long"
+        _writer(folder, tokenizer, end_id), "part long, docs long, tokens long, nulls long"
     )
     from tokenizers import Tokenizer
 
     size = Tokenizer.from_file(tokenizer).get_vocab_size()
     parts, base = [], 0
     for row in sorted(counts.collect()):
-        parts.append((row.part, row.docs, row.tokens, base))
+        parts.append((row.part, row.docs, row.tokens, base, row.nulls))
         base += row.tokens
     made = TokenFolder(folder, "<u2" if size <= 1 << 16 else "<u4", end_id, parts)
     with files.open_output_stream(f"{root}/manifest.json") as out:
@@ -183,12 +212,12 @@ def _mapped(files: fs.FileSystem, path: str, kind: str) -> np.ndarray:
 def documents_of(tokens: TokenFolder, part: int) -> Iterator[tuple[int | None, int, np.ndarray]]:
     """(doc_id, start in the whole sequence, ids with the end id) of a part's documents."""
     files, root = _opened(tokens.folder)
-    base = next(p[3] for p in tokens.parts if p[0] == part)
+    base, nulls = next(p[3:] for p in tokens.parts if p[0] == part)
     ids = _mapped(files, f"{root}/part-{part:06d}.bin", tokens.width)
     index = _mapped(files, f"{root}/part-{part:06d}.idx", "<i8").reshape(-1, 2)
     stops = np.append(index[1:, 1], len(ids))
-    for (doc, start), stop in zip(index.tolist(), stops.tolist()):
-        yield None if doc == NULL_ID else doc, base + start, ids[start:stop]
+    for row, ((doc, start), stop) in enumerate(zip(index.tolist(), stops.tolist())):
+        yield None if row < nulls else doc, base + start, ids[start:stop]
 
 
 def _reader(tokens: TokenFolder, digest: bool):

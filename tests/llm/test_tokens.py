@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import itertools
 import random
 import zlib
 
@@ -37,6 +38,39 @@ def test_spans_encode_like_whole_texts(library):
         assert np.frombuffer(encoder.ids(text), "<u2").tolist() == ids_of(library, text), repr(text)
 
 
+def test_white_space_around_spaces_is_kept_whole(library):
+    encoder = tokens.SpanEncoder(PATH, most=300)
+    texts = ["".join(t) for n in range(7) for t in itertools.product("a \n", repeat=n)]
+    for text in texts + [f"x.{t}9" for t in texts]:
+        assert np.frombuffer(encoder.ids(text), "<u2").tolist() == ids_of(library, text), repr(text)
+
+
+@pytest.mark.parametrize("name", ["word", "digits", "prefix"])
+def test_tokenizers_that_split_otherwise_get_whole_texts(library, tmp_path, name):
+    from tokenizers import Tokenizer, pre_tokenizers
+
+    if name == "word":
+        path = tokenizer_path("word_bpe_49k.json")
+    else:
+        other = Tokenizer.from_file(PATH)
+        own = pre_tokenizers.ByteLevel(add_prefix_space=name == "prefix")
+        parts = [pre_tokenizers.Digits(individual_digits=True), own] if name == "digits" else [own]
+        other.pre_tokenizer = pre_tokenizers.Sequence(parts) if len(parts) > 1 else own
+        path = str(tmp_path / "other.json")
+        other.save(path)
+    own, encoder = Tokenizer.from_file(path), tokens.SpanEncoder(path)
+    assert not encoder.known and tokens.SpanEncoder(PATH).known
+    for text in ["in 1984 and 2001", "Two words", *random_texts(300)]:
+        assert np.frombuffer(encoder.ids(text), encoder.width).tolist() == ids_of(own, text)
+
+
+def test_smallest_id_and_zero_are_not_null(spark, docs, tmp_path):
+    rows = [(-(1 << 63), "a"), (0, "b"), (None, "c"), (None, "d"), (-1, "e")]
+    made = tokens.write_tokens(docs(rows), str(tmp_path / "t"), PATH, END)
+    found = tokens.read_tokens(spark, made).orderBy("start").collect()
+    assert [r.doc_id for r in found] == [None, None, -(1 << 63), -1, 0]
+
+
 def test_files_hold_all_documents_in_order(spark, docs, library, tmp_path):
     rows = [(k * 7 % 101, t) for k, t in enumerate(random_texts(101))]
     rows += [(500, None), (501, ""), (502, "long text " * 30_000), (3, rows[0][1]), (3, rows[0][1]), (None, "no id")]
