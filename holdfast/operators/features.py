@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from holdfast.functions.numeric import flag, index, ratio
 from holdfast.operators.panel import missing_cells
+from holdfast.operators.summary import totals
 from holdfast.schema import (
     CATEGORICAL_FEATURES,
     CUSTOMER,
@@ -112,17 +113,24 @@ def build_feature_table(panel: DataFrame, months: list[str] | None = None) -> Da
 def summarise_features(features: DataFrame) -> DataFrame:
     """One row of diagnostics, feature counts and rows per split included."""
     require_columns(features, FEATURE_TABLE_COLUMNS, "feature table")
-    return features.agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.count_distinct(CUSTOMER).alias("customers"),
-        F.count_distinct(MONTH).alias("months"),
+    counted = totals(
+        features,
+        {
+            "positives": F.col(TARGET),
+            "labelled": flag(F.col(TARGET).isNotNull()),
+            "missing_values": missing_cells(features),
+            **{f"{s}_rows": flag(F.col(SPLIT) == s) for s in SPLITS},
+        },
+    )
+    return counted.select(
+        "rows", "customers", "months",
         F.lit(len(features.columns)).alias("columns"),
         F.lit(len(FEATURES)).alias("features"),
         F.lit(len(NUMERIC_FEATURES)).alias("numeric_features"),
         F.lit(len(CATEGORICAL_FEATURES)).alias("categorical_features"),
-        F.avg(TARGET).alias("target_rate"),
-        F.coalesce(F.sum(missing_cells(features)), F.lit(0)).alias("missing_values"),
-        *[F.count_if(F.col(SPLIT) == s).alias(f"{s}_rows") for s in SPLITS],
+        ratio(F.col("positives"), F.col("labelled")).alias("target_rate"),
+        "missing_values",
+        *[f"{s}_rows" for s in SPLITS],
     )
 
 

@@ -15,7 +15,8 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from holdfast.functions.numeric import cents, clip, flag, index, round_even, sigmoid, total
+from holdfast.functions.numeric import cents, clip, flag, index, ratio, round_even, sigmoid, total
+from holdfast.operators.summary import totals
 from holdfast.schema import CUSTOMER, MONTH, PANEL_COLUMNS, PANEL_SCHEMA, TARGET, require_columns
 
 
@@ -381,13 +382,13 @@ def missing_cells(df: DataFrame) -> Column:
 def summarise_panel(panel: DataFrame) -> DataFrame:
     """One row: rows, customers, months, columns, target rate, missing cells."""
     require_columns(panel, PANEL_COLUMNS, "panel")
-    return panel.agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.count_distinct(CUSTOMER).alias("customers"),
-        F.count_distinct(MONTH).alias("months"),
+    counted = totals(
+        panel,
+        {"positives": F.col(TARGET), "labelled": flag(F.col(TARGET).isNotNull()), "missing_values": missing_cells(panel)},
+    )
+    return counted.select(
+        "rows", "customers", "months",
         F.lit(len(panel.columns)).alias("columns"),
-        F.avg(TARGET).alias("target_rate"),
-        F.coalesce(F.sum(missing_cells(panel)), F.lit(0)).alias("missing_values"),
+        ratio(F.col("positives"), F.col("labelled")).alias("target_rate"),
+        "missing_values",
     )
-
-

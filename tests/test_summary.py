@@ -1,0 +1,69 @@
+"""Summaries: totals equal plain counting, plans neither expand rows nor shuffle them twice."""
+
+from __future__ import annotations
+
+import random
+import re
+
+from compare import plan_of
+
+from holdfast.operators import features, panel, summary
+from holdfast.plans import catalog
+from pyspark.sql import functions as F
+
+LAYOUT = "customer_id long, snapshot_month string, points int"
+
+
+def measured(table):
+    return summary.totals(table, {"points": F.col("points"), "known": F.col("points").isNotNull().cast("int")})
+
+
+def test_totals_equal_counting(spark):
+    draw = random.Random(3)
+    months = [None, "", "1995-01", "1995-02", "1995-13", "2001-12"]
+    rows = [
+        (draw.choice([None, 1, 1, 1, 2, 3, 900]), draw.choice(months), draw.choice([None, 0, 1, 7]))
+        for _ in range(400)
+    ]
+    row = measured(spark.createDataFrame(rows, LAYOUT).repartition(5)).first()
+    assert row.asDict() == {
+        "rows": 400,
+        "customers": len({r[0] for r in rows} - {None}),
+        "months": len({r[1] for r in rows} - {None}),
+        "points": sum(r[2] or 0 for r in rows),
+        "known": sum(r[2] is not None for r in rows),
+    }
+
+
+def test_months_add_up(spark):
+    rows = [(1, "a", 1), (1, "b", 1), (2, "b", None), (None, "b", 1), (3, None, 1), (1, "a", 1)]
+    table = spark.createDataFrame(rows, LAYOUT)
+    found = {r["month"]: tuple(r)[1:] for r in summary.summed_by_month(table, {"points": F.col("points")}).collect()}
+    assert found == {"a": (2, 1, 2), "b": (3, 1, 2), None: (1, 1, 1)}
+
+
+def test_an_empty_table_has_zero_totals(spark):
+    row = measured(spark.createDataFrame([], LAYOUT)).first()
+    assert tuple(row) == (0, 0, 0, 0, 0)
+
+
+def test_summary_of_an_empty_panel(spark, data):
+    empty = catalog.panel_of(spark, data).where(F.lit(False))
+    row = panel.summarise_panel(empty).first()
+    assert (row["rows"], row["target_rate"], row["missing_values"]) == (0, None, 0)
+
+
+def test_own_columns_named_like_the_totals_do_not_clash(spark):
+    table = spark.createDataFrame([(1, "a", 5)], "customer_id long, snapshot_month string, rows int")
+    assert tuple(summary.totals(table, {"customer": F.col("rows")}).first()) == (1, 1, 1, 5)
+
+
+def test_summaries_reuse_the_partitioning_by_customer(spark, data):
+    for table, summarise in (
+        (catalog.panel_of(spark, data), panel.summarise_panel),
+        (catalog.features_of(spark, data), features.summarise_features),
+    ):
+        plan = plan_of(summarise(table))
+        assert "Expand" not in plan
+        shuffles = re.findall(r"Exchange hashpartitioning\((\w+)#", plan)
+        assert shuffles.count("customer_id") == plan_of(table).count("Exchange hashpartitioning(customer_id#")
