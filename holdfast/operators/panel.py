@@ -142,10 +142,9 @@ def customer_attributes(customer: DataFrame, nation: DataFrame) -> DataFrame:
     )
 
 
-def month_spine(customers: DataFrame, spec: PanelSpec) -> DataFrame:
-    """Every customer with every month ``m`` of the range."""
-    months = F.sequence(F.lit(1), F.lit(spec.months))
-    return customers.select(CUSTOMER, F.explode(months).alias("m")).select(
+def month_spine(dense: DataFrame, spec: PanelSpec) -> DataFrame:
+    """Keys of the dense rows: every customer with every month ``m`` of the range."""
+    return dense.select(
         CUSTOMER, "m", F.date_format(month_start(F.col("m"), spec), "yyyy-MM").alias(MONTH)
     )
 
@@ -270,14 +269,10 @@ def seasonal_effect(month_index: Column) -> Column:
     return round_even(wave, 6) + F.lit(0.0)
 
 
-def build_panel(
-    customer: DataFrame,
-    nation: DataFrame,
-    orders: DataFrame,
-    lineitem: DataFrame,
-    spec: PanelSpec = PanelSpec(),
+def dense_facts(
+    customer: DataFrame, nation: DataFrame, orders: DataFrame, lineitem: DataFrame, spec: PanelSpec
 ) -> DataFrame:
-    """The 30-column panel: one row per customer and snapshot month."""
+    """The rows all frames run over: attributes and counts of every customer and month."""
     require_columns(customer, ["c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment"], "customer")
     require_columns(nation, ["n_nationkey", "n_regionkey"], "nation")
     require_columns(
@@ -287,9 +282,20 @@ def build_panel(
     )
     require_columns(lineitem, ["l_orderkey", "l_quantity", "l_returnflag"], "lineitem")
 
-    dense = dense_activity(
+    return dense_activity(
         customer_attributes(customer, nation), monthly_activity(orders, lineitem, spec), spec
     )
+
+
+def build_panel(
+    customer: DataFrame,
+    nation: DataFrame,
+    orders: DataFrame,
+    lineitem: DataFrame,
+    spec: PanelSpec = PanelSpec(),
+) -> DataFrame:
+    """The 30-column panel: one row per customer and snapshot month."""
+    dense = dense_facts(customer, nation, orders, lineitem, spec)
     framed = trailing_frames(spread_attributes(dense), spec).where(
         F.col("m").between(spec.first_snapshot, spec.last_snapshot)
     )

@@ -56,9 +56,12 @@ def query(name: str) -> Callable[[Query], Query]:
 # Inputs ---------------------------------------------------------------------------------
 
 
+def panel_facts(spark: SparkSession, folder: str) -> list[DataFrame]:
+    return [read_fact(spark, folder, n) for n in ("customer", "nation", "orders", "lineitem")]
+
+
 def panel_of(spark: SparkSession, folder: str) -> DataFrame:
-    facts = [read_fact(spark, folder, n) for n in ("customer", "nation", "orders", "lineitem")]
-    return panel.build_panel(*facts, SPEC)
+    return panel.build_panel(*panel_facts(spark, folder), SPEC)
 
 
 def features_of(spark: SparkSession, folder: str) -> DataFrame:
@@ -155,8 +158,7 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
 
 @query("panel_spine")
 def panel_spine(spark, folder):
-    customer = read_fact(spark, folder, "customer").select(F.col("c_custkey").alias("customer_id"))
-    return panel.month_spine(customer, SPEC)
+    return panel.month_spine(panel.dense_facts(*panel_facts(spark, folder), SPEC), SPEC)
 
 
 PANEL_QUERIES = {

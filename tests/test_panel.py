@@ -153,10 +153,10 @@ def test_month_range():
 
 
 def test_spine_has_every_month(spark):
-    customers = spark.createDataFrame([(1,), (2,)], "customer_id BIGINT")
-    rows = panel.month_spine(customers, SPEC).collect()
-    assert len(rows) == 2 * SPEC.months
-    assert {r["snapshot_month"] for r in rows} == {SPEC.label(m) for m in range(1, 21)}
+    _, tables = facts(spark)
+    rows = panel.month_spine(panel.dense_facts(*tables, SPEC), SPEC).collect()
+    want = {(c, m, SPEC.label(m)) for c in range(1, 7) for m in range(1, SPEC.months + 1)}
+    assert len(rows) == len(want) and {tuple(r) for r in rows} == want
 
 
 @pytest.mark.parametrize(
