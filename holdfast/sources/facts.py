@@ -18,5 +18,9 @@ FACT_SCHEMAS = {
 }
 
 
+def fact_path(folder: str, name: str) -> str:
+    return f"{folder}/{name}.parquet"
+
+
 def read_fact(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.schema(FACT_SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
+    return spark.read.schema(FACT_SCHEMAS[name]).parquet(fact_path(folder, name))
