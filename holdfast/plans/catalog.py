@@ -7,6 +7,7 @@ use the rules score, or the panel's attrition propensity, in the model's place.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import timedelta
 from functools import reduce
 
@@ -18,6 +19,7 @@ from pyspark.sql import functions as F
 from holdfast.functions.numeric import round_even
 from holdfast.operators import audit, features, learning, ledger, metrics, panel, policy
 from holdfast.operators import ranking, reports, rules, scorestate
+from holdfast.plans.job import JobSpec, resume_job
 from holdfast.schema import (
     DERIVED_COLUMNS,
     FEATURE_TABLE_SCHEMA,
@@ -743,3 +745,26 @@ def report_outcome_rates(spark, folder):
 def report_score_histogram(spark, folder):
     scored = rules.score_rules(staged_rule_inputs(spark, folder))
     return rounded(reports.score_histogram(scored, rules.RULES_SCORE))
+
+
+# Tables of the job whose number of rows depends on what the models learned.
+LEARNED_ROWS = ("governance_summary", "chart_roc_auc", "chart_pr_auc", "chart_action_mix")
+
+
+@query("job_tables")
+def job_tables(spark, folder):
+    """Rows of the tables the whole job writes, from its manifest.
+
+    Few boosting rounds: no row of these tables depends on the number of trees.
+    """
+    spec = JobSpec(
+        panel=SPEC, capacity=capacity_of(spark, folder),
+        v1_boosting=replace(learning.V1_BOOSTING, rounds=3),
+        v2_boosting=replace(learning.V2_BOOSTING, rounds=3),
+    )
+    customers = read_fact(spark, folder, "customer").select(F.col("c_custkey").alias("customer_id"))
+    users = users_of(spark, folder, customers)
+    result = resume_job(spark, folder, staging_path(spark, "job"), users, spec)
+    return result.manifest.where(~F.col("table_name").isin(*LEARNED_ROWS)).select(
+        "table_name", "state", "rows"
+    )

@@ -225,6 +225,20 @@ PROFILE = " UNION ALL ".join(
     for c in NUMERIC
 )
 
+# Tables of the job with a row per customer and month, with a row per place of the list, and
+# with a fixed number of rows.
+PANEL_TABLES = ["customer_month_panel", "feature_table", "scored_customers_rules", "scored_customers_v1"]
+LIST_TABLES = [
+    "intervention_list_v1", "treatment_log_v1", "treatment_learning_table_v2", "scored_customers_v2"]
+FIXED_TABLES = ", ".join(
+    f"('{name}', {rows})" for name, rows in {
+        "panel_summary": 1, "feature_summary": 1, "intervention_summary": 1,
+        "treatment_log_summary": 1, "metrics_rules": 2, "metrics_model_v1": 2,
+        "metrics_model_v2": 2, "model_comparison": 6, "governance_checks": 19,
+        "chart_treatment_outcomes": 4, "chart_score_distribution_v1": 30,
+        "chart_score_distribution_v2": 30,
+    }.items())
+
 ORACLES: dict[str, str] = {
     "panel_spine": """SELECT c_custkey AS customer_id, CAST(m AS INTEGER) AS m,
   strftime(DATE '1995-01-01' + to_months(CAST(m - 1 AS INTEGER)), '%Y-%m') AS snapshot_month
@@ -398,6 +412,10 @@ FROM (SELECT count(*) AS n FROM panel GROUP BY {KEYS})"""),
         "SELECT severity, status, count(*) AS checks FROM checks GROUP BY severity, status"),
     "audit_failures": audited(
         "SELECT check_id, check_name, severity, details FROM checks WHERE status = 'fail'"),
+    "job_tables": statement("listed", f"""SELECT table_name, 'done' AS state, rows FROM (
+  SELECT unnest({PANEL_TABLES}) AS table_name, (SELECT count(*) FROM panel) AS rows
+  UNION ALL SELECT unnest({LIST_TABLES}), (SELECT count(*) FROM listed)
+  UNION ALL VALUES {FIXED_TABLES})"""),
     "report_metric_ranking": statement("learning", f"""SELECT
   model_family || ' | ' || model_version || ' | ' || split AS display_label,
   'ROC AUC' AS metric_name, roc_auc AS metric_value
