@@ -58,6 +58,18 @@ def _around(interval: Interval, rank: int) -> list[float]:
     return [max(share - spread, 0.0), min(share + spread, 1.0)]
 
 
+def _cut_shares(interval: Interval, held: list[int]) -> list[float]:
+    """Shares at which to cut an interval; neighbouring ranks lie between the same two."""
+    shares = set()
+    for rank in held:
+        low, high = _around(interval, rank)
+        if rank - 1 not in held:
+            shares.add(low)
+        if rank + 1 not in held:
+            shares.add(high)
+    return sorted(shares)
+
+
 class _Search:
     """The cuts known of one column and the ranks still looked for."""
 
@@ -100,7 +112,7 @@ def order_statistics(
         asked = [(n, i, held) for n, found in opened.items() for i, held in found.items()]
         # The shares of a sample asked for, in the order of their results.
         shares = [
-            None if i.rows <= GATHER else sorted({s for r in held for s in _around(i, r)})
+            None if i.rows <= GATHER else _cut_shares(i, held)
             for _, i, held in asked
         ]
         drawn = df.select(*opened, F.rand(seed).alias("_draw"))
