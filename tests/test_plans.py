@@ -78,3 +78,10 @@ def test_histogram_is_combined_before_its_shuffle(rule_inputs):
     lead, split, target = (F.col(c) for c in (rules.RULES_SCORE, "data_split", "voluntary_attrition_next_90d"))
     plan = plan_of(scorestate.count_scores(scored, lead, split, target))
     assert plan.count("partial_count") == 1 and plan.count("Exchange") == 1
+
+
+def test_the_comparison_builds_its_panel_once(spark, data, monkeypatch):
+    built, build = [], catalog.panel.build_panel
+    monkeypatch.setattr(catalog.panel, "build_panel", lambda *a: built.append(1) or build(*a))
+    assert catalog.comparison_of(spark, data).count() == 6
+    assert len(built) == 1
