@@ -140,3 +140,16 @@ def test_rounds_stop_when_the_loss_has_not_fallen_for_long():
     assert learning.rounds_to_keep([5, 4, 4, 5, 4, 1], spec) == 5
     assert learning.rounds_to_keep([5, 4, 4, 5, 3, 3, 3, 3, 2], spec) == 8
     assert learning.rounds_to_keep([5, 5], spec) == 2
+
+
+def test_the_first_rounds_are_a_fit_of_that_many_rounds(features, monkeypatch):
+    fits = []
+    fit = learning.GBTClassifier.fit
+    monkeypatch.setattr(learning.GBTClassifier, "fit", lambda self, *a: fits.append(1) or fit(self, *a))
+    monkeypatch.setattr(learning, "rounds_to_keep", lambda losses, spec: min(2, len(losses)))
+    stopped = learning.train_model_v1(features, replace(QUICK, rounds=4))
+    assert len(fits) == 1 and len(stopped.stages[-1].trees) == 2
+    monkeypatch.undo()
+    whole = learning.train_model_v1(features, replace(QUICK, rounds=2))
+    a, b = (learning.score_model_v1(m, features).orderBy("customer_id").collect() for m in (stopped, whole))
+    assert a == b
