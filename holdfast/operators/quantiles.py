@@ -11,18 +11,41 @@ what is left of at most ``GATHER`` rows is sorted. The driver holds a few cuts a
 from __future__ import annotations
 
 import math
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Mapping, Sequence
+from functools import reduce
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# Columns of one aggregate: it has twelve counts for each at most, and Spark compiles the whole
+# stage of an aggregate of at most a hundred fields.
+COLUMNS = 8
 # Rows of an interval that are sorted as they are, and rows drawn from a larger one.
 GATHER = 4_096
 SAMPLE = 65_536
 ACCURACY = 10_000
 
 
+def one_row(
+    df: DataFrame, measures: Mapping[str, Sequence[Column]]
+) -> dict[str, list]:
+    """Aggregates of a frame by the column they belong to, in one job.
+
+    ``COLUMNS`` columns share one aggregate, which reads those columns alone.
+    """
+    names = list(measures)
+    groups = [names[at : at + COLUMNS] for at in range(0, len(names), COLUMNS)]
+    parts = [
+        df.agg(F.array(*[F.array(*measures[name]) for name in group]).alias("found")).select(
+            F.lit(at).alias("at"), "found"
+        )
+        for at, group in enumerate(groups)
+    ]
+    rows = reduce(DataFrame.unionAll, parts).collect() if parts else []
+    return {n: values for row in rows for n, values in zip(groups[row["at"]], row["found"])}
+
+
 class Cut(NamedTuple):
     """A value with the rows below it and the rows up to it; None is beyond all values."""
 
@@ -96,6 +119,42 @@ class _Search:
         self.settle({r: c.value for r in self.open for c in self.cuts if c.below <= r < c.upto})
 
 
+def _probe(
+    df: DataFrame,
+    asked: list[tuple[str, Interval, list[int]]],
+    shares: list[list[float] | None],
+    seed: int,
+) -> list[list[float]]:
+    """Values of each interval at its shares, from a sample, or all of them in order.
+
+    Rows that no interval of an aggregate's columns draws are filtered out below it, as
+    aggregates of this kind are not compiled.
+    """
+    names = list(dict.fromkeys(name for name, _, _ in asked))
+    parts = []
+    for first in range(0, len(names), COLUMNS):
+        group = names[first : first + COLUMNS]
+        conditions, probes = [], []
+        for at, (name, interval, _) in enumerate(asked):
+            if name not in group:
+                continue
+            value = F.col(name)
+            chosen = interval.holds(value)
+            if shares[at] is None:
+                probe = F.sort_array(F.collect_list(F.when(chosen, value)))
+            else:
+                chosen = chosen & (F.col("_draw") < SAMPLE / interval.rows)
+                probe = F.percentile_approx(F.when(chosen, value), shares[at], ACCURACY)
+            conditions.append(chosen)
+            probes.append(F.struct(F.lit(at).alias("at"), probe.alias("values")))
+        drawn = df.select(*group, F.rand(seed).alias("_draw"))
+        wanted = drawn.where(reduce(Column.__or__, conditions))
+        parts.append(wanted.agg(F.array(*probes).alias("probed")))
+    rows = reduce(DataFrame.unionAll, parts).collect()
+    found = {probe["at"]: probe["values"] or [] for row in rows for probe in row["probed"]}
+    return [found[at] for at in range(len(asked))]
+
+
 def order_statistics(
     df: DataFrame, ranks: Mapping[str, Iterable[int]], rows: Mapping[str, int]
 ) -> dict[str, dict[int, float]]:
@@ -115,36 +174,29 @@ def order_statistics(
             None if i.rows <= GATHER else _cut_shares(i, held)
             for _, i, held in asked
         ]
-        drawn = df.select(*opened, F.rand(seed).alias("_draw"))
-        probes = []
-        for at, (name, interval, _) in enumerate(asked):
-            value = F.col(name)
-            inside = interval.holds(value)
-            if shares[at] is None:
-                probe = F.sort_array(F.collect_list(F.when(inside, value)))
-            else:
-                chosen = inside & (F.col("_draw") < SAMPLE / interval.rows)
-                probe = F.percentile_approx(F.when(chosen, value), shares[at], ACCURACY)
-            probes.append(probe.alias(f"p{at}"))
-        probed = drawn.agg(*probes).first()
+        probed = _probe(df, asked, shares, seed)
 
-        cuts: list[tuple[str, float]] = []
-        for at, (name, interval, held) in enumerate(asked):
-            values = probed[at] or []
-            if shares[at] is None:
+        cuts: dict[str, list[float]] = {}
+        for (name, interval, held), shared, values in zip(asked, shares, probed):
+            if shared is None:
                 searches[name].settle({r: values[r - interval.low.upto] for r in held})
             else:
-                cuts += [(name, v) for v in dict.fromkeys(values)]
-        if not cuts:
-            continue
-        counted = df.agg(
-            *[F.count_if(F.col(name) < v).alias(f"b{at}") for at, (name, v) in enumerate(cuts)],
-            *[F.count_if(F.col(name) <= v).alias(f"u{at}") for at, (name, v) in enumerate(cuts)],
-        ).first()
-        for name in opened:
+                found = cuts.setdefault(name, [])
+                found += [v for v in dict.fromkeys(values) if v not in found]
+        counted = one_row(
+            df,
+            {
+                name: [
+                    count
+                    for v in found
+                    for count in (F.count_if(F.col(name) < v), F.count_if(F.col(name) <= v))
+                ]
+                for name, found in cuts.items()
+            },
+        )
+        for name, counts in counted.items():
             searches[name].add(
-                Cut(v, counted[at], counted[len(cuts) + at])
-                for at, (of, v) in enumerate(cuts) if of == name
+                Cut(v, below, upto) for v, below, upto in zip(cuts[name], counts[::2], counts[1::2])
             )
     return {name: search.found for name, search in searches.items()}
 

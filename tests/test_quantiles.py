@@ -99,3 +99,24 @@ def test_profile_leaves_columns_without_values_out(spark):
     assert found["a"]["p50"] == 2.5 and found["a"]["count"] == 2
     assert found["c"]["std"] is None and found["c"]["p25"] == found["c"]["max"] == 2.0
     assert features.numeric_profile(table.limit(0), ["a", "b"]).count() == 0
+
+
+def test_wide_aggregates_are_compiled_and_samples_filtered(spark, monkeypatch):
+    seen = []
+    collect = type(spark.range(0)).collect
+
+    def watched(df):
+        rows = collect(df)
+        seen.append(plan_of(df).split("Initial Plan")[0])
+        return rows
+
+    table = spark.range(70_000).select(*[(F.rand(i) * 100).alias(f"c{i}") for i in range(31)])
+    monkeypatch.setattr(type(table), "collect", watched)
+    features.numeric_profile(table, table.columns)
+    measured = [plan for plan in seen if "Aggregate" in plan]
+    assert measured
+    for plan in measured:
+        for line in plan.splitlines():
+            # Counts and moments are compiled with their scan; samples are cut down below.
+            assert "HashAggregate" not in line or "ObjectHash" in line or "*(" in line
+        assert "ObjectHashAggregate" not in plan or "Filter" in plan
