@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import calendar
 import random
+import re
 from datetime import date, datetime
 
 import numpy as np
 import pytest
+from compare import plan_of
 from pyspark.sql import functions as F
 
 from holdfast.operators import panel
@@ -193,3 +195,29 @@ def test_summary_counts_missing_cells(spark):
     row = panel.summarise_panel(holed).first()
     assert (row["rows"], row["customers"], row["months"], row["columns"]) == (30, 6, 5, 30)
     assert row["missing_values"] == 5
+
+
+def test_customers_are_combined_before_their_months_are_exploded(spark):
+    _, tables = facts(spark)
+    plan = plan_of(panel.dense_facts(*tables, SPEC))
+    keys = re.findall(r"(?:Sort|ObjectHash)Aggregate\(keys?=\[([^\]]*)\]", plan)
+    assert keys and all(re.fullmatch(r"customer_id#\d+L", key) for key in keys)
+    assert plan.index("Generate explode") < plan.index("Aggregate")
+
+
+def test_partitions_grow_with_the_rows(spark, monkeypatch):
+    _, tables = facts(spark)
+    session = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert panel.dense_facts(*tables, SPEC).rdd.getNumPartitions() == session
+    monkeypatch.setattr(panel, "ROWS_PER_TASK", 6)
+    assert panel.dense_facts(*tables, SPEC).rdd.getNumPartitions() == 6 * SPEC.months // 6
+
+
+def test_forward_orders_at_the_end_of_the_range(spark):
+    rows = [(7, m, *[m] * 8, date(2021, 1, 1)) for m in range(1, 8)]
+    names = ", ".join(f"{c} bigint" for c in panel._COUNTS)
+    dense = spark.createDataFrame(rows, f"customer_id bigint, m int, {names}, last_day date")
+    found = {r["m"]: r for r in panel.trailing_frames(dense, SPEC).collect()}
+    assert [found[m]["orders_ahead"] for m in range(1, 8)] == [9, 12, 15, 18, 13, 7, 0]
+    assert [found[m]["lines_before"] for m in range(1, 8)] == [0, 0, 0, 1, 3, 6, 9]
+    assert [found[m]["lines_k6"] for m in range(1, 8)] == [1, 3, 6, 10, 15, 21, 27]
