@@ -85,3 +85,9 @@ def test_the_comparison_builds_its_panel_once(spark, data, monkeypatch):
     monkeypatch.setattr(catalog.panel, "build_panel", lambda *a: built.append(1) or build(*a))
     assert catalog.comparison_of(spark, data).count() == 6
     assert len(built) == 1
+
+
+def test_derived_features_are_not_written(spark, data):
+    plan = plan_of(catalog.staged_features(spark, data).select("value_at_risk_index"))
+    assert "relationship_value_index" in plan.split("ReadSchema")[1]
+    assert "value_at_risk_index" not in plan.split("ReadSchema")[1].splitlines()[0]
