@@ -196,7 +196,8 @@ def near_duplicates(docs: DataFrame, spec: NearDupSpec = NearDupSpec()) -> DataF
     sigs = classes.where("id IS NOT NULL").select("id", "digest", "sig")
     banded = classes.where("id IS NOT NULL").select("id", F.explode("keys").alias("key"))
     sizes = banded.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-    crowded = banded.join(sizes, "key").withColumnRenamed("key", "group")
+    # Written once: few bands are shared, and each pass over them would shuffle all bands again.
+    crowded = stage(banded.join(sizes, "key").withColumnRenamed("key", "group"), "crowded")
     candidates = sigs.select("id", "sig")
     # The bands overlap, so their blocks need not.
     families = linked_components(
@@ -208,6 +209,7 @@ def near_duplicates(docs: DataFrame, spec: NearDupSpec = NearDupSpec()) -> DataF
     members = families.join(sizes, "component").select(
         F.col("component").alias("group"), F.col("node").alias("id"), "size"
     )
+    members = stage(members, "members")
     # Written first, so that Spark knows its size before it would shuffle the texts.
     texts = docs.join(stage(families.select(F.col("node").alias("doc_id")), "wanted"), "doc_id")
     held = texts.mapInArrow(_shingler(spec), "id long, digest binary, held binary")

@@ -79,3 +79,17 @@ def test_components_of_paths_stars_and_cycles(spark):
     got = {r.node: r.component for r in connected(frame).collect()}
     want = {k: 0 for k in range(41)} | {100 + k: 100 for k in range(30)} | {k: 200 for k in (200, 201, 202)}
     assert got == want
+
+
+def test_bands_are_shuffled_once(spark, monkeypatch):
+    plans = []
+    linked = minhash.linked_components
+
+    def watched(members, *rest, **options):
+        plans.append(members._jdf.queryExecution().executedPlan().toString())
+        return linked(members, *rest, **options)
+
+    monkeypatch.setattr(minhash, "linked_components", watched)
+    docs = spark.createDataFrame([(k, "a b c d e f g") for k in range(3)], "doc_id long, text string")
+    minhash.near_duplicates(docs).collect()
+    assert len(plans) == 2 and not any("Exchange" in plan for plan in plans)
