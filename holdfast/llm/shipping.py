@@ -1,28 +1,5 @@
 """Executors import this package's task functions, so the driver sends the package to them."""
 
-from __future__ import annotations
+from holdfast.sources.shipping import ship_package
 
-import tempfile
-import zipfile
-from pathlib import Path
-
-from pyspark.sql import SparkSession
-
-_shipped: set[str] = set()
-
-
-def ship_package(spark: SparkSession) -> None:
-    """Send the package's source to all executors, once per application.
-
-    Spark copies the archive from the driver, so executors need no path in common with it.
-    """
-    app = spark.sparkContext.applicationId
-    if app in _shipped:
-        return
-    package = Path(__file__).resolve().parent.parent
-    archive = Path(tempfile.mkdtemp(prefix="holdfast-")) / f"{package.name}.zip"
-    with zipfile.ZipFile(archive, "w") as out:
-        for source in sorted(package.rglob("*.py")):
-            out.write(source, source.relative_to(package.parent))
-    spark.sparkContext.addPyFile(str(archive))
-    _shipped.add(app)
+__all__ = ["ship_package"]
